@@ -53,14 +53,14 @@ def _stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 def write_incremental(spark: SparkSession, updates: DataFrame, path: str,
                       key: str = "surrogate_key", partition_col: str = "order_date",
-                      cluster_by: list | None = None) -> dict:
-    """Create the table from ``updates`` on the first run, else upsert.
-    Returns counts of what was written."""
+                      cluster_by: list | None = None, replace: bool = False) -> dict:
+    """Create the table from ``updates`` on the first run (or when
+    ``replace``: a full refresh), else upsert. Returns what was written."""
     cluster_by = cluster_by or []
     assert_unique_keys(updates, key)
-    if not path_exists(spark, path):
+    if replace or not path_exists(spark, path):
         cluster_for_write(updates, partition_col, cluster_by).write.mode("overwrite") \
-            .partitionBy(partition_col).parquet(path)
+            .option("partitionOverwriteMode", "static").partitionBy(partition_col).parquet(path)
         return {"mode": "create", "touched_partitions": None}
 
     staged = _stage(spark, updates, "merge-updates")

@@ -14,8 +14,33 @@ from larder.plans import dimensions as D
 from larder.plans import facts as FA
 from larder.plans import intermediate as I
 from larder.plans import reporting as R
-from larder.plans.staging import stage_all
-from larder.sources.testdata import raw_tables
+from larder.plans.staging import STAGING
+from larder.sources.testdata import raw_table
+
+
+class LazyTables(dict):
+    """Dict that builds each DataFrame on first access."""
+
+    def __init__(self, builders: dict):
+        super().__init__()
+        self._builders = builders
+
+    def __missing__(self, name):
+        df = self._builders[name]()
+        self[name] = df
+        return df
+
+    def keys(self):
+        return self._builders.keys()
+
+    def items(self):
+        return [(k, self[k]) for k in self._builders]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self):
+        return len(self._builders)
 
 
 class Models:
@@ -24,11 +49,12 @@ class Models:
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, p) -> "Models":
-        return cls(spark, raw_tables(spark, sf_dir), p)
+        raw = LazyTables({name: (lambda n=name: raw_table(spark, sf_dir, n)) for name in STAGING})
+        return cls(spark, raw, p)
 
     @cached_property
     def stg(self) -> dict:
-        return stage_all(self.raw, self.p)
+        return LazyTables({name: (lambda n=name: STAGING[n](self.raw[n], self.p)) for name in STAGING})
 
     @cached_property
     def baskets(self) -> DataFrame:

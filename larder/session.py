@@ -31,6 +31,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         b = b.master(master)
     conf = dict(CORE_CONF)
     conf["spark.ui.enabled"] = "false"
+    # Day-partitioned tables have many directories; list them with one task
+    # per core rather than one per directory.
+    conf["spark.sql.sources.parallelPartitionDiscovery.parallelism"] = str(_cores(master))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -43,6 +46,12 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def _cores(master: str | None) -> int:
+    if master and master.startswith("local[") and master[6:-1].isdigit():
+        return int(master[6:-1])
+    return os.cpu_count() or 8
+
+
 def apply_core_conf(spark: SparkSession) -> None:
     """Set the semantic settings on an existing session (e.g. the driver's)."""
     for k in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled",

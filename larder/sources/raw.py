@@ -8,13 +8,27 @@ from pyspark.sql import functions as F
 from larder.sources.schemas import RAW_SCHEMAS, RUN_LOG_SCHEMA
 
 
+def ensure_parallel(df: DataFrame, spark: SparkSession) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores
+    (e.g. one small file with a single row group) over all cores. Large
+    inputs already have at least that many splits and are left unchanged,
+    so no shuffle is added at scale."""
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            return df.repartition(cores)
+    except Exception:  # no RDD access (e.g. Spark Connect): keep the scan as is
+        pass
+    return df
+
+
 def read_raw(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Scan one raw table from ``<root>/<name>`` (Parquet) with its fixed
     schema, or from the catalog when ``root`` is a database name prefixed
     with ``table:``."""
     if root.startswith("table:"):
-        return spark.table(f"{root[len('table:'):]}.{name}")
-    return spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{root.rstrip('/')}/{name}")
+        return ensure_parallel(spark.table(f"{root[len('table:'):]}.{name}"), spark)
+    return ensure_parallel(spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{root.rstrip('/')}/{name}"), spark)
 
 
 def ensure_db(spark: SparkSession, db: str) -> None:
