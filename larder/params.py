@@ -36,6 +36,8 @@ class Params:
     freshness_error_hours: int = 48
     # Largest side (bytes, optimizer upper bound) we hint as a broadcast.
     broadcast_max_bytes: int = 64 * 1024 * 1024
+    # Largest materialized key set (rows) we broadcast, e.g. recent orders.
+    broadcast_max_rows: int = 2_000_000
     extra: dict = field(default_factory=dict)
 
     @property

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from larder.functions import now_utc, surrogate_key
 from larder.operators.filters import since_lookback
-from larder.operators.joins import broadcast_if_small
+from larder.operators.joins import lookup_join, materialize_bounded
 
 FACT_ORDERS_CLUSTER = ["order_status", "order_channel"]
 FACT_ORDER_ITEMS_CLUSTER = ["product_id", "category"]
@@ -44,18 +44,25 @@ def order_context(orders: DataFrame, p, incremental: bool = False) -> DataFrame:
 
 def fact_order_items(items: DataFrame, orders: DataFrame, products: DataFrame, p,
                      incremental: bool = False) -> DataFrame:
-    """One row per order line with order and product context."""
-    o = order_context(orders, p, incremental).alias("o")
-    prod = broadcast_if_small(
-        products.select("product_id", "category", "subcategory", "brand"),
-        p.broadcast_max_bytes).alias("p")
+    """One row per order line with order and product context.
+
+    Incremental runs materialize the recent orders once and broadcast them
+    when their exact count is within the bound, so the lines are joined
+    map-side; full runs shuffle both sides on order_id."""
+    o = order_context(orders, p, incremental)
+    if incremental:
+        o, small = materialize_bounded(o, p.broadcast_max_rows)
+        o = F.broadcast(o) if small else o
+    o = o.alias("o")
+    prod = products.select(F.col("product_id").alias("p_product_id"), "category", "subcategory", "brand")
     i = items.alias("i")
-    return (i.join(o, F.col("i.order_id") == F.col("o.order_id"), "inner")
-             .join(prod, F.col("i.product_id") == F.col("p.product_id"), "left")
+    lines = i.join(o, F.col("i.order_id") == F.col("o.order_id"), "inner")
+    return (lookup_join(lines, prod, "i.product_id", "p_product_id", salt_col="i.order_item_id",
+                        max_bytes=p.broadcast_max_bytes)
              .select(
                  surrogate_key(F.col("i.order_item_id")).alias("surrogate_key"),
                  "i.order_item_id", "i.order_id", "o.customer_id", "i.product_id",
-                 "p.category", "p.subcategory", "p.brand",
+                 "category", "subcategory", "brand",
                  "o.order_date", "o.order_status", "o.order_channel", "o.is_delivered",
                  "i.quantity", "i.unit_price_gbp", "i.discount_amount_gbp", "i.line_total_gbp",
                  "i.is_substituted", "i.substituted_product_id",

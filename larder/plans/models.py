@@ -113,6 +113,10 @@ class Models:
     def inventory_alerts(self) -> DataFrame:
         return R.inventory_alerts(self.stg["inventory"], self.dim_products, self.p)
 
+    @cached_property
+    def inventory_alert_rows(self) -> DataFrame:
+        return R.inventory_alert_rows(self.stg["inventory"], self.dim_products, self.p)
+
     @cached_property
     def customer_ltv(self) -> DataFrame:
         return R.customer_ltv(self.dim_customers)

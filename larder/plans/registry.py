@@ -85,15 +85,15 @@ def q_sales_wow_calendar(spark, sf_dir):
 
 
 def q_alert_top20(spark, sf_dir):
-    return alert_top_n(_m(spark, sf_dir).inventory_alerts, 20)
+    return alert_top_n(_m(spark, sf_dir).inventory_alert_rows, 20)
 
 
 def q_alert_top5_per_status(spark, sf_dir):
-    return alert_top_k_per_status(_m(spark, sf_dir).inventory_alerts, 5)
+    return alert_top_k_per_status(_m(spark, sf_dir).inventory_alert_rows, 5)
 
 
 def q_alert_digest(spark, sf_dir):
-    return alert_digest(_m(spark, sf_dir).inventory_alerts, 20, 5)
+    return alert_digest(_m(spark, sf_dir).inventory_alert_rows, 20, 5)
 
 
 # ---- aggregates ---------------------------------------------------------------

@@ -48,8 +48,9 @@ def daily_sales(fact_orders: DataFrame, calendar_frames: bool = False) -> DataFr
                             pct_change("gross_revenue_gbp", "revenue_7d_ago_gbp"))
 
 
-def inventory_alerts(inventory: DataFrame, dim_products: DataFrame, p) -> DataFrame:
-    """Latest-snapshot stock rows at or below their reorder point."""
+def inventory_alert_rows(inventory: DataFrame, dim_products: DataFrame, p) -> DataFrame:
+    """Latest-snapshot stock rows at or below their reorder point (unordered;
+    the alert list and top-k queries order what they need)."""
     inv = latest_snapshot(inventory, "snapshot_date").where(F.col("is_below_reorder_point")).alias("i")
     prod = dim_products.select("product_id", "product_name", "category", "brand", "sku").alias("p")
     return (inv.join(prod, F.col("i.product_id") == F.col("p.product_id"), "inner")
@@ -58,8 +59,13 @@ def inventory_alerts(inventory: DataFrame, dim_products: DataFrame, p) -> DataFr
                        "i.units_available", "i.reorder_point", "i.is_below_reorder_point",
                        stock_status("i.units_available", "i.reorder_point",
                                     "i.is_below_reorder_point").alias("stock_status"),
-                       now_utc(p).alias("alert_generated_at"))
-               .orderBy("stock_status", "category", "product_name"))
+                       now_utc(p).alias("alert_generated_at")))
+
+
+def inventory_alerts(inventory: DataFrame, dim_products: DataFrame, p) -> DataFrame:
+    """The alert table, ordered by status, category and product name."""
+    return inventory_alert_rows(inventory, dim_products, p).orderBy("stock_status", "category",
+                                                                   "product_name")
 
 
 def customer_ltv(dim_customers: DataFrame) -> DataFrame:

@@ -79,3 +79,21 @@ def test_incremental_facts_are_recent_rows_of_full(m):
 def test_daily_sales_calendar_vs_rows_differ_only_on_gaps(m):
     rows = m.daily_sales
     assert rows.count() == 3342
+
+
+def test_shuffle_paths_equal_broadcast_paths(spark):
+    """With every size bound at zero the joins shuffle (null promo codes get
+    stand-in keys); results must not change."""
+    from dataclasses import replace
+    from conftest import SF001
+    a = Models.from_testdata(spark, SF001, TEST_PARAMS)
+    b = Models.from_testdata(spark, SF001, replace(TEST_PARAMS, broadcast_max_bytes=0, broadcast_max_rows=0))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for attr in ("baskets", "fact_order_items", "fact_orders_incremental", "fact_order_items_incremental"):
+            x, y = getattr(a, attr), getattr(b, attr)
+            assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0, attr
+        plan = b.baskets._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
