@@ -356,6 +356,31 @@ def _suite_sql() -> str:
 CTES[-1] = ("suite_results", _suite_sql())
 
 
+def _declared_sql() -> str:
+    from larder.plans.declared_tests import declared_list, test_name
+    rel_cte = {"inventory_alerts": "inventory_alerts"}
+    parts = []
+    for i, (rel, col, name, arg) in enumerate(declared_list()):
+        src = rel_cte.get(rel, rel)
+        if name == "not_null":
+            q = f"SELECT count(*) AS f FROM {src} WHERE {col} IS NULL"
+        elif name == "accepted_values":
+            vals = ", ".join(f"'{v}'" for v in arg)
+            q = f"SELECT count(DISTINCT {col}) AS f FROM {src} WHERE {col} NOT IN ({vals})"
+        elif name == "unique":
+            q = (f"SELECT count(*) AS f FROM (SELECT {col} FROM {src} WHERE {col} IS NOT NULL "
+                 f"GROUP BY {col} HAVING count(*) > 1)")
+        else:
+            to, field = arg
+            q = (f"SELECT count(*) AS f FROM {src} c WHERE c.{col} IS NOT NULL AND NOT EXISTS "
+                 f"(SELECT 1 FROM {to} p WHERE p.{field} = c.{col})")
+        parts.append(f"SELECT {i} AS test_order, '{rel}' AS relation, '{col}' AS \"column\", "
+                     f"'{test_name(rel, col, name)}' AS test, cast(f AS BIGINT) AS failures FROM ({q})")
+    body = "\nUNION ALL\n".join(parts)
+    return (f"SELECT cast(test_order AS INTEGER) AS test_order, relation, \"column\", test, failures, "
+            f"CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM ({body})")
+
+
 def with_ctes(final: str) -> str:
     body = ",\n".join(f"{name} AS ({sql})" for name, sql in CTES)
     return f"WITH {body}\n{final}"
@@ -464,6 +489,7 @@ SELECT max(_loaded_at) AS max_loaded_at,
        ELSE 'pass' END AS status
 FROM raw_orders""",
     "dq_suite_results": "SELECT * FROM suite_results",
+    "dq_declared_tests": None,
     "dq_suite_summary": """
 SELECT table_name, count(*) FILTER (WHERE success) AS passed, count(*) AS total,
   count(*) FILTER (WHERE NOT success) AS failed, bool_and(success) AS success
@@ -491,5 +517,8 @@ UNION ALL SELECT 'TOTAL', sum(n) FROM (
 }
 
 
+FINALS["dq_declared_tests"] = _declared_sql()
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_ctes(final) for name, final in FINALS.items()}

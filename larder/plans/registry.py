@@ -224,6 +224,11 @@ def _suite_results(spark, sf_dir):
     return out
 
 
+def q_dq_declared_tests(spark, sf_dir):
+    from larder.plans.declared_tests import run_declared_tests, test_relations
+    return run_declared_tests(test_relations(_m(spark, sf_dir)))
+
+
 def q_dq_suite_results(spark, sf_dir):
     return _suite_results(spark, sf_dir)
 
@@ -297,6 +302,7 @@ QUERIES = {
     "dq_row_count": q_dq_row_count,
     "dq_freshness": q_dq_freshness,
     "dq_suite_results": q_dq_suite_results,
+    "dq_declared_tests": q_dq_declared_tests,
     "dq_suite_summary": q_dq_suite_summary,
     # logs
     "run_log_rollup": q_run_log_rollup,
