@@ -28,18 +28,21 @@ def basket_aggregate(items: DataFrame) -> DataFrame:
 
 
 def basket_metrics(orders: DataFrame, items: DataFrame, promotions: DataFrame, p,
-                   incremental: bool = False) -> DataFrame:
+                   incremental: bool = False, restrict: bool = False) -> DataFrame:
     """Orders left-joined to their basket aggregate and to promotions.
 
     ``incremental=True`` keeps orders inside the lookback window and, before
     aggregating, semi-joins the lines to those orders, so an hourly run only
-    aggregates the lines of recent orders (same rows as filtering afterwards)."""
-    if incremental:
+    aggregates the lines of recent orders (same rows as filtering afterwards).
+    ``restrict=True`` does the same for an already small set of orders
+    (e.g. one streaming micro-batch)."""
+    if incremental or restrict:
         # The recent orders are few by construction: materialize them once
         # and, when the exact count proves it, broadcast their ids so the
         # lines are filtered map-side instead of shuffling every line.
-        orders, small = materialize_bounded(
-            since_lookback(orders, F.to_date("order_created_at"), p), p.broadcast_max_rows)
+        if incremental:
+            orders = since_lookback(orders, F.to_date("order_created_at"), p)
+        orders, small = materialize_bounded(orders, p.broadcast_max_rows)
         ids = orders.select("order_id")
         items = items.join(F.broadcast(ids) if small else ids, "order_id", "left_semi")
     agg = basket_aggregate(items)

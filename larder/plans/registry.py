@@ -27,8 +27,18 @@ from larder.plans.models import Models
 P = TEST_PARAMS
 
 
+_GRAPHS: dict = {}
+
+
 def _m(spark: SparkSession, sf_dir: str, p=P) -> Models:
-    return Models.from_testdata(spark, sf_dir, p)
+    """The lazy model graph for this session, data folder and parameters.
+    Queries in one session share it (DataFrames are immutable plans), so the
+    graph is built once, as in a pipeline run."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), repr(p))
+    m = _GRAPHS.get(key)
+    if m is None or m.spark is not spark:
+        m = _GRAPHS[key] = Models.from_testdata(spark, sf_dir, p)
+    return m
 
 
 def _model(attr):

@@ -1,0 +1,5 @@
+"""Streaming form of the hourly incremental run."""
+
+from larder.streaming.order_facts import start_order_facts_stream, upsert_order_batch
+
+__all__ = ["start_order_facts_stream", "upsert_order_batch"]
