@@ -76,6 +76,17 @@ def freshness(df: DataFrame, ts_col: str, p, warn_hours=None, error_hours=None)
          .when(F.col("age_hours") > warn_hours, "warn").otherwise("pass"))
 
 
+def source_freshness(sources: dict, p, warn_hours=None, error_hours=None) -> DataFrame:
+    """Freshness of several sources: {name: (DataFrame, load-time column)}
+    -> table_name, max_loaded_at, age_hours, status (one row per source)."""
+    rows = [freshness(df, col, p, warn_hours, error_hours).select(F.lit(name).alias("table_name"), "*")
+            for name, (df, col) in sources.items()]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
 @dataclass(frozen=True)
 class Check:
     """One expectation: kind in not_null | unique | in_set | between | regex | row_count."""

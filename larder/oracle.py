@@ -482,12 +482,12 @@ SELECT order_item_id, line_total_gbp FROM stg_order_items WHERE NOT (line_total_
     "dq_regex": f"SELECT customer_id, email FROM stg_customers WHERE NOT regexp_matches(email, '{EMAIL_PATTERN}')",
     "dq_row_count": "SELECT count(*) AS row_count, count(*) >= 500 AS success FROM stg_order_items",
     "dq_freshness": """
-SELECT max(_loaded_at) AS max_loaded_at,
-  (epoch(TIMESTAMP '2001-08-02 08:00:00') - epoch(max(_loaded_at))) / 3600.0 AS age_hours,
-  CASE WHEN (epoch(TIMESTAMP '2001-08-02 08:00:00') - epoch(max(_loaded_at))) / 3600.0 > 48 THEN 'error'
-       WHEN (epoch(TIMESTAMP '2001-08-02 08:00:00') - epoch(max(_loaded_at))) / 3600.0 > 25 THEN 'warn'
-       ELSE 'pass' END AS status
-FROM raw_orders""",
+SELECT table_name, max_loaded_at, age_hours,
+  CASE WHEN age_hours > 48 THEN 'error' WHEN age_hours > 25 THEN 'warn' ELSE 'pass' END AS status
+FROM (SELECT 'orders' AS table_name, max(_loaded_at) AS max_loaded_at,
+  (epoch(TIMESTAMP '2001-08-02 08:00:00') - epoch(max(_loaded_at))) / 3600.0 AS age_hours FROM raw_orders UNION ALL SELECT 'customers' AS table_name, max(_loaded_at) AS max_loaded_at,
+  (epoch(TIMESTAMP '2001-08-02 08:00:00') - epoch(max(_loaded_at))) / 3600.0 AS age_hours FROM raw_customers UNION ALL SELECT 'inventory' AS table_name, max(_loaded_at) AS max_loaded_at,
+  (epoch(TIMESTAMP '2001-08-02 08:00:00') - epoch(max(_loaded_at))) / 3600.0 AS age_hours FROM raw_inventory)""",
     "dq_suite_results": "SELECT * FROM suite_results",
     "dq_declared_tests": None,
     "dq_suite_summary": """

@@ -220,8 +220,10 @@ def q_dq_row_count(spark, sf_dir):
 
 
 def q_dq_freshness(spark, sf_dir):
+    # Every source with a load timestamp, checked 26 hours after the load.
     p = replace(P, as_of_ts=dt.datetime(2001, 8, 2, 8, 0, 0))
-    return Q.freshness(_m(spark, sf_dir, p).raw["orders"], "_loaded_at", p)
+    raw = _m(spark, sf_dir, p).raw
+    return Q.source_freshness({t: (raw[t], "_loaded_at") for t in ("orders", "customers", "inventory")}, p)
 
 
 def _suite_results(spark, sf_dir):

@@ -59,6 +59,25 @@ def apply_core_conf(spark: SparkSession) -> None:
         spark.conf.set(k, CORE_CONF[k])
 
 
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict:
+    """Starting settings for a cluster run over ``input_bytes`` of Parquet.
+
+    Shuffles start with about one partition per 128 MB of input (at least
+    two per core) and AQE coalesces them towards the advisory size at
+    runtime, so each reducer's share fits in executor memory; skewed
+    partitions over 256 MB and 5x the median are split."""
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

@@ -14,8 +14,9 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from larder.session import build_session
     ckpt = tempfile.mkdtemp(prefix="larder-test-ckpt-")
+    wh = tempfile.mkdtemp(prefix="larder-test-wh-")
     s = build_session("local[4]", shuffle_partitions=4, app_name="larder-tests",
-                      extra={"spark.checkpoint.dir": ckpt})
+                      extra={"spark.checkpoint.dir": ckpt, "spark.sql.warehouse.dir": wh})
     yield s
     s.stop()
 
