@@ -55,15 +55,19 @@ def write_incremental(spark: SparkSession, updates: DataFrame, path: str,
                       key: str = "surrogate_key", partition_col: str = "order_date",
                       cluster_by: list | None = None, replace: bool = False) -> dict:
     """Create the table from ``updates`` on the first run (or when
-    ``replace``: a full refresh), else upsert. Returns what was written."""
+    ``replace``: a full refresh), else upsert. Returns what was written.
+    Duplicate keys in merge updates raise ``DuplicateKeyError``."""
     cluster_by = cluster_by or []
-    assert_unique_keys(updates, key)
     if replace or not path_exists(spark, path):
+        # Full build: key uniqueness is checked by the table's declared
+        # unique test after publishing, not by a second pass here.
         cluster_for_write(updates, partition_col, cluster_by).write.mode("overwrite") \
             .option("partitionOverwriteMode", "static").partitionBy(partition_col).parquet(path)
         return {"mode": "create", "touched_partitions": None}
 
+    # Computed once: every later step reads the staged copy.
     staged = _stage(spark, updates, "merge-updates")
+    assert_unique_keys(staged, key)
     target = spark.read.parquet(path)
     upd_keys = staged.select(key).where(F.col(key).isNotNull())
     moved_from = target.select(key, partition_col).join(upd_keys, key, "left_semi").select(partition_col)

@@ -47,6 +47,7 @@ def test_partition_emptied_by_move_is_removed(spark, scratch):
 
 def test_duplicate_key_in_updates_raises(spark, scratch):
     path = f"{scratch}/fact"
+    write_incremental(spark, spark.createDataFrame([("z", D1, 1, "x")], SCHEMA), path)
     dup = spark.createDataFrame([("a", D1, 1, "x"), ("a", D2, 2, "x")], SCHEMA)
     with pytest.raises(DuplicateKeyError):
         write_incremental(spark, dup, path)
