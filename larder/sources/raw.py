@@ -7,6 +7,18 @@ from pyspark.sql import functions as F
 
 from larder.sources.schemas import RAW_SCHEMAS, RUN_LOG_SCHEMA
 
+# Join / grouping key each raw table is bucketed on when landed in the
+# catalog. Orders and their lines share order_id and the bucket count, so
+# the line aggregate per order and the line-to-order join need no shuffle.
+RAW_BUCKET_KEYS = {
+    "orders": "order_id",
+    "order_items": "order_id",
+    "products": "product_id",
+    "customers": "customer_id",
+    "inventory": "product_id",
+    "promotions": None,
+}
+
 
 def ensure_parallel(df: DataFrame, spark: SparkSession) -> DataFrame:
     """Spread a scan that yields fewer splits than the cluster has cores
@@ -27,7 +39,8 @@ def read_raw(spark: SparkSession, root: str, name: str) -> DataFrame:
     schema, or from the catalog when ``root`` is a database name prefixed
     with ``table:``."""
     if root.startswith("table:"):
-        return ensure_parallel(spark.table(f"{root[len('table:'):]}.{name}"), spark)
+        # Catalog tables keep their bucketing; never repartition them.
+        return spark.table(f"{root[len('table:'):]}.{name}")
     return ensure_parallel(spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{root.rstrip('/')}/{name}"), spark)
 
 
@@ -35,6 +48,24 @@ def ensure_db(spark: SparkSession, db: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
 
 
+def land_raw_tables(spark: SparkSession, raw: dict, db: str, buckets: int) -> dict:
+    """Truncate-and-load the raw tables into catalog tables of ``db``,
+    bucketed (and sorted) on their keys; returns the rows loaded per table,
+    counted while writing."""
+    from pyspark.sql import Observation
+    ensure_db(spark, db)
+    counts = {}
+    for name, df in raw.items():
+        obs = Observation(f"land_{name}")
+        w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format("parquet")
+        key = RAW_BUCKET_KEYS.get(name)
+        if key:
+            w = w.bucketBy(buckets, key).sortBy(key)
+        w.saveAsTable(f"{db}.{name}")
+        counts[name] = int(obs.get["rows"])
+    return counts
+
+
 def table_name(layer: str, target: str, name: str, project: str = "larder") -> str:
     """``<project>_<target>_<layer>.<name>``: one database per layer and target."""
     return f"{project}_{target}_{layer}.{name}"
