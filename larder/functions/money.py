@@ -42,11 +42,22 @@ def pct_change(cur, prev) -> Column:
         F.round((cur - prev) / prev * 100, 2))
 
 
-def exact_avg(c) -> Column:
-    """Mean as double = exact sum / count of non-null values.
+AVG_MONEY = DecimalType(38, 6)
+
+
+def money_avg(c) -> Column:
+    """Mean of a decimal money column as an exact decimal(38,6): the exact
+    sum divided by the count of non-null values, rounded half-up once (the
+    warehouse averages NUMERIC as NUMERIC). Independent of row order.
+    Inputs may have up to 6 decimal places."""
+    c = _col(c)
+    return F.try_divide(F.sum(c).cast(AVG_MONEY), F.count(c))
+
 
-    The sum stays an exact decimal/integer, so the result does not depend on
-    the order rows are combined in (``avg`` over doubles would)."""
+def exact_avg(c) -> Column:
+    """Mean of an integer column as double = exact sum / count of non-null
+    values (the warehouse averages INT64 as FLOAT64). The sum is exact, so
+    the result does not depend on the order rows are combined in."""
     c = _col(c)
     return F.try_divide(F.sum(c).cast("double"), F.count(c))
 
@@ -58,6 +69,6 @@ def revenue_metrics(gross, discount) -> list[Column]:
         F.sum(g).alias("gross_revenue_gbp"),
         F.sum(d).alias("total_discount_gbp"),
         (F.sum(g) - F.sum(d)).alias("net_revenue_gbp"),
-        exact_avg(g).alias("avg_basket_gbp"),
+        money_avg(g).alias("avg_basket_gbp"),
         safe_divide(F.sum(d).cast("double"), F.sum(g).cast("double")).alias("discount_rate"),
     ]

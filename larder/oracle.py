@@ -65,9 +65,16 @@ def exact_pct(num: str, den: str) -> str:
 
 
 def avg(x: str) -> str:
+    """Integer column: exact sum / count as DOUBLE."""
     return f"cast(sum({x}) AS DOUBLE) / count({x})"
 
 
+def mavg(x: str) -> str:
+    """Decimal money column: exact sum / count, half-up at 6 places."""
+    q = _rhu(f"cast(sum({x}) * 1000000 AS HUGEINT)", f"count({x})")
+    return f"cast(cast({q} AS DECIMAL(38,0)) * cast(0.000001 AS DECIMAL(7,6)) AS DECIMAL(38,6))"
+
+
 M4 = "DECIMAL(18,4)"
 
 CTES: list[tuple[str, str]] = adapter_ctes("")
@@ -147,7 +154,7 @@ LEFT JOIN stg_promotions p ON o.promo_code = p.promo_code"""),
 SELECT customer_id, count(*) AS total_orders,
   count(*) FILTER (WHERE order_year = year({AS_OF})) AS orders_this_year,
   cast(sum(basket_value_gbp) AS DECIMAL(38,4)) AS lifetime_value_gbp,
-  {avg('basket_value_gbp')} AS avg_order_value_gbp,
+  {mavg('basket_value_gbp')} AS avg_order_value_gbp,
   min(order_date) AS first_order_date, max(order_date) AS last_order_date,
   cast(date_diff('day', max(order_date), {AS_OF}) AS INTEGER) AS days_since_last_order,
   count(*) FILTER (WHERE has_promo) AS promo_orders_count,
@@ -158,7 +165,7 @@ SELECT c.customer_id, c.email, c.first_name, c.last_name, c.loyalty_tier, c.regi
   c.is_active, c.days_since_registration, c.refreshed_at, a.first_order_date, a.last_order_date,
   coalesce(a.total_orders, 0) AS total_orders, coalesce(a.orders_this_year, 0) AS orders_this_year,
   coalesce(a.lifetime_value_gbp, 0) AS lifetime_value_gbp,
-  coalesce(a.avg_order_value_gbp, 0) AS avg_order_value_gbp,
+  cast(coalesce(a.avg_order_value_gbp, 0) AS DECIMAL(38,6)) AS avg_order_value_gbp,
   coalesce(a.days_since_last_order, 9999) AS days_since_last_order,
   coalesce(a.promo_orders_count, 0) AS promo_orders_count,
   coalesce(a.lifetime_discount_gbp, 0) AS lifetime_discount_gbp,
@@ -178,7 +185,7 @@ SELECT i.product_id, count(DISTINCT o.order_id) AS orders_containing_product,
   cast(sum(i.quantity) AS BIGINT) AS total_units_sold,
   cast(sum(i.line_total_gbp) AS DECIMAL(28,4)) AS total_revenue_gbp,
   cast(sum(i.discount_amount_gbp) AS DECIMAL(28,4)) AS total_discount_gbp,
-  {avg('i.unit_price_gbp')} AS avg_selling_price_gbp,
+  {mavg('i.unit_price_gbp')} AS avg_selling_price_gbp,
   count(*) FILTER (WHERE i.is_substituted) AS times_substituted_away
 FROM stg_order_items i JOIN int_orders_basket o ON i.order_id = o.order_id
 WHERE o.is_delivered GROUP BY i.product_id"""),
@@ -190,7 +197,7 @@ SELECT p.product_id, p.product_name, p.sku, p.category, p.subcategory, p.brand,
   coalesce(s.total_units_sold, 0) AS total_units_sold,
   coalesce(s.total_revenue_gbp, 0) AS total_revenue_gbp,
   coalesce(s.total_discount_gbp, 0) AS total_discount_gbp,
-  coalesce(s.avg_selling_price_gbp, 0) AS avg_selling_price_gbp,
+  cast(coalesce(s.avg_selling_price_gbp, 0) AS DECIMAL(38,6)) AS avg_selling_price_gbp,
   coalesce(s.times_substituted_away, 0) AS times_substituted_away,
   cast(coalesce(s.total_revenue_gbp, 0) - coalesce(s.total_units_sold, 0) * p.cost_price_gbp
        AS DECIMAL(38,4)) AS gross_margin_gbp,
@@ -251,7 +258,7 @@ SELECT order_date, order_channel, count(order_id) AS total_orders,
   cast(sum(basket_value_gbp) AS DECIMAL(38,4)) AS gross_revenue_gbp,
   cast(sum(total_discount_gbp) AS DECIMAL(38,4)) AS total_discount_gbp,
   cast(sum(basket_value_gbp) - sum(total_discount_gbp) AS DECIMAL(38,4)) AS net_revenue_gbp,
-  {avg('basket_value_gbp')} AS avg_basket_value_gbp,
+  {mavg('basket_value_gbp')} AS avg_basket_value_gbp,
   cast(sum(total_units) AS BIGINT) AS total_units_sold,
   count(*) FILTER (WHERE has_promo) AS promo_orders,
   count(*) FILTER (WHERE has_promo) / count(*) AS promo_attach_rate,
@@ -287,9 +294,9 @@ FROM (SELECT customer_segment, value_band, loyalty_tier,
         cast(date_trunc('month', registration_date) AS DATE) AS cohort_month,
         count(DISTINCT customer_id) AS customer_count,
         cast(sum(lifetime_value_gbp) AS DECIMAL(38,4)) AS cohort_ltv_gbp,
-        {avg('lifetime_value_gbp')} AS avg_ltv_gbp,
+        {mavg('lifetime_value_gbp')} AS avg_ltv_gbp,
         {avg('total_orders')} AS avg_orders_per_customer,
-        avg(avg_order_value_gbp) AS avg_basket_gbp,
+        {mavg('avg_order_value_gbp')} AS avg_basket_gbp,
         {avg('days_since_last_order')} AS avg_days_since_last_order,
         count(*) FILTER (WHERE days_since_last_order <= 30) AS active_last_30d,
         count(*) FILTER (WHERE days_since_last_order <= 90) AS active_last_90d
@@ -433,7 +440,7 @@ SELECT order_channel, order_year,
   cast(sum(basket_value_gbp) AS DECIMAL(38,4)) AS gross_revenue_gbp,
   cast(sum(total_discount_gbp) AS DECIMAL(38,4)) AS total_discount_gbp,
   cast(sum(basket_value_gbp) - sum(total_discount_gbp) AS DECIMAL(38,4)) AS net_revenue_gbp,
-  {avg('basket_value_gbp')} AS avg_basket_gbp,
+  {mavg('basket_value_gbp')} AS avg_basket_gbp,
   CASE WHEN sum(basket_value_gbp) = 0 OR sum(basket_value_gbp) IS NULL THEN NULL
        ELSE cast(sum(total_discount_gbp) AS DOUBLE) / cast(sum(basket_value_gbp) AS DOUBLE) END AS discount_rate
 FROM fact_orders WHERE is_delivered GROUP BY order_channel, order_year""",

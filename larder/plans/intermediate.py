@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions import customer_segment, exact_avg, safe_divide, today, week_sunday
+from larder.functions import customer_segment, money_avg, safe_divide, today, week_sunday
 from larder.operators.filters import since_lookback
 from larder.operators.joins import lookup_join, materialize_bounded
 from larder.operators.windows import keep_first
@@ -76,7 +76,7 @@ def customer_metrics(baskets: DataFrame, customers: DataFrame, p) -> DataFrame:
         F.count(F.lit(1)).alias("total_orders"),
         F.count_if(F.col("order_year") == F.year(today(p))).alias("orders_this_year"),
         F.sum("basket_value_gbp").alias("lifetime_value_gbp"),
-        exact_avg("basket_value_gbp").alias("avg_order_value_gbp"),
+        money_avg("basket_value_gbp").alias("avg_order_value_gbp"),
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"),
         F.datediff(today(p), F.max("order_date")).alias("days_since_last_order"),
@@ -93,7 +93,7 @@ def customer_metrics(baskets: DataFrame, customers: DataFrame, p) -> DataFrame:
         F.coalesce("a.total_orders", z).alias("total_orders"),
         F.coalesce("a.orders_this_year", z).alias("orders_this_year"),
         F.coalesce("a.lifetime_value_gbp", z).alias("lifetime_value_gbp"),
-        F.coalesce("a.avg_order_value_gbp", z.cast("double")).alias("avg_order_value_gbp"),
+        F.coalesce("a.avg_order_value_gbp", z).alias("avg_order_value_gbp"),
         F.coalesce("a.days_since_last_order", F.lit(9999)).alias("days_since_last_order"),
         F.coalesce("a.promo_orders_count", z).alias("promo_orders_count"),
         F.coalesce("a.lifetime_discount_gbp", z).alias("lifetime_discount_gbp"),
@@ -124,7 +124,7 @@ def product_sales(items: DataFrame, orders: DataFrame) -> DataFrame:
         F.sum("quantity").alias("total_units_sold"),
         F.sum("line_total_gbp").alias("total_revenue_gbp"),
         F.sum("discount_amount_gbp").alias("total_discount_gbp"),
-        exact_avg("unit_price_gbp").alias("avg_selling_price_gbp"),
+        money_avg("unit_price_gbp").alias("avg_selling_price_gbp"),
         F.count_if("is_substituted").alias("times_substituted_away"),
     )
 
@@ -153,7 +153,7 @@ def product_metrics(items: DataFrame, orders: DataFrame, products: DataFrame,
                   F.coalesce("s.total_units_sold", z).alias("total_units_sold"),
                   revenue.alias("total_revenue_gbp"),
                   F.coalesce("s.total_discount_gbp", z).alias("total_discount_gbp"),
-                  F.coalesce("s.avg_selling_price_gbp", z.cast("double")).alias("avg_selling_price_gbp"),
+                  F.coalesce("s.avg_selling_price_gbp", z).alias("avg_selling_price_gbp"),
                   F.coalesce("s.times_substituted_away", z).alias("times_substituted_away"),
                   margin.alias("gross_margin_gbp"),
                   F.when(revenue == 0, F.lit(None))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions import exact_avg, now_utc, pct_change, safe_divide, stock_status
+from larder.functions import exact_avg, money_avg, now_utc, pct_change, stock_status
 from larder.operators.filters import latest_snapshot
 from larder.operators.windows import lag_days, lag_rows, rolling_days, rolling_rows
 
@@ -24,7 +24,7 @@ def daily_aggregate(fact_orders: DataFrame) -> DataFrame:
         F.sum("basket_value_gbp").alias("gross_revenue_gbp"),
         F.sum("total_discount_gbp").alias("total_discount_gbp"),
         (F.sum("basket_value_gbp") - F.sum("total_discount_gbp")).alias("net_revenue_gbp"),
-        exact_avg("basket_value_gbp").alias("avg_basket_value_gbp"),
+        money_avg("basket_value_gbp").alias("avg_basket_value_gbp"),
         F.sum("total_units").alias("total_units_sold"),
         F.count_if("has_promo").alias("promo_orders"),
         (F.count_if("has_promo") / F.count(F.lit(1))).alias("promo_attach_rate"),
@@ -75,9 +75,9 @@ def customer_ltv(dim_customers: DataFrame) -> DataFrame:
                     F.trunc("registration_date", "month").alias("cohort_month")).agg(
         F.count_distinct("customer_id").alias("customer_count"),
         F.sum("lifetime_value_gbp").alias("cohort_ltv_gbp"),
-        exact_avg("lifetime_value_gbp").alias("avg_ltv_gbp"),
+        money_avg("lifetime_value_gbp").alias("avg_ltv_gbp"),
         exact_avg("total_orders").alias("avg_orders_per_customer"),
-        F.avg("avg_order_value_gbp").alias("avg_basket_gbp"),
+        money_avg("avg_order_value_gbp").alias("avg_basket_gbp"),
         exact_avg("days_since_last_order").alias("avg_days_since_last_order"),
         F.count_if(F.col("days_since_last_order") <= 30).alias("active_last_30d"),
         F.count_if(F.col("days_since_last_order") <= 90).alias("active_last_90d"),

@@ -63,9 +63,14 @@ def test_cents_to_pounds(spark):
     assert out == [Decimal("123.45"), Decimal("0.05"), None]
 
 
-def test_exact_avg_ignores_nulls(spark):
+def test_averages_ignore_nulls_and_round_half_up(spark):
+    from larder.functions import money_avg
     df = spark.createDataFrame([(Decimal("1.10"),), (Decimal("2.20"),), (None,)], "x decimal(18,4)")
-    assert abs(df.agg(exact_avg("x")).first()[0] - 1.65) < 1e-12
+    assert df.agg(money_avg("x")).first()[0] == Decimal("1.650000")
+    thirds = spark.createDataFrame([(Decimal("1"),), (Decimal("0"),), (Decimal("1"),)], "x decimal(18,4)")
+    assert thirds.agg(money_avg("x")).first()[0] == Decimal("0.666667")
+    ints = spark.createDataFrame([(1,), (2,), (None,)], "x bigint")
+    assert ints.agg(exact_avg("x")).first()[0] == 1.5
 
 
 def test_customer_segment_edges(spark):
