@@ -99,59 +99,69 @@ class Check:
         return f"{self.kind}({self.column})" if self.column else self.kind
 
 
-def _failing_row_condition(chk: Check):
-    c = F.col(chk.column)
+def _sql_lit(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(v)
+
+
+def _failing_row_sql(chk: Check) -> str:
+    c = f"`{chk.column}`"
     if chk.kind == "not_null":
-        return c.isNull()
+        return f"{c} IS NULL"
     if chk.kind == "in_set":
-        return ~c.isin(list(chk.args["values"]))
+        return f"NOT ({c} IN ({', '.join(_sql_lit(v) for v in chk.args['values'])}))"
     if chk.kind == "between":
-        return ~_between_cond(chk.column, chk.args.get("lo"), chk.args.get("hi"))
+        return f"NOT ({_range_sql(c, chk.args)})"
     if chk.kind == "regex":
-        return ~c.rlike(chk.args["regex"])
+        return f"NOT ({c} RLIKE {_sql_lit(chk.args['regex'])})"
     raise ValueError(chk.kind)
 
 
+def _range_sql(expr: str, args: dict) -> str:
+    parts = ["true"]
+    if args.get("lo") is not None:
+        parts.append(f"{expr} >= {_sql_lit(args['lo'])}")
+    if args.get("hi") is not None:
+        parts.append(f"{expr} <= {_sql_lit(args['hi'])}")
+    return " AND ".join(parts)
+
+
+def suite_sql(view: str, table: str, checks: list) -> str:
+    """The suite as one SQL statement over ``view``: row-level checks are
+    ``count_if`` columns of a single aggregate (stacked into rows); each
+    uniqueness check counts the rows of duplicated values in its own grouped
+    aggregate (partial aggregation before the shuffle)."""
+    row_checks = [c for c in checks if c.kind != "unique"]
+    uniq = [c for c in checks if c.kind == "unique"]
+    selects = []
+    if row_checks:
+        aggs, stack = ["count(*) AS _rows"], []
+        for i, chk in enumerate(row_checks):
+            if chk.kind == "row_count":
+                failed = f"CASE WHEN {_range_sql('_rows', chk.args)} THEN 0 ELSE 1 END"
+            else:
+                aggs.append(f"count_if({_failing_row_sql(chk)}) AS _c{i}")
+                failed = f"_c{i}"
+            stack += [str(i), _sql_lit(chk.name), f"CAST({failed} AS BIGINT)"]
+        selects.append(f"SELECT stack({len(row_checks)}, {', '.join(stack)}) AS (check_order, check, failed_rows) "
+                       f"FROM (SELECT {', '.join(aggs)} FROM {view})")
+    for j, chk in enumerate(uniq):
+        selects.append(f"SELECT {len(row_checks) + j} AS check_order, {_sql_lit(chk.name)} AS check, "
+                       f"CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS failed_rows "
+                       f"FROM (SELECT count(*) AS n FROM {view} WHERE `{chk.column}` IS NOT NULL "
+                       f"GROUP BY `{chk.column}`)")
+    body = " UNION ALL ".join(selects)
+    return (f"SELECT {_sql_lit(table)} AS table_name, CAST(check_order AS INT) AS check_order, check, "
+            f"failed_rows, failed_rows = 0 AS success FROM ({body})")
+
+
 def run_suite(df: DataFrame, table: str, checks: list[Check]) -> DataFrame:
-    """table, check, failed_rows, success: one row per check.
-
-    Row-level checks are ``count_if`` columns of a single aggregate over the
-    table; each uniqueness check counts the rows of duplicated values in its
-    own grouped aggregate (partial aggregation before the shuffle)."""
-    row_checks = [c for c in checks if c.kind in ("not_null", "in_set", "between", "regex", "row_count")]
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, chk in enumerate(row_checks):
-        if chk.kind != "row_count":
-            aggs.append(F.count_if(_failing_row_condition(chk)).alias(f"_c{i}"))
-    one = df.agg(*aggs)
-    parts = []
-    for i, chk in enumerate(row_checks):
-        if chk.kind == "row_count":
-            n = F.col("_rows")
-            ok = F.lit(True)
-            if chk.args.get("lo") is not None:
-                ok = ok & (n >= chk.args["lo"])
-            if chk.args.get("hi") is not None:
-                ok = ok & (n <= chk.args["hi"])
-            failed = F.when(ok, F.lit(0)).otherwise(F.lit(1)).cast("bigint")
-        else:
-            failed = F.col(f"_c{i}")
-        parts.append((i, chk, failed))
-    rows = None
-    if parts:
-        stack = F.explode(F.array(*[
-            F.struct(F.lit(i).alias("check_order"), F.lit(chk.name).alias("check"),
-                     failed.alias("failed_rows")) for i, chk, failed in parts]))
-        rows = one.select(stack.alias("r")).select("r.*")
-    for j, chk in enumerate(c for c in checks if c.kind == "unique"):
-        dup = (df.where(F.col(chk.column).isNotNull()).groupBy(chk.column)
-                 .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-                 .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("failed_rows"))
-                 .select(F.lit(len(row_checks) + j).alias("check_order"),
-                         F.lit(chk.name).alias("check"), "failed_rows"))
-        rows = dup if rows is None else rows.unionByName(dup)
-    return rows.select(F.lit(table).alias("table_name"), "check_order", "check", "failed_rows",
-                       (F.col("failed_rows") == 0).alias("success"))
+    """table_name, check_order, check, failed_rows, success: one row per
+    check, computed in place as one Spark SQL statement over the table."""
+    view = f"larder_suite_{table}"
+    df.createOrReplaceTempView(view)
+    return df.sparkSession.sql(suite_sql(view, table, checks))
 
 
 def suite_summary(results: DataFrame) -> DataFrame:
