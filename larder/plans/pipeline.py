@@ -9,6 +9,7 @@ tables), so each layer's lineage stops at the previous layer's files."""
 from __future__ import annotations
 
 import time
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -26,13 +27,39 @@ def _path(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
 
 
+def run_published_tests(spark: SparkSession, relations: dict) -> list:
+    """Declared tests of the given published relations -> [(test, status)]
+    (one small row per test)."""
+    from larder.plans.declared_tests import DECLARED, run_declared_tests
+    declared = {k: v for k, v in DECLARED.items() if k in relations}
+    # relationship tests whose parent is not among the relations are skipped
+    declared = {k: {c: [t for t in ts if isinstance(t, str) or t[0] != "relationships" or t[1][0] in relations]
+                    for c, ts in v.items()} for k, v in declared.items()}
+    res = run_declared_tests(relations, declared).select("test", "status").collect()
+    return [(r.test, r.status) for r in res]
+
+
+def write_run_results(spark: SparkSession, root: str, run_id: str, elapsed: float,
+                      results: list) -> str:
+    """One run-results document (run_id, elapsed_time, results[status,
+    unique_id]) under <root>/_runs/, readable by ``read_run_log``."""
+    path = f"{root.rstrip('/')}/_runs/{run_id}"
+    doc = spark.createDataFrame(
+        [(run_id, float(elapsed), [(status, uid) for uid, status in results])],
+        "run_id string, elapsed_time double, results array<struct<status:string,unique_id:string>>")
+    doc.coalesce(1).write.mode("overwrite").json(path)
+    return path
+
+
 def stage_views(raw: dict, p) -> dict:
     """Staging layer as named views (no storage)."""
     return {name: register_view(STAGING[name](raw[name], p), f"stg_{name}") for name in STAGING}
 
 
-def run_full(spark: SparkSession, raw: dict, p, root: str) -> dict:
-    """Daily run: every model, facts rebuilt from all history."""
+def run_full(spark: SparkSession, raw: dict, p, root: str, with_tests: bool = True,
+             run_id: str | None = None) -> dict:
+    """Daily run: every model, facts rebuilt from all history; then the
+    declared tests on the published tables and a run-results document."""
     t0 = time.perf_counter()
     s = stage_views(raw, p)
     baskets = I.basket_metrics(s["orders"], s["order_items"], s["promotions"], p)
@@ -69,12 +96,33 @@ def run_full(spark: SparkSession, raw: dict, p, root: str) -> dict:
         _path(root, "reporting", "inventory_alerts")))
     step("reporting_customer_ltv", lambda: write_table(
         R.customer_ltv(spark.read.parquet(dc_path)), _path(root, "reporting", "customer_ltv")))
-    return {"mode": "full", "seconds": round(time.perf_counter() - t0, 3), "models": timings}
-
-
-def run_incremental(spark: SparkSession, raw: dict, p, root: str) -> dict:
+    out = {"mode": "full", "seconds": round(time.perf_counter() - t0, 3), "models": timings}
+    if with_tests:
+        published = {name: read_published(spark, root, layer, table) for name, layer, table in PUBLISHED}
+        published.update({f"stg_{k}": v for k, v in s.items()})
+        tests = run_published_tests(spark, published)
+        out["tests_failed"] = sum(1 for _, st in tests if st == "fail")
+        results = [(f"model.larder.{m}", "success") for m in timings]
+        results += [(f"test.larder.{t}", st) for t, st in tests]
+        out["run_results"] = write_run_results(spark, root, run_id or f"full-{uuid.uuid4().hex[:8]}",
+                                               time.perf_counter() - t0, results)
+    return out
+
+
+# (model name in the declared tests, layer, published table)
+PUBLISHED = [
+    ("fact_orders", "analytics", "fact_orders"), ("fact_order_items", "analytics", "fact_order_items"),
+    ("dim_customers", "analytics", "dim_customers"), ("dim_products", "analytics", "dim_products"),
+    ("dim_date", "analytics", "dim_date"), ("daily_sales", "reporting", "daily_sales"),
+    ("inventory_alerts", "reporting", "inventory_alerts"), ("customer_ltv", "reporting", "customer_ltv"),
+]
+
+
+def run_incremental(spark: SparkSession, raw: dict, p, root: str, with_tests: bool = True,
+                    run_id: str | None = None) -> dict:
     """Hourly run: only the two facts, from orders inside the lookback
-    window; line aggregation restricted to those orders; upsert by key."""
+    window; line aggregation restricted to those orders; upsert by key;
+    then the two facts' declared tests and a run-results document."""
     t0 = time.perf_counter()
     s = stage_views(raw, p)
     baskets = I.basket_metrics(s["orders"], s["order_items"], s["promotions"], p, incremental=True)
@@ -86,7 +134,17 @@ def run_incremental(spark: SparkSession, raw: dict, p, root: str) -> dict:
             spark, FA.fact_order_items(s["order_items"], s["orders"], s["products"], p, incremental=True),
             _path(root, "analytics", "fact_order_items"), cluster_by=FA.FACT_ORDER_ITEMS_CLUSTER),
     }
-    return {"mode": "incremental", "seconds": round(time.perf_counter() - t0, 3), "models": stats}
+    out = {"mode": "incremental", "seconds": round(time.perf_counter() - t0, 3), "models": stats}
+    if with_tests:
+        published = {name: read_published(spark, root, "analytics", name)
+                     for name in ("fact_orders", "fact_order_items")}
+        tests = run_published_tests(spark, published)
+        out["tests_failed"] = sum(1 for _, st in tests if st == "fail")
+        results = [(f"model.larder.{m}", "success") for m in stats]
+        results += [(f"test.larder.{t}", st) for t, st in tests]
+        out["run_results"] = write_run_results(spark, root, run_id or f"hourly-{uuid.uuid4().hex[:8]}",
+                                               time.perf_counter() - t0, results)
+    return out
 
 
 def read_published(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:

@@ -43,3 +43,18 @@ def test_full_then_incremental(spark, scratch):
     ds = read_published(spark, root, "reporting", "daily_sales")
     assert ds.count() == old.daily_sales.count()
     assert read_published(spark, root, "reporting", "customer_ltv").where(F.col("cohort_month").isNull()).count() == 0
+
+
+def test_run_results_documents(spark, scratch):
+    from larder.plans.alerts import run_log_rollup
+    from larder.sources.raw import read_run_log
+    p = TEST_PARAMS
+    m = Models.from_testdata(spark, SF001, p)
+    root = f"{scratch}/wh"
+    full = run_full(spark, m.raw, p, root, run_id="daily-1")
+    inc = run_incremental(spark, m.raw, p, root, run_id="hourly-1")
+    assert full["tests_failed"] == 0 and inc["tests_failed"] == 0
+    roll = {r.run_id: r for r in run_log_rollup(read_run_log(spark, f"{root}/_runs/*")).collect()}
+    assert set(roll) == {"daily-1", "hourly-1"}
+    assert roll["hourly-1"].errors == 0 and roll["hourly-1"].total == 2 + 12
+    assert roll["daily-1"].success == roll["daily-1"].total
