@@ -30,10 +30,10 @@ def run_pipelines(spark, sf_dir: str) -> dict:
     from larder.sources.testdata import raw_tables
     root = tempfile.mkdtemp(prefix="larder-bench-wh-", dir=os.environ.get("LARDER_SCRATCH", "/tmp"))
     earlier = replace(TEST_PARAMS, as_of=TEST_PARAMS.as_of - dt.timedelta(days=2))
-    full = run_full(spark, raw_tables(spark, sf_dir), earlier, root)
+    full = run_full(spark, raw_tables(spark, sf_dir), earlier, root, with_tests=False)
     out = {"full_seconds": full["seconds"], "full_models": full["models"]}
     for i in range(2):  # second hourly run: warm, and a no-change replay
-        inc = run_incremental(spark, raw_tables(spark, sf_dir), TEST_PARAMS, root)
+        inc = run_incremental(spark, raw_tables(spark, sf_dir), TEST_PARAMS, root, with_tests=False)
         out[f"incremental_seconds_{i + 1}"] = inc["seconds"]
     return out
 
