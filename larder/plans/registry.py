@@ -5,6 +5,7 @@ lazy DataFrame; column names match the SQL oracle's."""
 from __future__ import annotations
 
 import datetime as dt
+import os
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,28 @@ P = TEST_PARAMS
 
 
 _GRAPHS: dict = {}
+_LANDED: dict = {}
+LAND_RAW = os.environ.get("LARDER_LAND_RAW", "1") != "0"
+
+
+def landed_raw(spark: SparkSession, sf_dir: str) -> dict:
+    """The six raw tables, derived from the test tables by the adapter and
+    landed once per session as bucketed tables in the shared checkpoint
+    folder — the state a run starts from in production (raw tables loaded,
+    then models built). Later queries read the landed buckets."""
+    import hashlib
+    from larder.session import scratch_path
+    from larder.sources.raw import RAW_BUCKET_KEYS, land_raw_tables
+    from larder.sources.testdata import raw_tables
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _LANDED:
+        tag = hashlib.sha1(repr(key).encode()).hexdigest()[:10]
+        db = f"larder_landed_{tag}"
+        buckets = max(spark.sparkContext.defaultParallelism, 1)
+        land_raw_tables(spark, raw_tables(spark, sf_dir), db, buckets,
+                        location=scratch_path(spark, f"landed/{db}"))
+        _LANDED[key] = {t: spark.table(f"{db}.{t}") for t in RAW_BUCKET_KEYS}
+    return _LANDED[key]
 
 
 def _m(spark: SparkSession, sf_dir: str, p=P) -> Models:
@@ -37,7 +60,11 @@ def _m(spark: SparkSession, sf_dir: str, p=P) -> Models:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), repr(p))
     m = _GRAPHS.get(key)
     if m is None or m.spark is not spark:
-        m = _GRAPHS[key] = Models.from_testdata(spark, sf_dir, p)
+        if LAND_RAW:
+            m = Models(spark, landed_raw(spark, sf_dir), p)
+        else:
+            m = Models.from_testdata(spark, sf_dir, p)
+        _GRAPHS[key] = m
     return m
 
 

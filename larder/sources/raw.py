@@ -44,23 +44,33 @@ def read_raw(spark: SparkSession, root: str, name: str) -> DataFrame:
     return ensure_parallel(spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{root.rstrip('/')}/{name}"), spark)
 
 
-def ensure_db(spark: SparkSession, db: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
+def ensure_db(spark: SparkSession, db: str, location: str | None = None) -> None:
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`{loc}")
 
 
-def land_raw_tables(spark: SparkSession, raw: dict, db: str, buckets: int) -> dict:
+def land_raw_tables(spark: SparkSession, raw: dict, db: str, buckets: int,
+                    location: str | None = None) -> dict:
     """Truncate-and-load the raw tables into catalog tables of ``db``,
     bucketed (and sorted) on their keys; returns the rows loaded per table,
-    counted while writing."""
+    counted while writing. With ``location`` the data files live under that
+    folder (e.g. the shared checkpoint folder)."""
     from pyspark.sql import Observation
-    ensure_db(spark, db)
+    ensure_db(spark, db, location)
     counts = {}
     for name, df in raw.items():
-        obs = Observation(f"land_{name}")
-        w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format("parquet")
+        obs = Observation(f"land_{db}_{name}")
         key = RAW_BUCKET_KEYS.get(name)
+        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        if key:
+            # Hash-partition on the bucket key first: each task then writes
+            # exactly one bucket file, all buckets in parallel.
+            df = df.repartition(buckets, key)
+        w = df.write.mode("overwrite").format("parquet")
         if key:
             w = w.bucketBy(buckets, key).sortBy(key)
+        if location:
+            w = w.option("path", f"{location.rstrip('/')}/{name}")
         w.saveAsTable(f"{db}.{name}")
         counts[name] = int(obs.get["rows"])
     return counts
