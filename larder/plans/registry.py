@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import threading
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,7 @@ P = TEST_PARAMS
 
 _GRAPHS: dict = {}
 _LANDED: dict = {}
+_LOCK = threading.RLock()
 LAND_RAW = os.environ.get("LARDER_LAND_RAW", "1") != "0"
 
 
@@ -38,11 +40,16 @@ def landed_raw(spark: SparkSession, sf_dir: str) -> dict:
     landed once per session as bucketed tables in the shared checkpoint
     folder — the state a run starts from in production (raw tables loaded,
     then models built). Later queries read the landed buckets."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    with _LOCK:
+        return _landed_locked(spark, sf_dir, key)
+
+
+def _landed_locked(spark, sf_dir, key):
     import hashlib
     from larder.session import scratch_path
     from larder.sources.raw import RAW_BUCKET_KEYS, land_raw_tables
     from larder.sources.testdata import raw_tables
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _LANDED:
         tag = hashlib.sha1(repr(key).encode()).hexdigest()[:10]
         db = f"larder_landed_{tag}"
@@ -58,14 +65,15 @@ def _m(spark: SparkSession, sf_dir: str, p=P) -> Models:
     Queries in one session share it (DataFrames are immutable plans), so the
     graph is built once, as in a pipeline run."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), repr(p))
-    m = _GRAPHS.get(key)
-    if m is None or m.spark is not spark:
-        if LAND_RAW:
-            m = Models(spark, landed_raw(spark, sf_dir), p)
-        else:
-            m = Models.from_testdata(spark, sf_dir, p)
-        _GRAPHS[key] = m
-    return m
+    with _LOCK:
+        m = _GRAPHS.get(key)
+        if m is None or m.spark is not spark:
+            if LAND_RAW:
+                m = Models(spark, landed_raw(spark, sf_dir), p)
+            else:
+                m = Models.from_testdata(spark, sf_dir, p)
+            _GRAPHS[key] = m
+        return m
 
 
 def _model(attr):
