@@ -14,23 +14,28 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def cluster_for_write(df: DataFrame, partition_col: str | None, cluster_by: list) -> DataFrame:
+def cluster_for_write(df: DataFrame, partition_col: str | None, cluster_by: list,
+                      tiebreak: list | None = None) -> DataFrame:
     """Lay out rows for pruning: rebalance on the partition column (AQE
     splits oversized days into several files and merges tiny ones), then sort
     each file by the clustering columns so Parquet min/max statistics skip
-    row groups on filters over them."""
+    row groups on filters over them. Unpartitioned tables are range
+    partitioned on the clustering columns plus ``tiebreak`` (a unique key),
+    so a clustering value held by a third of the rows still spreads over
+    several files instead of one."""
     if partition_col:
         df = df.hint("rebalance", partition_col)
         return df.sortWithinPartitions(partition_col, *cluster_by)
     if cluster_by:
-        return df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+        order = list(cluster_by) + list(tiebreak or [])
+        return df.repartitionByRange(*order).sortWithinPartitions(*order)
     return df
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None,
-                cluster_by: list | None = None) -> None:
+                cluster_by: list | None = None, tiebreak: list | None = None) -> None:
     """Full refresh (SCD type 1): overwrite the whole table."""
-    w = cluster_for_write(df, partition_by, cluster_by or []).write.mode("overwrite")
+    w = cluster_for_write(df, partition_by, cluster_by or [], tiebreak).write.mode("overwrite")
     if partition_by:
         w = w.option("partitionOverwriteMode", "static").partitionBy(partition_by)
     w.parquet(path)

@@ -83,9 +83,9 @@ def run_full(spark: SparkSession, raw: dict, p, root: str, with_tests: bool = Tr
     pm = I.product_metrics(s["order_items"], s["orders"], s["products"], s["inventory"], p)
     dc_path, dp_path = _path(root, "analytics", "dim_customers"), _path(root, "analytics", "dim_products")
     step("dim_customers", lambda: write_table(D.dim_customers(cm, p), dc_path,
-                                              cluster_by=D.DIM_CUSTOMERS_CLUSTER))
+                                              cluster_by=D.DIM_CUSTOMERS_CLUSTER, tiebreak=["customer_id"]))
     step("dim_products", lambda: write_table(D.dim_products(pm, p), dp_path,
-                                             cluster_by=D.DIM_PRODUCTS_CLUSTER))
+                                             cluster_by=D.DIM_PRODUCTS_CLUSTER, tiebreak=["product_id"]))
     step("dim_date", lambda: write_table(D.dim_date(spark, p), _path(root, "analytics", "dim_date")))
     baskets.unpersist()
     # days x channels rows only: one date-ordered file set (min/max skipping
