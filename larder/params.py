@@ -22,6 +22,8 @@ class Params:
     target: str = "prod"
     dev_days: int = 90
     lookback_days: int = 3
+    # Independent models published concurrently (Spark jobs from a thread pool).
+    threads: int = 4
     # Value bands on lifetime value: high >= first, mid >= second, low > 0.
     value_bands: tuple = (2000, 500)
     # Product tiers on revenue: hero >= first, core >= second, tail > 0.

@@ -56,48 +56,64 @@ def stage_views(raw: dict, p) -> dict:
     return {name: register_view(STAGING[name](raw[name], p), f"stg_{name}") for name in STAGING}
 
 
+def _in_parallel(steps: dict, threads: int) -> tuple[dict, dict]:
+    """Run independent publishing steps as concurrent Spark jobs; returns
+    (seconds per step, result per step). Any failure is raised."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def timed(fn):
+        t = time.perf_counter()
+        res = fn()
+        return round(time.perf_counter() - t, 3), res
+
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        futures = {name: pool.submit(timed, fn) for name, fn in steps.items()}
+        done = {name: f.result() for name, f in futures.items()}
+    return {k: v[0] for k, v in done.items()}, {k: v[1] for k, v in done.items()}
+
+
 def run_full(spark: SparkSession, raw: dict, p, root: str, with_tests: bool = True,
              run_id: str | None = None) -> dict:
     """Daily run: every model, facts rebuilt from all history; then the
-    declared tests on the published tables and a run-results document."""
+    declared tests on the published tables and a run-results document.
+    Models of one layer are independent and published concurrently."""
     t0 = time.perf_counter()
     s = stage_views(raw, p)
     baskets = I.basket_metrics(s["orders"], s["order_items"], s["promotions"], p)
     # Read by the order fact and the customer metrics: computed once.
     baskets = baskets.persist(StorageLevel.MEMORY_AND_DISK)
-    timings = {}
-
-    def step(name, fn):
-        t = time.perf_counter()
-        fn()
-        timings[name] = round(time.perf_counter() - t, 3)
-
     fo_path = _path(root, "analytics", "fact_orders")
     foi_path = _path(root, "analytics", "fact_order_items")
-    step("fact_orders", lambda: write_incremental(
-        spark, FA.fact_orders(baskets, p), fo_path, cluster_by=FA.FACT_ORDERS_CLUSTER, replace=True))
-    step("fact_order_items", lambda: write_incremental(
-        spark, FA.fact_order_items(s["order_items"], s["orders"], s["products"], p), foi_path,
-        cluster_by=FA.FACT_ORDER_ITEMS_CLUSTER, replace=True))
+    dc_path, dp_path = _path(root, "analytics", "dim_customers"), _path(root, "analytics", "dim_products")
     cm = I.customer_metrics(baskets, s["customers"], p)
     pm = I.product_metrics(s["order_items"], s["orders"], s["products"], s["inventory"], p)
-    dc_path, dp_path = _path(root, "analytics", "dim_customers"), _path(root, "analytics", "dim_products")
-    step("dim_customers", lambda: write_table(D.dim_customers(cm, p), dc_path,
-                                              cluster_by=D.DIM_CUSTOMERS_CLUSTER, tiebreak=["customer_id"]))
-    step("dim_products", lambda: write_table(D.dim_products(pm, p), dp_path,
-                                             cluster_by=D.DIM_PRODUCTS_CLUSTER, tiebreak=["product_id"]))
-    step("dim_date", lambda: write_table(D.dim_date(spark, p), _path(root, "analytics", "dim_date")))
+    timings, _ = _in_parallel({
+        "fact_orders": lambda: write_incremental(
+            spark, FA.fact_orders(baskets, p), fo_path, cluster_by=FA.FACT_ORDERS_CLUSTER, replace=True),
+        "fact_order_items": lambda: write_incremental(
+            spark, FA.fact_order_items(s["order_items"], s["orders"], s["products"], p), foi_path,
+            cluster_by=FA.FACT_ORDER_ITEMS_CLUSTER, replace=True),
+        "dim_customers": lambda: write_table(D.dim_customers(cm, p), dc_path,
+                                             cluster_by=D.DIM_CUSTOMERS_CLUSTER, tiebreak=["customer_id"]),
+        "dim_products": lambda: write_table(D.dim_products(pm, p), dp_path,
+                                            cluster_by=D.DIM_PRODUCTS_CLUSTER, tiebreak=["product_id"]),
+        "dim_date": lambda: write_table(D.dim_date(spark, p), _path(root, "analytics", "dim_date")),
+    }, p.threads)
     baskets.unpersist()
-    # days x channels rows only: one date-ordered file set (min/max skipping
-    # on date filters) instead of a directory per day of a few rows each.
-    step("reporting_daily_sales", lambda: write_table(
-        R.daily_sales(spark.read.parquet(fo_path)), _path(root, "reporting", "daily_sales"),
-        cluster_by=["order_date", "order_channel"]))
-    step("reporting_inventory_alerts", lambda: write_table(
-        R.inventory_alerts(s["inventory"], spark.read.parquet(dp_path), p),
-        _path(root, "reporting", "inventory_alerts")))
-    step("reporting_customer_ltv", lambda: write_table(
-        R.customer_ltv(spark.read.parquet(dc_path)), _path(root, "reporting", "customer_ltv")))
+    # Reports read the published tables back.
+    # daily_sales has days x channels rows only: one date-ordered file set
+    # (min/max skipping on date filters) instead of a directory per day.
+    more, _ = _in_parallel({
+        "reporting_daily_sales": lambda: write_table(
+            R.daily_sales(spark.read.parquet(fo_path)), _path(root, "reporting", "daily_sales"),
+            cluster_by=["order_date", "order_channel"]),
+        "reporting_inventory_alerts": lambda: write_table(
+            R.inventory_alerts(s["inventory"], spark.read.parquet(dp_path), p),
+            _path(root, "reporting", "inventory_alerts")),
+        "reporting_customer_ltv": lambda: write_table(
+            R.customer_ltv(spark.read.parquet(dc_path)), _path(root, "reporting", "customer_ltv")),
+    }, p.threads)
+    timings.update(more)
     out = {"mode": "full", "seconds": round(time.perf_counter() - t0, 3), "models": timings}
     if with_tests:
         published = {name: read_published(spark, root, layer, table) for name, layer, table in PUBLISHED}
@@ -128,14 +144,14 @@ def run_incremental(spark: SparkSession, raw: dict, p, root: str, with_tests: bo
     t0 = time.perf_counter()
     s = stage_views(raw, p)
     baskets = I.basket_metrics(s["orders"], s["order_items"], s["promotions"], p, incremental=True)
-    stats = {
-        "fact_orders": write_incremental(
+    _, stats = _in_parallel({
+        "fact_orders": lambda: write_incremental(
             spark, FA.fact_orders(baskets, p, incremental=True), _path(root, "analytics", "fact_orders"),
             cluster_by=FA.FACT_ORDERS_CLUSTER),
-        "fact_order_items": write_incremental(
+        "fact_order_items": lambda: write_incremental(
             spark, FA.fact_order_items(s["order_items"], s["orders"], s["products"], p, incremental=True),
             _path(root, "analytics", "fact_order_items"), cluster_by=FA.FACT_ORDER_ITEMS_CLUSTER),
-    }
+    }, p.threads)
     out = {"mode": "incremental", "seconds": round(time.perf_counter() - t0, 3), "models": stats}
     if with_tests:
         published = {name: read_published(spark, root, "analytics", name)
