@@ -82,8 +82,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is configured by the submitter and must be a
-    shared file system; it is only filled in here when unset (local runs and
-    tests), with a fresh scratch directory.
+    shared file system (an unset folder is an error there); only in local
+    mode (runs and tests) is an unset folder filled in with a fresh scratch
+    directory.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -91,6 +92,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            # A machine-local folder is not visible to other executors.
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         conf_dir = tempfile.mkdtemp(prefix="larder-ckpt-", dir=os.environ.get("LARDER_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
