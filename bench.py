@@ -1,7 +1,10 @@
 """Benchmark: run every registered query at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is executed to completion with the no-op sink (all rows
-computed, nothing collected), after one warm-up pass. Prints one JSON line.
+computed, nothing collected); the time per query is the best of
+$BENCH_PASSES passes (default 2, the first one warming the JVM). Then the
+full daily pipeline and two hourly incremental runs are timed. Prints one
+JSON line.
 """
 
 from __future__ import annotations
@@ -27,13 +30,16 @@ def run_pipelines(spark, sf_dir: str) -> dict:
 
     from larder.params import TEST_PARAMS
     from larder.plans.pipeline import run_full, run_incremental
+    from larder.plans import registry
     from larder.sources.testdata import raw_tables
+    # Start from the landed (bucketed) raw tables, as a production run does.
+    raw = registry.landed_raw(spark, sf_dir) if registry.LAND_RAW else raw_tables(spark, sf_dir)
     root = tempfile.mkdtemp(prefix="larder-bench-wh-", dir=os.environ.get("LARDER_SCRATCH", "/tmp"))
     earlier = replace(TEST_PARAMS, as_of=TEST_PARAMS.as_of - dt.timedelta(days=2))
-    full = run_full(spark, raw_tables(spark, sf_dir), earlier, root, with_tests=False)
+    full = run_full(spark, raw, earlier, root, with_tests=False)
     out = {"full_seconds": full["seconds"], "full_models": full["models"]}
     for i in range(2):  # second hourly run: warm, and a no-change replay
-        inc = run_incremental(spark, raw_tables(spark, sf_dir), TEST_PARAMS, root, with_tests=False)
+        inc = run_incremental(spark, raw, TEST_PARAMS, root, with_tests=False)
         out[f"incremental_seconds_{i + 1}"] = inc["seconds"]
     return out
 
@@ -53,18 +59,22 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t
 
-    # Landing the raw tables (once per session, as before a production run),
-    # then a warm-up pass over every query (JIT, code generation, listing).
+    # Landing the raw tables (once per session, as before a production run).
     from larder.plans import registry
     t = time.perf_counter()
     if registry.LAND_RAW:
         registry.landed_raw(spark, sf_dir)
     land_seconds = round(time.perf_counter() - t, 3)
-    for name in names:
-        run(name)
-    times = {}
-    for name in names:
-        times[name] = round(run(name), 3)
+    # Best of N passes per query (default 2); the first pass also warms the
+    # JVM (JIT, code generation, file listing). The cold first-pass total is
+    # reported too.
+    passes = max(1, int(os.environ.get("BENCH_PASSES", "2")))
+    runs = {name: [] for name in names}
+    for _ in range(passes):
+        for name in names:
+            runs[name].append(run(name))
+    times = {name: round(min(r), 3) for name, r in runs.items()}
+    first_pass = round(sum(r[0] for r in runs.values()), 3)
     pipelines = run_pipelines(spark, sf_dir) if not sys.argv[1:] else {}
     headline = [n for n in HEADLINE if n in times]
     out = {
@@ -75,6 +85,8 @@ def main() -> None:
         "queries": times,
         "pipelines": pipelines,
         "land_raw_seconds": land_seconds,
+        "passes": passes,
+        "first_pass_seconds": first_pass,
         "sf": os.path.basename(sf_dir).replace("sf", ""),
         "cpus": cpus,
     }
