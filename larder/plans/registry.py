@@ -36,12 +36,20 @@ _LOCK = threading.RLock()
 LAND_RAW = os.environ.get("LARDER_LAND_RAW", "1") != "0"
 
 
+def _app_key(spark: SparkSession) -> str:
+    """Identity of the Spark application (sessions of one app share a catalog)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # Spark Connect: no SparkContext on the client
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def landed_raw(spark: SparkSession, sf_dir: str) -> dict:
     """The six raw tables, derived from the test tables by the adapter and
     landed once per session as bucketed tables in the shared checkpoint
     folder — the state a run starts from in production (raw tables loaded,
     then models built). Later queries read the landed buckets."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (_app_key(spark), sf_dir.rstrip("/"))
     with _LOCK:
         return _landed_locked(spark, sf_dir, key)
 
@@ -54,7 +62,10 @@ def _landed_locked(spark, sf_dir, key):
     if key not in _LANDED:
         tag = hashlib.sha1(repr(key).encode()).hexdigest()[:10]
         db = f"larder_landed_{tag}"
-        buckets = max(spark.sparkContext.defaultParallelism, 1)
+        try:
+            buckets = max(spark.sparkContext.defaultParallelism, 1)
+        except Exception:
+            buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
         land_raw_tables(spark, raw_tables(spark, sf_dir), db, buckets,
                         location=scratch_path(spark, f"landed/{db}"))
         _LANDED[key] = {t: spark.table(f"{db}.{t}") for t in RAW_BUCKET_KEYS}
@@ -65,7 +76,7 @@ def _m(spark: SparkSession, sf_dir: str, p=P) -> Models:
     """The lazy model graph for this session, data folder and parameters.
     Queries in one session share it (DataFrames are immutable plans), so the
     graph is built once, as in a pipeline run."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), repr(p))
+    key = (_app_key(spark), sf_dir.rstrip("/"), repr(p))
     with _LOCK:
         m = _GRAPHS.get(key)
         if m is None or m.spark is not spark:
