@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +17,8 @@ from larder.session import scratch_path
 #: White space that separates words everywhere in this subpackage (ASCII).
 SPACES = r"[\x20\x09-\x0D]+"
 
+_SHIPPED: set[str] = set()
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -45,10 +50,25 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Arrow batches of at most ``rows`` rows: with whole texts in a column a
-    task then holds a few MB of them at a time."""
+def prepare_python(spark: SparkSession, rows: int = 1000) -> None:
+    """Make the package importable in Python workers and keep Arrow batches at
+    ``rows`` rows: with whole texts in a column a task then holds a few MB of
+    them at a time. The package goes out once per application, as a zip file
+    that the driver hands to the executors (like ``--py-files``)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    name = os.path.join(tempfile.mkdtemp(prefix="larder-zip-"), "larder_package.zip")
+    with zipfile.ZipFile(name, "w") as z:
+        for folder, _, files in os.walk(package):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(name)
+    _SHIPPED.add(sc.applicationId)
 
 
 def with_rank(df: DataFrame, keys: list[str], spread: list[Column], order: list[Column],
@@ -59,7 +79,7 @@ def with_rank(df: DataFrame, keys: list[str], spread: list[Column], order: list[
     Rows of a key are spread over ``buckets`` hash buckets by ``spread``; the
     bucket counts (at most keys x buckets rows) give each bucket its offset, and
     a window numbers the rows inside a bucket by ``order``. The rank is a total
-    order of the key's rows: by bucket, then by ``order``."""
+    order of the key's rows: by bucket, then by ``order``. Keys are never null."""
     b = df.withColumn("_bucket", F.pmod(F.xxhash64(*spread), F.lit(buckets)).cast("int"))
     at = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (b.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
@@ -67,9 +87,6 @@ def with_rank(df: DataFrame, keys: list[str], spread: list[Column], order: list[
                .drop("_n"))
     inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)
     ranked = b.withColumn("_in", F.row_number().over(inside).cast("long") - 1)
-    left = [F.col(f"r.{c}") for c in df.columns]
-    on = F.lit(True)
-    for c in [*keys, "_bucket"]:
-        on = on & F.col(f"r.{c}").eqNullSafe(F.col(f"o.{c}"))
-    return (ranked.alias("r").join(offsets.alias("o"), on)
-            .select(*left, (F.col("r._in") + F.col("o._before")).alias(name)))
+    return (ranked.join(offsets, [*keys, "_bucket"])
+            .withColumn(name, F.col("_in") + F.col("_before"))
+            .select(*df.columns, name))
