@@ -36,8 +36,8 @@ from larder.llm.tokens import encoder, tokenizer_path
 #: Production parameters.
 CAPACITY = 4096
 END_ID = 1
-GROUPS = 32
-LARGE = 8
+GROUPS = 64
+LARGE = 3
 #: Rows of one length that a rank bucket holds on average.
 RANK_ROWS = 200_000
 

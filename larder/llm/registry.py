@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from larder.llm import quality_rules
+from larder.llm import packing, pfor, quality_rules
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
+    "op2_token_files": pfor.query,
+    "op10_best_fit_packing": packing.query,
 }
 
 SQL = {
