@@ -71,22 +71,28 @@ def prepare_python(spark: SparkSession, rows: int = 1000) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
-def with_rank(df: DataFrame, keys: list[str], spread: list[Column], order: list[Column],
-              buckets: int, name: str = "rank") -> DataFrame:
-    """Exact 0-based rank of every row within ``keys``, without gathering a key
-    in one task.
-
-    Rows of a key are spread over ``buckets`` hash buckets by ``spread``; the
-    bucket counts (at most keys x buckets rows) give each bucket its offset, and
-    a window numbers the rows inside a bucket by ``order``. The rank is a total
-    order of the key's rows: by bucket, then by ``order``. Keys are never null."""
-    b = df.withColumn("_bucket", F.pmod(F.xxhash64(*spread), F.lit(buckets)).cast("int"))
-    at = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (b.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-               .withColumn("_before", F.coalesce(F.sum("_n").over(at), F.lit(0)))
+def with_rank(df: DataFrame, keys: list[str], bucket: Column, order: list[Column],
+              name: str = "rank", weight: Column | None = None) -> DataFrame:
+    """Exact 0-based rank of every row within ``keys`` (or the sum of
+    ``weight`` over the rows before it), without gathering a key in one task.
+
+    Rows of a key are dealt over the values of ``bucket``; the bucket totals (at
+    most keys x buckets rows) give each bucket its offset, and a window numbers
+    the rows inside a bucket by ``order``. The rank follows a total order of the
+    key's rows: by bucket, then by ``order``. Keys and buckets are never null."""
+    w = F.lit(1).cast("long") if weight is None else weight
+    b = df.withColumns({"_bucket": bucket, "_w": w})
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    inside = (Window.partitionBy(*keys, "_bucket").orderBy(*order)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = (b.groupBy(*keys, "_bucket").agg(F.sum("_w").alias("_n"))
+               .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0).cast("long")))
                .drop("_n"))
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    ranked = b.withColumn("_in", F.row_number().over(inside).cast("long") - 1)
+    ranked = b.withColumn("_in", F.coalesce(F.sum("_w").over(inside), F.lit(0).cast("long")))
     return (ranked.join(offsets, [*keys, "_bucket"])
             .withColumn(name, F.col("_in") + F.col("_before"))
             .select(*df.columns, name))
+
+
+def hash_bucket(columns: list, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm.common import prepare_python, saved, table, with_rank
+from larder.llm.common import hash_bucket, prepare_python, saved, table, with_rank
 from larder.llm.tokens import encoder, tokenizer_path
 
 #: Production parameters.
@@ -225,8 +225,8 @@ def assign(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         pd.DataFrame(runs, columns=["length", "_from", "_n", "_seq", "offset"], dtype="int64"),
         "length long, _from long, _n long, _seq long, offset long")
     buckets = max(1, min(4096, max(counts.values(), default=0) // RANK_ROWS))
-    ranked = with_rank(pieces, ["length"], [F.col("doc_id"), F.col("piece")],
-                       [F.col("doc_id"), F.col("piece"), F.col("ids_crc32")], buckets, "_rank")
+    ranked = with_rank(pieces, ["length"], hash_bucket(["doc_id", "piece"], buckets),
+                       [F.col("doc_id"), F.col("piece"), F.col("ids_crc32")], "_rank")
     fits = ((ranked["length"] == plan["length"]) & (ranked["_rank"] >= plan["_from"])
             & (ranked["_rank"] < plan["_from"] + plan["_n"]))
     # The plan's rows are bounded by the capacity, not by the corpus.

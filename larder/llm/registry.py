@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from larder.llm import packing, pfor, quality_rules
+from larder.llm import packing, pfor, quality_rules, sharding, simhash, warc
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
     "op2_token_files": pfor.query,
+    "op3_warc_chain": warc.query,
+    "op5_label_propagation": sharding.query,
+    "op6_simhash_pivots": simhash.query,
     "op10_best_fit_packing": packing.query,
 }
 
