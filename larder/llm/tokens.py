@@ -50,46 +50,59 @@ class WordEncoder:
         spec = json.loads(self.tokenizer.to_str())
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pattern = regex.compile(pattern)
-        self.special = tuple(t["content"] for t in spec["added_tokens"])
+        self.special = regex.compile("|".join(regex.escape(t["content"]) for t in spec["added_tokens"]) or r"(?!)")
         self.letters = _byte_letters()
         self._clear()
 
     def _clear(self) -> None:
         self.at: dict[str, int] = {"": 0}
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, tuple[int, ...]] = {}
         self.start = np.zeros(1024, np.int64)
         self.size = np.zeros(1024, np.int64)
         self.ids = np.zeros(1 << 14, np.uint32)
         self.used = 0
 
-    def _ids(self, word: str) -> list[int]:
-        if SIMPLE.fullmatch(word) is None or any(s in word for s in self.special):
-            return self.tokenizer.encode(word, add_special_tokens=False).ids
-        out: list[int] = []
-        for piece in self.pattern.findall(word.lower()):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                letters = piece.encode().decode("latin-1").translate(self.letters)
-                ids = [t.id for t in self.tokenizer.model.tokenize(letters)]
-                if len(self.pieces) < MAX_PIECES:
-                    self.pieces[piece] = ids
-            out += ids
-        return out
+    def _cut(self, word: str) -> list[str] | None:
+        """Lower-case pieces of a simple word; None for any other."""
+        if word.isascii():  # the common shapes first: letters, letters and a mark
+            if word.isalpha():
+                return [word.lower()]
+            if word[:-1].isalpha() and word[-1] in ".,;:!?":
+                return [word[:-1].lower(), word[-1]]
+        if SIMPLE.fullmatch(word) is None or self.special.search(word):
+            return None
+        return self.pattern.findall(word.lower())
 
     def _learn(self, words: list[str]) -> None:
+        known, tokenize, letters = self.pieces, self.tokenizer.model.tokenize, self.letters
+        flat: list[int] = []
+        sizes = []
+        for word in words:
+            before = len(flat)
+            pieces = self._cut(word)
+            if pieces is None:
+                flat += self.tokenizer.encode(word, add_special_tokens=False).ids
+            else:
+                for piece in pieces:
+                    ids = known.get(piece)
+                    if ids is None:
+                        ids = tuple(t.id for t in tokenize(piece.encode().decode("latin-1").translate(letters)))
+                        if len(known) < MAX_PIECES:
+                            known[piece] = ids
+                    flat += ids
+            sizes.append(len(flat) - before)
         n = len(self.at)
+        self.at.update(zip(words, range(n, n + len(words))))
+        ends = self.used + np.cumsum(sizes)
         while len(self.start) < n + len(words):
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
             self.size = np.concatenate([self.size, np.zeros_like(self.size)])
-        for word in words:
-            ids = self._ids(word)
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[self.used:self.used + len(ids)] = ids
-            self.start[n], self.size[n] = self.used, len(ids)
-            self.at[word] = n
-            self.used += len(ids)
-            n += 1
+        while len(self.ids) < self.used + len(flat):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.start[n:n + len(words)] = ends - sizes
+        self.size[n:n + len(words)] = sizes
+        self.ids[self.used:self.used + len(flat)] = flat
+        self.used += len(flat)
 
     def encode(self, texts: list[str | None], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order (uint32) and the number of ids of each text; ``end``
