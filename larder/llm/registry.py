@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from larder.llm import packing, pfor, quality_rules, sharding, simhash, warc
+from larder.llm import (decontaminate, packing, pfor, quality_rules, rule_ensemble, sharding, simhash, toxicity,
+                        warc)
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
     "op2_token_files": pfor.query,
     "op3_warc_chain": warc.query,
+    "op4_spaced_seeds": decontaminate.query,
     "op5_label_propagation": sharding.query,
     "op6_simhash_pivots": simhash.query,
+    "op7_toxicity": toxicity.query,
+    "op9_rule_ensemble": rule_ensemble.query,
     "op10_best_fit_packing": packing.query,
 }
 
