@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from larder.llm import (decontaminate, packing, pfor, quality_rules, rule_ensemble, sharding, simhash, toxicity,
-                        warc)
+from larder.llm import (decontaminate, packing, pfor, quality_rules, rule_ensemble, sharding, simhash,
+                        suffix_tree, toxicity, warc)
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op5_label_propagation": sharding.query,
     "op6_simhash_pivots": simhash.query,
     "op7_toxicity": toxicity.query,
+    "op8_suffix_tree": suffix_tree.query,
     "op9_rule_ensemble": rule_ensemble.query,
     "op10_best_fit_packing": packing.query,
 }

@@ -31,6 +31,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from larder.llm.common import prepare_python, saved, table
 from larder.llm.components import components
@@ -219,26 +220,46 @@ def near_links(fps: DataFrame, bits: int = MAX_BITS, tile: int = TILE) -> DataFr
 
 
 def classes(prints: DataFrame, bits: int = MAX_BITS) -> DataFrame:
-    """``prints`` (doc_id, fp) with component_id. Read several times: pass a
-    written table."""
+    """``prints`` (doc_id, fp) with root (a fingerprint) and component_id. Read
+    several times: pass a written table."""
     reps = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-prints")
     roots = saved(components(near_links(reps.select("fp"), bits)), "simhash-roots")
     labelled = reps.join(roots, reps["fp"] == roots["node"], "left").select(
         "fp", "rep", F.coalesce("root", "fp").alias("root"))
     least = labelled.groupBy("root").agg(F.min("rep").alias("component_id"))
-    member = labelled.join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
+    member = labelled.join(least, "root").select(F.col("fp").alias("_fp"), "root", "component_id")
     return prints.join(member, prints["fp"] == member["_fp"]).drop("_fp")
 
 
+def row_key(id_col: str = "doc_id", text: str = "text"):
+    """64-bit hash of a row's id and text: names a row even without an id."""
+    return F.xxhash64(F.col(id_col).cast("string"), F.md5(F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")))
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, key, fp) of every row, written to the shared folder."""
+    prepare_python(docs.sparkSession)
+    return saved(docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text).alias("key"),
+                             fingerprint_column(F.col(text)).alias("fp")), "simhash-docs")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits) and component_id."""
-    prepare_python(docs.sparkSession)
-    prints = saved(docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                               fingerprint_column(F.col(text)).alias("fp")), "simhash-docs")
-    return classes(prints).select(
+    return classes(fingerprints(docs, id_col, text).drop("key")).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each class: the smallest id's (rows without an
+    id come last), and one of rows that repeat both id and text."""
+    first = (classes(fingerprints(docs, id_col, text)).groupBy("root")
+             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("first")))
+    keep = first.select(F.col("first.key").alias("_keep")).distinct()
+    one = Window.partitionBy("_keep").orderBy(F.lit(0))
+    return (docs.withColumn("_key", row_key(id_col, text)).join(keep, F.col("_key") == F.col("_keep"))
+            .withColumn("_n", F.row_number().over(one)).filter("_n = 1").select(*docs.columns))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op6: fingerprint and near-duplicate class of every document."""
     return near_duplicates(table(spark, sf_dir, "documents"))
