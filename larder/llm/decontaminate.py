@@ -12,9 +12,9 @@ tokens with up to two substitutions anywhere.
    can be a hit. Neighbouring hits form a segment of the document, which leaves
    the task with the tokens around it.
 3. Segment seeds join benchmark seeds by hash; each (segment, item, diagonal)
-   is verified once, token by token: the best stretch around the hits must have
-   ``MIN_TOKENS`` tokens (or the whole of a shorter item), of which at least
-   ``MIN_IDENTITY`` percent are equal.
+   is verified once, token by token: somewhere ``MIN_TOKENS`` neighbouring
+   positions (or the whole of a shorter item) must have at least
+   ``MIN_IDENTITY`` percent equal tokens. The best stretch around is reported.
 
 Defined results: null and empty texts and items match nothing; items of fewer
 than seven tokens are no evidence and are not looked up; null document ids are
@@ -169,15 +169,19 @@ def segments(docs: DataFrame, words: np.ndarray) -> DataFrame:
                                   "hash array<long>")
 
 
-def best_overlap(a: np.ndarray, b: np.ndarray, diagonal: int) -> tuple[int, int, int]:
+def best_overlap(a: np.ndarray, b: np.ndarray, diagonal: int) -> tuple[int, int, int] | None:
     """Best stretch of a (from, to, equal tokens) against b, where position i of
-    a stands at i - diagonal of b: equal tokens weigh against unequal ones so
-    that a stretch of the least identity sums to zero."""
+    a stands at i - diagonal of b, or None if no window of it is equal enough.
+    In the stretch equal tokens weigh against unequal ones so that a stretch of
+    the least identity sums to zero."""
     lo, hi = max(0, diagonal), min(len(a), diagonal + len(b))
     same = a[lo:hi] == b[lo - diagonal:hi - diagonal]
+    window = min(MIN_TOKENS, len(b))
+    equal = np.concatenate([[0], np.cumsum(same)])
+    if len(same) < window or 100 * int((equal[window:] - equal[:-window]).max()) < MIN_IDENTITY * window:
+        return None
     total = np.concatenate([[0], np.cumsum(np.where(same, 100 - MIN_IDENTITY, -MIN_IDENTITY))])
-    least = np.minimum.accumulate(total)
-    end = int((total - least).argmax())
+    end = int((total - np.minimum.accumulate(total)).argmax())
     start = int(total[:end + 1].argmin())
     return lo + start, lo + end, int(same[start:end].sum())
 
@@ -204,8 +208,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             for doc, item, start, d, a, b in zip(*(batch[c] for c in (
                     "doc_id", "item_id", "start", "diagonal", "a", "b"))):
                 a, b = np.asarray(a), np.asarray(b)
-                lo, hi, equal = best_overlap(a, b, d)
-                if hi - lo >= min(MIN_TOKENS, len(b)) and equal * 100 >= MIN_IDENTITY * (hi - lo):
+                found = best_overlap(a, b, d)
+                if found:
+                    lo, hi, equal = found
                     rows.append((None if pd.isna(doc) else int(doc), item, start + lo, start + hi, lo - d, hi - lo,
                                  equal))
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "doc_start", "doc_end", "item_start", "n_tokens",
