@@ -44,6 +44,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RANGE = 32 << 20
 #: Bytes read at a time while a header is looked for.
 STEP = 1 << 16
+#: Bits of a digest that address the filter of repeated digests.
+FILTER_BITS = 24
 
 
 def digest32(payload: bytes) -> str:
@@ -75,13 +77,39 @@ def record(page, url: str | None, payload: bytes, refers_to) -> bytes:
     return "\r\n".join(lines).encode("utf-8", "replace") + END + block + END
 
 
-def write_archives(pages: DataFrame, folder: str) -> list[dict]:
-    """Write (page_id, url, payload string) and return one small row per file."""
-    prepare_python(pages.sparkSession)
+def with_responses(pages: DataFrame) -> DataFrame:
+    """page_id, url, html and ``_to``: the page a row revisits, else null.
+
+    Payloads stay where they were scanned unless an equal one may exist: a bit
+    table of fixed size (2 MiB, broadcast) over the digests that occur twice
+    tells which rows have to meet their digest's largest id in a join."""
     p = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     p = p.withColumn("_key", F.sha1(F.encode("html", "UTF-8")))
-    first = p.groupBy("_key").agg(F.max("page_id").alias("_of"))
-    p = p.join(first, "_key").withColumn("_to", F.when(~F.col("page_id").eqNullSafe(F.col("_of")), F.col("_of")))
+    twice = saved(p.groupBy("_key").agg(F.max("page_id").alias("_of"), F.count(F.lit(1)).alias("_n"))
+                  .filter("_n > 1").select("_key", "_of"), "warc-twice")
+    slot = F.conv(F.substring("_key", 1, FILTER_BITS // 4), 16, 10).cast("long")
+    words = (twice.select(slot.alias("slot")).groupBy(F.shiftright("slot", 5).alias("word"))
+             .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"),
+                                           F.col("slot").bitwiseAND(31).cast("int"))).alias("bits")).toPandas())
+    table_ = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
+    table_[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
+    sent = pages.sparkSession.sparkContext.broadcast(table_)
+
+    @F.pandas_udf("boolean")
+    def may_repeat(slots: pd.Series) -> pd.Series:
+        at = slots.to_numpy(np.int64)
+        return pd.Series((sent.value[at >> 5] >> (at & 31).astype(np.uint32) & 1).astype(bool))
+
+    columns = ["page_id", "url", "html"]
+    alone = p.filter(~may_repeat(slot)).select(*columns, F.lit(None).cast("long").alias("_to"))
+    to = F.when(~F.col("page_id").eqNullSafe(F.col("_of")), F.col("_of"))
+    shared = p.filter(may_repeat(slot)).join(twice, "_key", "left").select(*columns, to.alias("_to"))
+    return alone.union(shared)
+
+
+def write_archives(pages: DataFrame, folder: str) -> list[dict]:
+    """Write (page_id, url, html) and return one small row per file."""
+    prepare_python(pages.sparkSession)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
@@ -104,7 +132,7 @@ def write_archives(pages: DataFrame, folder: str) -> list[dict]:
             store.move(own, f"{path}/part-{part:06d}.warc")
             yield pd.DataFrame({"file": [f"{folder}/part-{part:06d}.warc"], "size": [size], "records": [n]})
 
-    files = p.select("page_id", "url", "html", "_to").mapInPandas(write, "file string, size long, records long")
+    files = with_responses(pages).mapInPandas(write, "file string, size long, records long")
     return sorted((r.asDict() for r in files.collect()), key=lambda r: r["file"])
 
 
