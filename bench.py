@@ -31,9 +31,8 @@ def run_pipelines(spark, sf_dir: str) -> dict:
     from larder.params import TEST_PARAMS
     from larder.plans.pipeline import run_full, run_incremental
     from larder.plans import registry
-    from larder.sources.testdata import raw_tables
     # Start from the landed (bucketed) raw tables, as a production run does.
-    raw = registry.landed_raw(spark, sf_dir) if registry.LAND_RAW else raw_tables(spark, sf_dir)
+    raw = registry.landed_raw(spark, sf_dir)
     root = tempfile.mkdtemp(prefix="larder-bench-wh-", dir=os.environ.get("LARDER_SCRATCH", "/tmp"))
     earlier = replace(TEST_PARAMS, as_of=TEST_PARAMS.as_of - dt.timedelta(days=2))
     full = run_full(spark, raw, earlier, root, with_tests=False)
@@ -62,8 +61,7 @@ def main() -> None:
     # Landing the raw tables (once per session, as before a production run).
     from larder.plans import registry
     t = time.perf_counter()
-    if registry.LAND_RAW:
-        registry.landed_raw(spark, sf_dir)
+    registry.landed_raw(spark, sf_dir)
     land_seconds = round(time.perf_counter() - t, 3)
     # Best of N passes per query (default 2); the first pass also warms the
     # JVM (JIT, code generation, file listing). The cold first-pass total is

@@ -7,7 +7,6 @@ Layers:
               merge/upsert, publishing, data-quality checks, top-k)
   plans/      the models: staging -> intermediate -> facts/dimensions -> reports,
               plus alerts and the full / incremental pipelines
-  streaming/  the hourly incremental run expressed as a Structured Streaming job
 """
 
 from larder.params import Params

@@ -41,5 +41,6 @@ def title_case(c) -> Column:
 
 
 def is_valid_email(c) -> Column:
-    """True when the whole value has an email shape; null stays null."""
-    return _col(c).rlike(EMAIL_PATTERN)
+    """True when the whole value has an email shape; null stays null. The
+    pattern's final ``$`` would also match before a closing line feed."""
+    return _col(c).rlike(EMAIL_PATTERN) & ~_col(c).endswith("\n")

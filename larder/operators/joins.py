@@ -1,55 +1,29 @@
-"""Join helpers: size-checked broadcast, null-safe lookup joins, bounded
-broadcast of materialized key sets, and referential checks."""
+"""Join helpers: null-safe lookup joins, materialized key sets, and
+referential checks. Broadcasts are left to the planner's measured sizes."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The optimizer's size estimate of a Parquet scan is the compressed file
-# size; in memory a relation can be several times larger, so the estimate is
-# multiplied by this factor before comparing with the limit.
-_EXPANSION = 8
+from larder.session import scratch_path
+
 # Prefix of the per-row stand-in for a null join key: no real key starts
 # with a NUL character, so the stand-in never matches.
 _NULL_SALT = "\u0000"
 
 
-def plan_size_bytes(df: DataFrame) -> int | None:
-    """Optimizer's size estimate of ``df`` (an upper bound for filters,
-    projections and aggregates over file scans), or None if unavailable."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(size if isinstance(size, int) else size.toString())
-    except Exception:  # e.g. Spark Connect: no plan access; leave it to AQE
-        return None
-
-
-def is_small(df: DataFrame, max_bytes: int) -> bool:
-    size = plan_size_bytes(df)
-    return size is not None and size * _EXPANSION <= max_bytes
-
-
-def broadcast_if_small(df: DataFrame, max_bytes: int) -> DataFrame:
-    """Hint a broadcast only when the estimated size is within ``max_bytes``.
-
-    Otherwise the side is left to the planner: a sort-merge/shuffled-hash join,
-    which AQE may still turn into a broadcast once the real shuffle size is
-    measured at runtime."""
-    return F.broadcast(df) if is_small(df, max_bytes) else df
-
-
 def lookup_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                salt_col: str, max_bytes: int, how: str = "left") -> DataFrame:
+                salt_col: str, how: str = "left") -> DataFrame:
     """``left`` joined to a lookup table on ``left_key = right_key``.
 
-    A lookup within ``max_bytes`` is broadcast. Beyond it the join shuffles,
-    and left rows with a null key (which never match) would all hash to one
-    partition; they get a unique non-matching stand-in key derived from
-    ``salt_col`` instead, so they spread evenly."""
-    if is_small(right, max_bytes):
-        r = F.broadcast(right)
-        return left.join(r, left[left_key] == r[right_key], how)
+    The planner broadcasts the lookup if its measured size allows, else both
+    sides shuffle. Left rows with a null key (which never match) would then all
+    hash to one partition; they get a unique non-matching stand-in key derived
+    from ``salt_col`` instead, so they spread evenly. A hot key is left to
+    AQE's skew-join splitting."""
     stand_in = F.concat(F.lit(_NULL_SALT), F.col(salt_col).cast("string"))
     lk = "_lookup_key"
     keyed = left.withColumn(lk, F.coalesce(F.col(left_key).cast("string"), stand_in))
@@ -57,13 +31,13 @@ def lookup_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     return out.drop(lk)
 
 
-def materialize_bounded(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Materialize a relation that is small by construction (e.g. the orders
-    of the last few days) once in the shared checkpoint folder, count it
-    exactly, and report whether it may be broadcast. Its source is scanned
-    once however many joins use it."""
-    ckpt = df.checkpoint(eager=True)
-    return ckpt, ckpt.count() <= max_rows
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back: its
+    source is scanned once however many joins use it, and joins see the real
+    size of the files, so the planner may broadcast it."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def relationships(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:

@@ -4,15 +4,15 @@
 in the updates, plus all updates). ``write_incremental`` publishes it while
 rewriting only the day partitions that change:
 
-1. the updates are staged in the shared checkpoint folder (lineage cut, so
-   a lost executor recomputes from the staged copy, never from the table
-   being replaced);
+1. the updates are staged in the shared checkpoint folder (lineage cut; the
+   staged copy is deleted at the end);
 2. touched days = days of the updates + days of target rows whose key is
-   in the updates (a key whose day moved leaves its old partition);
-3. the merged rows of the touched days are staged, then written with
-   dynamic partition overwrite, which swaps exactly those partitions at
-   commit; a touched day left without rows is removed.
-Untouched partitions are neither read nor rewritten.
+   in the updates (a key whose day moved leaves its old partition). This reads
+   the key and day columns of the whole target;
+3. the merged rows of the touched days are written once, to a new data folder,
+   and a new version of the table (its untouched day folders plus the new ones)
+   is switched in by one rename. A crash before it changes nothing; a day left
+   without rows is simply not in the version. A null day is a day like others.
 """
 
 from __future__ import annotations
@@ -22,10 +22,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.operators.sinks import cluster_for_write, delete_paths, path_exists
+from larder.operators.sinks import commit_version, current_version, delete_paths, read_table, write_version
 from larder.session import scratch_path
 
 
+#: Folder name of the null partition value (fixed by the file layout).
+NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
+
+
 class DuplicateKeyError(ValueError):
     pass
 
@@ -45,12 +49,6 @@ def assert_unique_keys(updates: DataFrame, key: str) -> None:
         raise DuplicateKeyError(f"duplicate {key} in updates: {dup[0][key]!r}")
 
 
-def _stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 def write_incremental(spark: SparkSession, updates: DataFrame, path: str,
                       key: str = "surrogate_key", partition_col: str = "order_date",
                       cluster_by: list | None = None, replace: bool = False) -> dict:
@@ -58,32 +56,36 @@ def write_incremental(spark: SparkSession, updates: DataFrame, path: str,
     ``replace``: a full refresh), else upsert. Returns what was written.
     Duplicate keys in merge updates raise ``DuplicateKeyError``."""
     cluster_by = cluster_by or []
-    if replace or not path_exists(spark, path):
+    now = current_version(spark, path)
+    if replace or now is None:
         # Full build: key uniqueness is checked by the table's declared
         # unique test after publishing, not by a second pass here.
-        cluster_for_write(updates, partition_col, cluster_by).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "static").partitionBy(partition_col).parquet(path)
+        folders = write_version(updates, path, partition_col, cluster_by)
+        commit_version(spark, path, folders, None if now is None else now[0])
         return {"mode": "create", "touched_partitions": None}
 
-    # Computed once: every later step reads the staged copy.
-    staged = _stage(spark, updates, "merge-updates")
-    assert_unique_keys(staged, key)
-    target = spark.read.parquet(path)
-    upd_keys = staged.select(key).where(F.col(key).isNotNull())
-    moved_from = target.select(key, partition_col).join(upd_keys, key, "left_semi").select(partition_col)
-    touched_df = staged.select(partition_col).unionByName(moved_from).distinct()
-    # Partition values only (bounded by the number of days touched).
-    touched = [r[0] for r in touched_df.collect()]
-    if not touched:
-        return {"mode": "merge", "touched_partitions": 0}
-
-    in_touched = F.col(partition_col).isin(touched)
-    merged = merge_upsert(target.where(in_touched), staged, key)
-    merged = _stage(spark, merged, "merge-result")
-    present = {r[0] for r in merged.select(partition_col).distinct().collect()}
-    cluster_for_write(merged, partition_col, cluster_by).write.mode("overwrite") \
-        .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
-    emptied = [d for d in touched if d not in present]
-    if emptied:
-        delete_paths(spark, [f"{path.rstrip('/')}/{partition_col}={d}" for d in emptied])
-    return {"mode": "merge", "touched_partitions": len(touched), "emptied_partitions": len(emptied)}
+    scratch = scratch_path(spark, f"merge-updates-{uuid.uuid4().hex}")
+    try:
+        # Computed once: every later step reads the staged copy.
+        updates.write.parquet(scratch)
+        staged = spark.read.schema(updates.schema).parquet(scratch)
+        assert_unique_keys(staged, key)
+        target = read_table(spark, path)
+        upd_keys = staged.select(key).where(F.col(key).isNotNull())
+        moved_from = target.select(key, partition_col).join(upd_keys, key, "left_semi").select(partition_col)
+        # Days only (bounded by the number of days touched); null is a day too.
+        touched = [r[0] for r in staged.select(partition_col).unionByName(moved_from).distinct().collect()]
+        if not touched:
+            return {"mode": "merge", "touched_partitions": 0}
+        day = F.col(partition_col)
+        in_touched = day.isin([d for d in touched if d is not None])
+        if None in touched:
+            in_touched = F.coalesce(in_touched, F.lit(False)) | day.isNull()
+        merged = merge_upsert(target.where(in_touched), staged, key)
+        new = write_version(merged, path, partition_col, cluster_by)
+        names = {f"{partition_col}={NULL_DAY if d is None else d}" for d in touched}
+        kept = [f for f in now[1] if f.rsplit("/", 1)[-1] not in names]
+        commit_version(spark, path, kept + new, now[0])
+    finally:
+        delete_paths(spark, [scratch])
+    return {"mode": "merge", "touched_partitions": len(touched), "emptied_partitions": len(touched) - len(new)}

@@ -49,7 +49,8 @@ def _between_cond(col, lo, hi):
 
 def matches(df: DataFrame, col: str, regex: str) -> DataFrame:
     """Rows whose value does not match ``regex`` (null passes)."""
-    return df.where(~F.col(col).rlike(regex))
+    # A final `$` also matches before a closing line feed: not a full match.
+    return df.where(~F.col(col).rlike(regex) | F.col(col).endswith("\n"))
 
 
 def row_count_between(df: DataFrame, lo=None, hi=None) -> DataFrame:
@@ -65,14 +66,15 @@ def row_count_between(df: DataFrame, lo=None, hi=None) -> DataFrame:
 
 def freshness(df: DataFrame, ts_col: str, p, warn_hours=None, error_hours=None) -> DataFrame:
     """One row: newest load time, its age in hours at ``as_of_ts`` and the
-    status pass / warn / error."""
+    status pass / warn / error (an empty source, or one without load times,
+    is an error)."""
     warn_hours = p.freshness_warn_hours if warn_hours is None else warn_hours
     error_hours = p.freshness_error_hours if error_hours is None else error_hours
     newest = F.max(F.col(ts_col).cast("timestamp"))
     age = (F.unix_timestamp(now_utc(p)) - F.unix_timestamp(newest)) / 3600.0
     return df.agg(newest.alias("max_loaded_at"), age.alias("age_hours")).withColumn(
         "status",
-        F.when(F.col("age_hours") > error_hours, "error")
+        F.when(F.col("age_hours").isNull() | (F.col("age_hours") > error_hours), "error")
          .when(F.col("age_hours") > warn_hours, "warn").otherwise("pass"))
 
 
@@ -114,7 +116,7 @@ def _failing_row_sql(chk: Check) -> str:
     if chk.kind == "between":
         return f"NOT ({_range_sql(c, chk.args)})"
     if chk.kind == "regex":
-        return f"NOT ({c} RLIKE {_sql_lit(chk.args['regex'])})"
+        return f"NOT ({c} RLIKE {_sql_lit(chk.args['regex'])}) OR endswith({c}, '\\n')"
     raise ValueError(chk.kind)
 
 
@@ -164,6 +166,16 @@ def run_suite(df: DataFrame, table: str, checks: list[Check]) -> DataFrame:
     return df.sparkSession.sql(suite_sql(view, table, checks))
 
 
+def suite_overall(results: DataFrame) -> DataFrame:
+    """One row over all tables: checks passed, failed, and the overall flag."""
+    return results.agg(
+        F.count_distinct("table_name").alias("tables"),
+        F.count(F.lit(1)).alias("total"),
+        F.count_if("success").alias("passed"),
+        F.count_if(~F.col("success")).alias("failed"),
+        F.bool_and("success").alias("success"))
+
+
 def suite_summary(results: DataFrame) -> DataFrame:
     """Per table: passed / total / failed check counts and overall success."""
     return results.groupBy("table_name").agg(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -34,11 +35,98 @@ def cluster_for_write(df: DataFrame, partition_col: str | None, cluster_by: list
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None,
                 cluster_by: list | None = None, tiebreak: list | None = None) -> None:
-    """Full refresh (SCD type 1): overwrite the whole table."""
-    w = cluster_for_write(df, partition_by, cluster_by or [], tiebreak).write.mode("overwrite")
-    if partition_by:
-        w = w.option("partitionOverwriteMode", "static").partitionBy(partition_by)
-    w.parquet(path)
+    """Full refresh (SCD type 1): a new version replaces the whole table.
+    Readers see the old version until the new one is complete."""
+    new = write_version(df, path, partition_by, cluster_by, tiebreak)
+    commit_version(df.sparkSession, path, new)
+
+
+# ---- versioned tables -----------------------------------------------------------
+# <path>/data/table_version=r<id>/[<day>=...]/files and <path>/_versions/<n>.json, a list of the
+# folders that make version n. A version becomes visible by renaming its list into
+# place, after all its files are written.
+
+def write_version(df: DataFrame, path: str, partition_by: str | None, cluster_by: list | None = None,
+                  tiebreak: list | None = None) -> list[str]:
+    """Write ``df`` to a new data folder; returns its folders, relative to
+    <path>/data. Nothing is visible to readers yet."""
+    spark = df.sparkSession
+    folder = f"table_version=r{uuid.uuid4().hex}"
+    full = f"{path.rstrip('/')}/data/{folder}"
+    w = cluster_for_write(df, partition_by, cluster_by or [], tiebreak).write
+    (w.partitionBy(partition_by) if partition_by else w).parquet(full)
+    if not partition_by:
+        return [folder]
+    fs, p = _fs(spark, full)
+    return sorted(f"{folder}/{s.getPath().getName()}" for s in fs.listStatus(p) if s.isDirectory())
+
+
+def _version_numbers(spark: SparkSession, path: str) -> list[int]:
+    fs, p = _fs(spark, f"{path.rstrip('/')}/_versions")
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+
+def _folders_of(spark: SparkSession, path: str, version: int) -> list[str]:
+    fs, p = _fs(spark, f"{path.rstrip('/')}/_versions/{version}.json")
+    stream = fs.open(p)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return json.loads(text)
+
+
+def current_version(spark: SparkSession, path: str) -> tuple[int, list[str]] | None:
+    """Number and folders of the newest version, or None without a table."""
+    numbers = _version_numbers(spark, path)
+    return (numbers[-1], _folders_of(spark, path, numbers[-1])) if numbers else None
+
+
+class ConcurrentWriteError(RuntimeError):
+    pass
+
+
+def commit_version(spark: SparkSession, path: str, folders: list[str], after: int | None = None,
+                   keep: int = 2) -> int:
+    """Make ``folders`` the table's next version. With ``after``, fails if
+    another writer has committed since that version. Data that none of the
+    newest ``keep`` versions uses is deleted."""
+    numbers = _version_numbers(spark, path)
+    newest = numbers[-1] if numbers else 0
+    if after is not None and newest != after:
+        raise ConcurrentWriteError(f"{path}: version {newest} was written after {after}")
+    root = f"{path.rstrip('/')}/_versions"
+    fs, own = _fs(spark, f"{root}/_{uuid.uuid4().hex}")
+    out = fs.create(own)
+    try:
+        out.write(bytearray(json.dumps(folders).encode()))
+    finally:
+        out.close()
+    _, final = _fs(spark, f"{root}/{newest + 1}.json")
+    if fs.exists(final) or not fs.rename(own, final):
+        raise ConcurrentWriteError(f"{path}: version {newest + 1} exists")
+    _drop_old(spark, path, keep)
+    return newest + 1
+
+
+def _drop_old(spark: SparkSession, path: str, keep: int) -> None:
+    numbers = _version_numbers(spark, path)
+    used = {f for n in numbers[-keep:] for f in _folders_of(spark, path, n)}
+    old = {f for n in numbers[:-keep] for f in _folders_of(spark, path, n)} - used
+    delete_paths(spark, [f"{path.rstrip('/')}/data/{f}" for f in sorted(old)])
+    delete_paths(spark, [f"{path.rstrip('/')}/_versions/{n}.json" for n in numbers[:-keep]])
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of a published table."""
+    found = current_version(spark, path)
+    if found is None:
+        raise FileNotFoundError(f"no table at {path}")
+    data = f"{path.rstrip('/')}/data"
+    return spark.read.option("basePath", data).parquet(*[f"{data}/{f}" for f in found[1]]).drop("table_version")
 
 
 def load_table(df: DataFrame, path: str) -> int:
@@ -55,6 +143,24 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def _files(spark: SparkSession, paths: list[str]) -> list:
+    out = []
+    for path in paths:
+        fs, p = _fs(spark, path)
+        out += [s for s in fs.listStatus(p) if s.isFile()]
+    return out
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    return sum(s.getLen() for s in _files(spark, paths))
+
+
+def input_mark(spark: SparkSession, paths: list[str]) -> int:
+    """Changes when a file of ``paths`` is added, removed or rewritten."""
+    return hash(tuple(sorted((s.getPath().toString(), s.getLen(), s.getModificationTime())
+                             for s in _files(spark, paths))))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.exists(p))

@@ -45,15 +45,16 @@ def alert_top_k_per_status(alerts: DataFrame, k: int = 5) -> DataFrame:
                   .select(*ALERT_COLUMNS, "rank_in_status"))
 
 
-def alert_digest(alerts: DataFrame, n: int = 20, k: int = 5) -> DataFrame:
+def alert_digest(alerts: DataFrame, n: int = 20, k: int = 5, total_of_list: bool = False) -> DataFrame:
     """Rows of the stock-alert message: of the n most severe alerts, the
-    first k of each severity, with the size of the top-n list and how many of
-    its rows are beyond the 3*k shown (0 when the list has at most 3*k)."""
+    first k of each severity, with the number of alerts and how many of them
+    are beyond the 3*k a message shows. The number covers the whole alert
+    table; ``total_of_list=True`` counts the top-n list only."""
     order = _alert_order()
     top = alerts.orderBy(*order).limit(n)
     w_status = Window.partitionBy("stock_status").orderBy(*order[1:])
     listed = top.withColumn("rank_in_status", F.row_number().over(w_status))
-    total = top.select(F.count(F.lit(1))).scalar()  # size of the (<= n row) list
+    total = (top if total_of_list else alerts).select(F.count(F.lit(1))).scalar()
     shown = len(SEVERITY) * k
     return (listed.where(F.col("rank_in_status") <= k)
                   .withColumn("alerts_listed", total)

@@ -250,10 +250,10 @@ SELECT d AS date_id, d AS full_date, cast(year(d) AS INTEGER) AS year, cast(mont
   concat('Q', cast(cast(ceil(month(d) / 3) AS BIGINT) AS VARCHAR), '-', cast(year(d) AS VARCHAR)) AS quarter_label,
   dayofweek(d) + 1 IN (1, 7) AS is_weekend, d = {AS_OF} AS is_today, d < {AS_OF} AS is_past,
   d <= cast(date_trunc('month', {AS_OF}) AS DATE) AS is_month_to_date
-FROM (SELECT cast(DATE '{P.start_date.isoformat()}' + cast(i AS INTEGER) AS DATE) AS d
-      FROM range(0, date_diff('day', DATE '{P.start_date.isoformat()}', {AS_OF} + {P.date_spine_days_ahead})) t(i))"""),
+FROM (SELECT unnest(generate_series((SELECT min(order_date) FROM fact_orders),
+        {AS_OF} + {P.date_spine_days_ahead} - 1, INTERVAL 1 DAY))::DATE AS d)"""),
     ("daily", f"""
-SELECT order_date, order_channel, count(order_id) AS total_orders,
+SELECT order_date, order_channel, count(DISTINCT order_id) AS total_orders,
   count(DISTINCT customer_id) AS unique_customers,
   cast(sum(basket_value_gbp) AS DECIMAL(38,4)) AS gross_revenue_gbp,
   cast(sum(total_discount_gbp) AS DECIMAL(38,4)) AS total_discount_gbp,
@@ -393,6 +393,13 @@ def with_ctes(final: str) -> str:
     return f"WITH {body}\n{final}"
 
 
+MERGED = f"""
+SELECT * FROM fact_orders WHERE order_date < {AS_OF} - 60 OR order_date > {AS_OF} - 2
+UNION ALL
+SELECT * REPLACE ('returned' AS order_status, true AS is_returned, false AS is_delivered,
+  cast(total_discount_gbp + 1 AS DECIMAL(28,4)) AS total_discount_gbp, cast(order_date + 1 AS DATE) AS order_date)
+FROM fact_orders WHERE order_date BETWEEN {AS_OF} - 60 AND {AS_OF} - 2"""
+
 FINALS = {
     "stg_orders": "SELECT * FROM stg_orders",
     "stg_order_items": "SELECT * FROM stg_order_items",
@@ -411,10 +418,10 @@ FINALS = {
     "daily_sales": "SELECT * FROM daily_sales",
     "inventory_alerts": "SELECT * FROM inventory_alerts",
     "customer_ltv": "SELECT * FROM customer_ltv",
-    "merge_upsert_orders": f"""
-SELECT * FROM fact_orders t WHERE t.order_date <= {AS_OF} - 2
-  AND NOT EXISTS (SELECT 1 FROM fact_orders_incremental u WHERE u.surrogate_key = t.surrogate_key)
-UNION ALL SELECT * FROM fact_orders_incremental""",
+    "merge_upsert_orders": MERGED,
+    "merge_published_orders": MERGED,
+    "published_daily_sales": "SELECT * FROM daily_sales",
+    "view_delivered_orders": "SELECT order_id, customer_id FROM stg_orders WHERE order_status = 'delivered'",
     "fact_orders_incremental": "SELECT * FROM fact_orders_incremental",
     "fact_order_items_incremental": "SELECT * FROM fact_order_items_incremental",
     "latest_inventory": "SELECT * FROM latest_inventory",
@@ -432,7 +439,7 @@ FROM alert_ranked QUALIFY rank_in_status <= 5""",
     "alert_digest": f"""
 SELECT {ALERT_COLS}, rank_in_status, alerts_listed, greatest(alerts_listed - 15, 0) AS more_count
 FROM (SELECT *, cast(row_number() OVER (PARTITION BY stock_status ORDER BY alert_rank) AS INTEGER) AS rank_in_status,
-        count(*) OVER () AS alerts_listed
+        (SELECT count(*) FROM alert_ranked) AS alerts_listed
       FROM alert_ranked WHERE alert_rank <= 20)
 WHERE rank_in_status <= 5""",
     "revenue_metrics": f"""
@@ -448,7 +455,7 @@ FROM fact_orders WHERE is_delivered GROUP BY order_channel, order_year""",
 SELECT order_channel, count(DISTINCT customer_id) AS unique_customers, count(DISTINCT order_id) AS total_orders
 FROM fact_orders GROUP BY order_channel""",
     "latest_snapshot_filter": "SELECT * FROM stg_inventory WHERE snapshot_date = (SELECT max(snapshot_date) FROM stg_inventory)",
-    "email_validity": f"SELECT customer_id, email, regexp_matches(email, '{EMAIL_PATTERN}') AS is_valid_email FROM stg_customers",
+    "email_validity": f"SELECT customer_id, email, regexp_matches(email, '{EMAIL_PATTERN}') AND NOT ends_with(email, chr(10)) AS is_valid_email FROM stg_customers",
     "surrogate_keys": f"""
 SELECT order_item_id, {skey('order_item_id')} AS line_key, {skey('order_id', 'product_id')} AS order_product_key,
   {skey('order_id', 'substituted_product_id')} AS substitution_key FROM stg_order_items""",
@@ -486,7 +493,7 @@ SELECT order_item_id, order_id FROM stg_order_items i WHERE order_id IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM stg_orders o WHERE o.order_status = 'delivered' AND o.order_id = i.order_id)""",
     "dq_between": """
 SELECT order_item_id, line_total_gbp FROM stg_order_items WHERE NOT (line_total_gbp >= 1000 AND line_total_gbp <= 50000)""",
-    "dq_regex": f"SELECT customer_id, email FROM stg_customers WHERE NOT regexp_matches(email, '{EMAIL_PATTERN}')",
+    "dq_regex": f"SELECT customer_id, email FROM stg_customers WHERE NOT regexp_matches(email, '{EMAIL_PATTERN}') OR ends_with(email, chr(10))",
     "dq_row_count": "SELECT count(*) AS row_count, count(*) >= 500 AS success FROM stg_order_items",
     "dq_freshness": """
 SELECT table_name, max_loaded_at, age_hours,
@@ -501,6 +508,22 @@ FROM (SELECT 'orders' AS table_name, max(_loaded_at) AS max_loaded_at,
 SELECT table_name, count(*) FILTER (WHERE success) AS passed, count(*) AS total,
   count(*) FILTER (WHERE NOT success) AS failed, bool_and(success) AS success
 FROM suite_results GROUP BY table_name""",
+    "dq_suite_overall": """
+SELECT count(DISTINCT table_name) AS tables, count(*) AS total, count(*) FILTER (WHERE success) AS passed,
+  count(*) FILTER (WHERE NOT success) AS failed, bool_and(success) AS success
+FROM suite_results""",
+    "run_log_files": """
+SELECT run_id, count(*) AS total,
+  count(*) FILTER (WHERE success AND run_id <> 'stopped') AS success,
+  count(*) FILTER (WHERE NOT success AND run_id = 'hourly') AS warnings,
+  count(*) FILTER (WHERE NOT success AND run_id <> 'hourly') AS errors,
+  count(*) FILTER (WHERE success AND run_id = 'stopped') AS skipped,
+  round(max(elapsed), 1) AS elapsed,
+  coalesce(list_sort(list(node) FILTER (WHERE NOT success AND run_id <> 'hourly')), []) AS error_nodes,
+  coalesce(list_sort(list(node) FILTER (WHERE NOT success AND run_id = 'hourly')), []) AS warn_nodes
+FROM (SELECT success, regexp_replace("check", '[()]', '_', 'g') AS node FROM suite_results),
+  (VALUES ('daily', 61.26::DOUBLE), ('hourly', 7.04::DOUBLE), ('stopped', 0.5::DOUBLE)) r(run_id, elapsed)
+GROUP BY run_id""",
     "run_log_rollup": """
 SELECT 'validation' AS run_id, count(*) AS total,
   count(*) FILTER (WHERE success) AS success, cast(0 AS BIGINT) AS warnings,

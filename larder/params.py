@@ -13,7 +13,8 @@ from dataclasses import dataclass, field
 
 @dataclass(frozen=True)
 class Params:
-    as_of: dt.date = dt.date(2001, 8, 1)
+    # Date of the run; the day it starts on (UTC) unless given.
+    as_of: dt.date = field(default_factory=lambda: dt.datetime.now(dt.timezone.utc).date())
     # Pinned "current_timestamp()"; defaults to midnight UTC of as_of.
     as_of_ts: dt.datetime | None = None
     # First day of the date dimension (project variable in the reference).
@@ -36,10 +37,6 @@ class Params:
     # Source freshness thresholds in hours.
     freshness_warn_hours: int = 25
     freshness_error_hours: int = 48
-    # Largest side (bytes, optimizer upper bound) we hint as a broadcast.
-    broadcast_max_bytes: int = 64 * 1024 * 1024
-    # Largest materialized key set (rows) we broadcast, e.g. recent orders.
-    broadcast_max_rows: int = 2_000_000
     extra: dict = field(default_factory=dict)
 
     @property
@@ -53,5 +50,5 @@ class Params:
 # money there is ~100x the reference's, so the bands are scaled to keep every
 # label populated.
 # The calendar starts with the test data's first order date.
-TEST_PARAMS = Params(value_bands=(900000, 400000), product_tiers=(600000, 350000),
+TEST_PARAMS = Params(as_of=dt.date(2001, 8, 1), value_bands=(900000, 400000), product_tiers=(600000, 350000),
                      start_date=dt.date(1995, 1, 1))

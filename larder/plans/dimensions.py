@@ -42,13 +42,20 @@ def dim_products(metrics: DataFrame, p) -> DataFrame:
     )
 
 
-def dim_date(spark: SparkSession, p) -> DataFrame:
-    """Calendar from ``start_date`` to ``as_of + 730 days``."""
+def dim_date(spark: SparkSession, p, orders: DataFrame | None = None) -> DataFrame:
+    """Calendar from ``start_date`` to ``as_of + 730 days``; with ``orders`` it
+    starts with their first ``order_date``."""
     import datetime as dt
     end = p.as_of + dt.timedelta(days=p.date_spine_days_ahead)
     d = F.col("date_day")
     t = today(p)
-    return date_spine(spark, p.start_date, end, p.date_spine_include_end).select(
+    if orders is None:
+        days = date_spine(spark, p.start_date, end, p.date_spine_include_end)
+    else:
+        last = end if p.date_spine_include_end else end - dt.timedelta(days=1)
+        first = orders.agg(F.min("order_date").alias("first")).where(F.col("first") <= F.lit(last))
+        days = first.select(F.explode(F.sequence("first", F.lit(last))).alias("date_day"))
+    return days.select(
         d.alias("date_id"),
         d.alias("full_date"),
         F.year(d).alias("year"),

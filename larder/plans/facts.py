@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from larder.functions import now_utc, surrogate_key
 from larder.operators.filters import since_lookback
-from larder.operators.joins import lookup_join, materialize_bounded
+from larder.operators.joins import lookup_join, materialize
 
 FACT_ORDERS_CLUSTER = ["order_status", "order_channel"]
 FACT_ORDER_ITEMS_CLUSTER = ["product_id", "category"]
@@ -46,19 +46,16 @@ def fact_order_items(items: DataFrame, orders: DataFrame, products: DataFrame, p
                      incremental: bool = False) -> DataFrame:
     """One row per order line with order and product context.
 
-    Incremental runs materialize the recent orders once and broadcast them
-    when their exact count is within the bound, so the lines are joined
-    map-side; full runs shuffle both sides on order_id."""
+    Incremental runs materialize the recent orders once, so the planner
+    knows their size; full runs shuffle both sides on order_id."""
     o = order_context(orders, p, incremental)
     if incremental:
-        o, small = materialize_bounded(o, p.broadcast_max_rows)
-        o = F.broadcast(o) if small else o
+        o = materialize(o, "recent-order-context")
     o = o.alias("o")
     prod = products.select(F.col("product_id").alias("p_product_id"), "category", "subcategory", "brand")
     i = items.alias("i")
     lines = i.join(o, F.col("i.order_id") == F.col("o.order_id"), "inner")
-    return (lookup_join(lines, prod, "i.product_id", "p_product_id", salt_col="i.order_item_id",
-                        max_bytes=p.broadcast_max_bytes)
+    return (lookup_join(lines, prod, "i.product_id", "p_product_id", salt_col="i.order_item_id")
              .select(
                  surrogate_key(F.col("i.order_item_id")).alias("surrogate_key"),
                  "i.order_item_id", "i.order_id", "o.customer_id", "i.product_id",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from larder.functions import customer_segment, money_avg, safe_divide, today, week_sunday
 from larder.operators.filters import since_lookback
-from larder.operators.joins import lookup_join, materialize_bounded
+from larder.operators.joins import lookup_join, materialize
 from larder.operators.windows import keep_first
 
 
@@ -37,19 +37,18 @@ def basket_metrics(orders: DataFrame, items: DataFrame, promotions: DataFrame, p
     ``restrict=True`` does the same for an already small set of orders
     (e.g. one streaming micro-batch)."""
     if incremental or restrict:
-        # The recent orders are few by construction: materialize them once
-        # and, when the exact count proves it, broadcast their ids so the
-        # lines are filtered map-side instead of shuffling every line.
+        # The recent orders are materialized once; the planner sees their
+        # real size and broadcasts the ids if they are small enough, else a
+        # runtime bloom filter thins the lines before their shuffle.
         if incremental:
             orders = since_lookback(orders, F.to_date("order_created_at"), p)
-        orders, small = materialize_bounded(orders, p.broadcast_max_rows)
-        ids = orders.select("order_id")
-        items = items.join(F.broadcast(ids) if small else ids, "order_id", "left_semi")
+        orders = materialize(orders, "recent-orders")
+        items = items.join(orders.select("order_id"), "order_id", "left_semi")
     agg = basket_aggregate(items)
     promos = promotions.select(F.col("promo_code").alias("_promo_code"), "promo_id", "promo_type",
                                F.col("discount_value").alias("promo_discount_value"))
     joined = lookup_join(orders.join(agg, "order_id", "left"), promos, "promo_code", "_promo_code",
-                         salt_col="order_id", max_bytes=p.broadcast_max_bytes)
+                         salt_col="order_id")
     created = F.col("order_created_at")
     return joined.select(
         "order_id", "customer_id", "order_status", "order_channel", "order_created_at",
@@ -114,11 +113,10 @@ def latest_inventory(inventory: DataFrame) -> DataFrame:
 def product_sales(items: DataFrame, orders: DataFrame) -> DataFrame:
     """Per product over lines of delivered orders.
 
-    order_id is unique in orders, so keeping the lines of delivered orders
-    is a semi join (no columns needed from orders); AQE can split a skewed
-    order's partition for it."""
+    An inner join, as in the source project: an order delivered twice counts
+    its lines twice. AQE can split a skewed order's partition for it."""
     delivered = orders.where(F.col("order_status") == "delivered").select("order_id")
-    lines = items.join(delivered, "order_id", "left_semi")
+    lines = items.join(delivered, "order_id")
     return lines.groupBy("product_id").agg(
         F.count_distinct("order_id").alias("orders_containing_product"),
         F.sum("quantity").alias("total_units_sold"),

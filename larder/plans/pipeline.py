@@ -11,15 +11,17 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from larder.operators.merge import write_incremental
-from larder.operators.sinks import register_view, write_table
+from larder.operators.quality import run_suite, source_freshness
+from larder.operators.sinks import read_table, register_view, write_table
+from larder.operators.topk import alert_digest
 from larder.plans import dimensions as D
 from larder.plans import facts as FA
 from larder.plans import intermediate as I
 from larder.plans import reporting as R
+from larder.plans.checks import STAGING_SUITES
 from larder.plans.staging import STAGING
 
 
@@ -27,18 +29,36 @@ def _path(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
 
 
-def run_published_tests(spark: SparkSession, relations: dict) -> list:
-    """Declared tests of the given published relations -> [(test, status)]
-    (one small row per test)."""
+def run_published_tests(spark: SparkSession, relations: dict, only: tuple | None = None) -> list:
+    """Declared tests of ``relations`` -> [(test, status)] (one small row per
+    test): all of them, or those of the relations named in ``only``. A declared
+    relation (or a relationship's parent) that is not given is an error."""
     from larder.plans.declared_tests import DECLARED, run_declared_tests
-    declared = {k: v for k, v in DECLARED.items() if k in relations}
-    # relationship tests whose parent is not among the relations are skipped
-    declared = {k: {c: [t for t in ts if isinstance(t, str) or t[0] != "relationships" or t[1][0] in relations]
-                    for c, ts in v.items()} for k, v in declared.items()}
+    declared = {k: v for k, v in DECLARED.items() if only is None or k in only}
+    parents = {t[1][0] for v in declared.values() for ts in v.values() for t in ts
+               if not isinstance(t, str) and t[0] == "relationships"}
+    absent = sorted((set(declared) | parents) - set(relations))
+    if absent:
+        raise ValueError(f"declared tests need relations that were not given: {absent}")
     res = run_declared_tests(relations, declared).select("test", "status").collect()
     return [(r.test, r.status) for r in res]
 
 
+def check_sources(raw: dict, p) -> list:
+    """Freshness of the sources with a load time -> [(source, status)]."""
+    stamped = {t: (raw[t], "_loaded_at") for t in ("orders", "customers", "inventory")}
+    return [(r.table_name, r.status) for r in source_freshness(stamped, p).collect()]
+
+
+def run_suites(staged: dict) -> list:
+    """Expectations on the staged tables -> [(table.check, success)]."""
+    out = []
+    for name, checks in STAGING_SUITES.items():
+        for r in run_suite(staged[name[len("stg_"):]], name, checks).collect():  # a row per check
+            out.append((f"{name}.{r.check}", r.success))
+    return out
+
+
 def write_run_results(spark: SparkSession, root: str, run_id: str, elapsed: float,
                       results: list) -> str:
     """One run-results document (run_id, elapsed_time, results[status,
@@ -80,13 +100,21 @@ def run_full(spark: SparkSession, raw: dict, p, root: str, with_tests: bool = Tr
     t0 = time.perf_counter()
     s = stage_views(raw, p)
     baskets = I.basket_metrics(s["orders"], s["order_items"], s["promotions"], p)
-    # Read by the order fact and the customer metrics: computed once.
-    baskets = baskets.persist(StorageLevel.MEMORY_AND_DISK)
+    # Read by the order fact, the customer metrics and the tests: written once.
+    ib_path, ic_path, ip_path = (_path(root, "intermediate", n) for n in (
+        "int_orders_basket", "int_customers_orders", "int_products_performance"))
+    sources = check_sources(raw, p)
+    write_table(baskets, ib_path)
+    baskets = read_table(spark, ib_path)
     fo_path = _path(root, "analytics", "fact_orders")
     foi_path = _path(root, "analytics", "fact_order_items")
     dc_path, dp_path = _path(root, "analytics", "dim_customers"), _path(root, "analytics", "dim_products")
-    cm = I.customer_metrics(baskets, s["customers"], p)
-    pm = I.product_metrics(s["order_items"], s["orders"], s["products"], s["inventory"], p)
+    _in_parallel({
+        "int_customers_orders": lambda: write_table(I.customer_metrics(baskets, s["customers"], p), ic_path),
+        "int_products_performance": lambda: write_table(
+            I.product_metrics(s["order_items"], s["orders"], s["products"], s["inventory"], p), ip_path),
+    }, p.threads)
+    cm, pm = read_table(spark, ic_path), read_table(spark, ip_path)
     timings, _ = _in_parallel({
         "fact_orders": lambda: write_incremental(
             spark, FA.fact_orders(baskets, p), fo_path, cluster_by=FA.FACT_ORDERS_CLUSTER, replace=True),
@@ -99,29 +127,36 @@ def run_full(spark: SparkSession, raw: dict, p, root: str, with_tests: bool = Tr
                                             cluster_by=D.DIM_PRODUCTS_CLUSTER, tiebreak=["product_id"]),
         "dim_date": lambda: write_table(D.dim_date(spark, p), _path(root, "analytics", "dim_date")),
     }, p.threads)
-    baskets.unpersist()
     # Reports read the published tables back.
     # daily_sales has days x channels rows only: one date-ordered file set
     # (min/max skipping on date filters) instead of a directory per day.
     more, _ = _in_parallel({
         "reporting_daily_sales": lambda: write_table(
-            R.daily_sales(spark.read.parquet(fo_path)), _path(root, "reporting", "daily_sales"),
+            R.daily_sales(read_table(spark, fo_path)), _path(root, "reporting", "daily_sales"),
             cluster_by=["order_date", "order_channel"]),
         "reporting_inventory_alerts": lambda: write_table(
-            R.inventory_alerts(s["inventory"], spark.read.parquet(dp_path), p),
+            R.inventory_alerts(s["inventory"], read_table(spark, dp_path), p),
             _path(root, "reporting", "inventory_alerts")),
         "reporting_customer_ltv": lambda: write_table(
-            R.customer_ltv(spark.read.parquet(dc_path)), _path(root, "reporting", "customer_ltv")),
+            R.customer_ltv(read_table(spark, dc_path)), _path(root, "reporting", "customer_ltv")),
     }, p.threads)
     timings.update(more)
-    out = {"mode": "full", "seconds": round(time.perf_counter() - t0, 3), "models": timings}
+    out = {"mode": "full", "freshness": dict(sources), "seconds": round(time.perf_counter() - t0, 3), "models": timings}
     if with_tests:
         published = {name: read_published(spark, root, layer, table) for name, layer, table in PUBLISHED}
         published.update({f"stg_{k}": v for k, v in s.items()})
+        published.update({f"raw_{k}": raw[k] for k in STAGING})
+        published.update({"int_orders_basket": baskets, "int_customers_orders": cm, "int_products_performance": pm})
         tests = run_published_tests(spark, published)
-        out["tests_failed"] = sum(1 for _, st in tests if st == "fail")
-        results = [(f"model.larder.{m}", "success") for m in timings]
+        suites = run_suites(s)
+        alerts = R.inventory_alert_rows(s["inventory"], published["dim_products"], p)
+        out["tests"], out["tests_failed"] = len(tests), sum(1 for _, st in tests if st == "fail")
+        out["expectations"], out["expectations_passed"] = len(suites), all(ok for _, ok in suites)
+        out["stock_alerts"] = [r.asDict() for r in alert_digest(alerts).collect()]  # at most 15 rows
+        results = [(f"source.larder.{t}", st) for t, st in sources]
+        results += [(f"model.larder.{m}", "success") for m in timings]
         results += [(f"test.larder.{t}", st) for t, st in tests]
+        results += [(f"expectation.larder.{c}", "pass" if ok else "fail") for c, ok in suites]
         out["run_results"] = write_run_results(spark, root, run_id or f"full-{uuid.uuid4().hex[:8]}",
                                                time.perf_counter() - t0, results)
     return out
@@ -143,6 +178,7 @@ def run_incremental(spark: SparkSession, raw: dict, p, root: str, with_tests: bo
     then the two facts' declared tests and a run-results document."""
     t0 = time.perf_counter()
     s = stage_views(raw, p)
+    sources = check_sources(raw, p)
     baskets = I.basket_metrics(s["orders"], s["order_items"], s["promotions"], p, incremental=True)
     _, stats = _in_parallel({
         "fact_orders": lambda: write_incremental(
@@ -152,13 +188,15 @@ def run_incremental(spark: SparkSession, raw: dict, p, root: str, with_tests: bo
             spark, FA.fact_order_items(s["order_items"], s["orders"], s["products"], p, incremental=True),
             _path(root, "analytics", "fact_order_items"), cluster_by=FA.FACT_ORDER_ITEMS_CLUSTER),
     }, p.threads)
-    out = {"mode": "incremental", "seconds": round(time.perf_counter() - t0, 3), "models": stats}
+    out = {"mode": "incremental", "freshness": dict(sources), "seconds": round(time.perf_counter() - t0, 3), "models": stats}
     if with_tests:
-        published = {name: read_published(spark, root, "analytics", name)
-                     for name in ("fact_orders", "fact_order_items")}
-        tests = run_published_tests(spark, published)
+        facts = ("fact_orders", "fact_order_items")
+        published = {name: read_published(spark, root, layer, table) for name, layer, table in PUBLISHED}
+        published.update({f"stg_{k}": v for k, v in s.items()})
+        tests = run_published_tests(spark, published, facts)
         out["tests_failed"] = sum(1 for _, st in tests if st == "fail")
-        results = [(f"model.larder.{m}", "success") for m in stats]
+        results = [(f"source.larder.{t}", st) for t, st in sources]
+        results += [(f"model.larder.{m}", "success") for m in stats]
         results += [(f"test.larder.{t}", st) for t, st in tests]
         out["run_results"] = write_run_results(spark, root, run_id or f"hourly-{uuid.uuid4().hex[:8]}",
                                                time.perf_counter() - t0, results)
@@ -166,4 +204,4 @@ def run_incremental(spark: SparkSession, raw: dict, p, root: str, with_tests: bo
 
 
 def read_published(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
-    return spark.read.parquet(_path(root, layer, name))
+    return read_table(spark, _path(root, layer, name))

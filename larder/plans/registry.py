@@ -5,9 +5,8 @@ lazy DataFrame; column names match the SQL oracle's."""
 from __future__ import annotations
 
 import datetime as dt
-import os
 import threading
-import warnings
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +16,8 @@ from larder.functions import (cents_to_pounds, is_valid_email, quarter_label, re
                               safe_divide, surrogate_key, title_case, week_sunday)
 from larder.operators import quality as Q
 from larder.operators.filters import latest_snapshot, limit_data_in_dev
-from larder.operators.merge import merge_upsert
+from larder.operators.merge import merge_upsert, write_incremental
+from larder.operators.sinks import input_bytes, input_mark, read_table, write_table
 from larder.operators.topk import alert_digest, alert_top_k_per_status, alert_top_n
 from larder.params import TEST_PARAMS
 from larder.plans import alerts as A
@@ -33,7 +33,6 @@ P = TEST_PARAMS
 _GRAPHS: dict = {}
 _LANDED: dict = {}
 _LOCK = threading.RLock()
-LAND_RAW = os.environ.get("LARDER_LAND_RAW", "1") != "0"
 
 
 def _app_key(spark: SparkSession) -> str:
@@ -44,12 +43,21 @@ def _app_key(spark: SparkSession) -> str:
         return spark.conf.get("spark.app.id", None) or str(id(spark))
 
 
+#: Input bytes of a bucket of the landed tables.
+BUCKET_BYTES = 128 << 20
+
+
+def _sources(sf_dir: str) -> list[str]:
+    from larder.sources.testdata import TEST_SCHEMAS
+    return [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in TEST_SCHEMAS]
+
+
 def landed_raw(spark: SparkSession, sf_dir: str) -> dict:
     """The six raw tables, derived from the test tables by the adapter and
     landed once per session as bucketed tables in the shared checkpoint
     folder — the state a run starts from in production (raw tables loaded,
     then models built). Later queries read the landed buckets."""
-    key = (_app_key(spark), sf_dir.rstrip("/"))
+    key = (_app_key(spark), sf_dir.rstrip("/"), input_mark(spark, _sources(sf_dir)))
     with _LOCK:
         return _landed_locked(spark, sf_dir, key)
 
@@ -62,10 +70,8 @@ def _landed_locked(spark, sf_dir, key):
     if key not in _LANDED:
         tag = hashlib.sha1(repr(key).encode()).hexdigest()[:10]
         db = f"larder_landed_{tag}"
-        try:
-            buckets = max(spark.sparkContext.defaultParallelism, 1)
-        except Exception:
-            buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+        # One file per bucket, sized by the data: more bytes, more buckets.
+        buckets = max(8, -(-input_bytes(spark, _sources(sf_dir)) // BUCKET_BYTES))
         land_raw_tables(spark, raw_tables(spark, sf_dir), db, buckets,
                         location=scratch_path(spark, f"landed/{db}"))
         _LANDED[key] = {t: spark.table(f"{db}.{t}") for t in RAW_BUCKET_KEYS}
@@ -76,19 +82,11 @@ def _m(spark: SparkSession, sf_dir: str, p=P) -> Models:
     """The lazy model graph for this session, data folder and parameters.
     Queries in one session share it (DataFrames are immutable plans), so the
     graph is built once, as in a pipeline run."""
-    key = (_app_key(spark), sf_dir.rstrip("/"), repr(p))
+    key = (_app_key(spark), sf_dir.rstrip("/"), input_mark(spark, _sources(sf_dir)), repr(p))
     with _LOCK:
         m = _GRAPHS.get(key)
         if m is None or m.spark is not spark:
-            m = None
-            if LAND_RAW:
-                try:
-                    m = Models(spark, landed_raw(spark, sf_dir), p)
-                except Exception as e:  # e.g. no writable catalog / folder
-                    warnings.warn(f"landing raw tables failed ({type(e).__name__}: {e}); "
-                                  "reading the test tables directly")
-            if m is None:
-                m = Models.from_testdata(spark, sf_dir, p)
+            m = Models(spark, landed_raw(spark, sf_dir), p)
             _GRAPHS[key] = m
         return m
 
@@ -109,9 +107,75 @@ def previous_fact_orders(m: Models) -> DataFrame:
     return m.fact_orders.where(F.col("order_date") <= F.lit(cutoff))
 
 
+def order_updates(m: Models) -> DataFrame:
+    """Updates for yesterday's fact_orders: its last 60 days as returned, a
+    pound more discount and moved to the next day; and the orders since."""
+    old = previous_fact_orders(m)
+    changed = old.where(F.col("order_date") >= F.lit(m.p.as_of - dt.timedelta(days=60)))
+    changed = changed.withColumns({
+        "order_status": F.lit("returned"), "is_returned": F.lit(True), "is_delivered": F.lit(False),
+        "total_discount_gbp": (F.col("total_discount_gbp") + 1).cast("decimal(28,4)"),
+        "order_date": F.date_add("order_date", 1)})
+    new = m.fact_orders.where(F.col("order_date") > F.lit(m.p.as_of - dt.timedelta(days=2)))
+    return changed.select(old.columns).unionByName(new)
+
+
 def q_merge_upsert_orders(spark, sf_dir):
     m = _m(spark, sf_dir)
-    return merge_upsert(previous_fact_orders(m), m.fact_orders_incremental, "surrogate_key")
+    return merge_upsert(previous_fact_orders(m), order_updates(m), "surrogate_key")
+
+
+def _scratch(spark, name):
+    from larder.session import scratch_path
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def q_merge_published_orders(spark, sf_dir):
+    """Publish, upsert, read back: updates, moves between days, inserts."""
+    m, path = _m(spark, sf_dir), _scratch(spark, "published-orders")
+    write_incremental(spark, previous_fact_orders(m), path, cluster_by=FA.FACT_ORDERS_CLUSTER)
+    write_incremental(spark, order_updates(m), path, cluster_by=FA.FACT_ORDERS_CLUSTER)
+    return read_table(spark, path)
+
+
+def q_published_daily_sales(spark, sf_dir):
+    """The daily report as a published table, partitioned by day, refreshed
+    twice and read back."""
+    m, path = _m(spark, sf_dir), _scratch(spark, "published-daily-sales")
+    write_table(m.daily_sales.limit(0), path)
+    write_table(m.daily_sales, path, "order_date", ["order_channel"])
+    return read_table(spark, path)
+
+
+def q_view_delivered_orders(spark, sf_dir):
+    """A staged view read through the catalog by name."""
+    from larder.operators.sinks import register_view
+    register_view(_m(spark, sf_dir).stg["orders"], "larder_stg_orders_view")
+    return spark.sql("SELECT order_id, customer_id FROM larder_stg_orders_view WHERE order_status = 'delivered'")
+
+
+def q_dim_date(spark, sf_dir):
+    from larder.plans.dimensions import dim_date
+    m = _m(spark, sf_dir)
+    return dim_date(spark, m.p, m.fact_orders)
+
+
+def q_run_log_files(spark, sf_dir):
+    """Run-result documents of three runs, written as JSON files and read
+    back: the suite's results, the same with its failures as warnings, and a
+    run whose passing checks were skipped."""
+    from larder.sources.raw import read_run_log
+    path = _scratch(spark, "run-logs")
+    checks = A.suite_run_log(_suite_results(spark, sf_dir), "x").select("unique_id", "status")
+    runs = spark.createDataFrame([("daily", 61.26, "fail", "pass"), ("hourly", 7.04, "warn", "pass"),
+                                  ("stopped", 0.5, "error", "skipped")],
+                                 "run_id string, elapsed_time double, on_fail string, on_pass string")
+    node = F.struct(F.when(F.col("status") == "fail", F.col("on_fail")).otherwise(F.col("on_pass")).alias("status"),
+                    "unique_id")
+    # One row per check and run: bounded by the declared suites.
+    (checks.join(F.broadcast(runs)).groupBy("run_id", "elapsed_time").agg(F.collect_list(node).alias("results"))
+     .withColumn("run", F.col("run_id")).write.partitionBy("run").json(path))  # a file per run
+    return A.run_log_rollup(read_run_log(spark, f"{path}/*/*.json"))
 
 
 # ---- windows / top-k ---------------------------------------------------------
@@ -301,6 +365,10 @@ def q_dq_suite_summary(spark, sf_dir):
     return Q.suite_summary(_suite_results(spark, sf_dir))
 
 
+def q_dq_suite_overall(spark, sf_dir):
+    return Q.suite_overall(_suite_results(spark, sf_dir))
+
+
 # ---- logs -----------------------------------------------------------------------------
 
 def q_run_log_rollup(spark, sf_dir):
@@ -327,12 +395,15 @@ QUERIES = {
     "fact_order_items": _model("fact_order_items"),
     "dim_customers": _model("dim_customers"),
     "dim_products": _model("dim_products"),
-    "dim_date": _model("dim_date"),
+    "dim_date": q_dim_date,
     "daily_sales": _model("daily_sales"),
     "inventory_alerts": _model("inventory_alerts"),
     "customer_ltv": _model("customer_ltv"),
     # incremental
     "merge_upsert_orders": q_merge_upsert_orders,
+    "merge_published_orders": q_merge_published_orders,
+    "published_daily_sales": q_published_daily_sales,
+    "view_delivered_orders": q_view_delivered_orders,
     "fact_orders_incremental": _model("fact_orders_incremental"),
     "fact_order_items_incremental": _model("fact_order_items_incremental"),
     # windows / top-k
@@ -368,7 +439,9 @@ QUERIES = {
     "dq_suite_results": q_dq_suite_results,
     "dq_declared_tests": q_dq_declared_tests,
     "dq_suite_summary": q_dq_suite_summary,
+    "dq_suite_overall": q_dq_suite_overall,
     # logs
     "run_log_rollup": q_run_log_rollup,
+    "run_log_files": q_run_log_files,
     "load_summary": q_load_summary,
 }

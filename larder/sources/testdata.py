@@ -31,8 +31,8 @@ ADAPTER = {
         ("delivery_slot_start", "o_orderdate + " + _HOURS.format(n="o_orderkey % 24 + 2 + o_orderkey % 47")),
         ("delivery_slot_end", "o_orderdate + " + _HOURS.format(n="o_orderkey % 24 + 4 + o_orderkey % 47")),
         ("delivery_address_id", "concat('ADDR-', lpad(cast(o_orderkey % 9999 + 1 as string), 5, '0'))"),
-        ("promo_code", "case when o_orderkey % 7 < 2 then concat('SAVE', "
-                       "lpad(cast(o_orderkey % 48 + 1 as string), 2, '0')) end"),
+        ("promo_code", "case when o_orderkey % 7 = 0 then 'SAVE0000001' when o_orderkey % 7 = 1 then concat('SAVE', "
+                       "lpad(cast(o_orderkey % 100003 + 1 as string), 7, '0')) end"),
         ("_loaded_at", "timestamp '2001-08-01 06:00:00' - " + _HOURS.format(n="o_orderkey % 30")),
     ]),
     "order_items": ("lineitem", None, [
@@ -77,15 +77,15 @@ ADAPTER = {
         ("is_active", "c_custkey % 12 <> 0"),
         ("_loaded_at", "timestamp '2001-08-01 06:00:00'"),
     ]),
-    "promotions": ("part", "p_partkey < 40", [
-        ("promo_id", "concat('PROMO-', lpad(cast(p_partkey + 1 as string), 3, '0'))"),
-        ("promo_code", "concat(' save', lpad(cast(p_partkey + 1 as string), 2, '0'), ' ')"),
+    "promotions": ("part", None, [
+        ("promo_id", "concat('PROMO-', lpad(cast(p_partkey + 1 as string), 7, '0'))"),
+        ("promo_code", "concat(' save', lpad(cast(p_partkey + 1 as string), 7, '0'), ' ')"),
         ("promo_type", "case when p_partkey % 4 = 0 then 'pct_discount' when p_partkey % 4 = 1 "
                        "then 'fixed_discount' when p_partkey % 4 = 2 then 'bogo' else 'free_delivery' end"),
         ("discount_value", "cast(p_partkey % 26 as decimal(18,2))"),
         ("min_basket_gbp", "cast(p_partkey % 50 + 10 as decimal(18,2))"),
-        ("valid_from", "date '2001-06-01' + cast(p_partkey * 3 as int)"),
-        ("valid_to", "date '2001-06-15' + cast(p_partkey * 3 as int)"),
+        ("valid_from", "date '2001-06-01' + cast(p_partkey % 40 * 3 as int)"),
+        ("valid_to", "date '2001-06-15' + cast(p_partkey % 40 * 3 as int)"),
         ("is_active", "p_partkey % 3 <> 0"),
     ]),
     # part x 4 warehouses (wh, wn) x 2 snapshot days (dn)

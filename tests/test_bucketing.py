@@ -18,7 +18,8 @@ def test_bucketed_raw_removes_order_shuffles(spark):
     try:
         for attr in ("baskets", "fact_order_items"):
             plan = getattr(b, attr)._jdf.queryExecution().executedPlan().toString()
-            assert "Exchange hashpartitioning" not in plan, attr
+            # only the lookups may shuffle (no broadcast here), never by order
+            assert "Exchange hashpartitioning(order_id" not in plan, attr
         for attr in ("baskets", "fact_order_items", "dim_customers", "daily_sales"):
             x, y = getattr(plain, attr), getattr(b, attr)
             assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0, attr

@@ -2,7 +2,9 @@ import datetime as dt
 
 import pytest
 
+from larder.operators import merge as M
 from larder.operators.merge import DuplicateKeyError, merge_upsert, write_incremental
+from larder.operators.sinks import ConcurrentWriteError, commit_version, current_version, read_table, write_table
 
 SCHEMA = "surrogate_key string, order_date date, v int, category string"
 D1, D2, D3 = dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3)
@@ -13,7 +15,7 @@ def rows(df):
 
 
 def table(spark, path):
-    return rows(spark.read.parquet(path))
+    return rows(read_table(spark, path))
 
 
 def test_merge_upsert_lazy(spark):
@@ -60,3 +62,41 @@ def test_empty_updates_and_null_key(spark, scratch):
     assert stats["touched_partitions"] == 0
     write_incremental(spark, spark.createDataFrame([(None, D1, 5, "x")], SCHEMA), path)
     assert sorted(table(spark, path), key=str) == sorted([("a", D1, 1), (None, D1, 5)], key=str)
+
+
+def test_null_days_stay_and_move(spark, scratch):
+    path = f"{scratch}/fact"
+    write = lambda rs: write_incremental(spark, spark.createDataFrame(rs, SCHEMA), path)
+    write([("a", D1, 1, "x"), ("n1", None, 2, "x"), ("n2", None, 3, "x"), ("m", None, 4, "x")])
+    write([("n3", None, 5, "x")])  # null to null: the others stay
+    assert len(table(spark, path)) == 5
+    write([("m", D1, 40, "x")])  # null to day
+    write([("a", None, 10, "x")])  # day to null
+    assert table(spark, path) == sorted([("a", None, 10), ("m", D1, 40), ("n1", None, 2), ("n2", None, 3),
+                                         ("n3", None, 5)], key=str)
+
+
+def test_crash_before_the_switch_changes_nothing(spark, scratch, monkeypatch):
+    path = f"{scratch}/fact"
+    write_incremental(spark, spark.createDataFrame([("a", D1, 1, "x"), ("b", D2, 2, "x")], SCHEMA), path)
+    before = table(spark, path)
+
+    def crash(*_):
+        raise RuntimeError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(M, "commit_version", crash)
+        with pytest.raises(RuntimeError):
+            write_incremental(spark, spark.createDataFrame([("a", D2, 9, "x")], SCHEMA), path)
+    assert table(spark, path) == before
+    write_incremental(spark, spark.createDataFrame([("a", D2, 9, "x")], SCHEMA), path)
+    assert table(spark, path) == [("a", D2, 9), ("b", D2, 2)]
+
+
+def test_two_writers_do_not_lose_each_other(spark, scratch):
+    path = f"{scratch}/t"
+    write_table(spark.createDataFrame([(1,)], "v2 int"), path)
+    number, folders = current_version(spark, path)
+    commit_version(spark, path, folders, number)
+    with pytest.raises(ConcurrentWriteError):
+        commit_version(spark, path, folders, number)
+    assert read_table(spark, path).count() == 1

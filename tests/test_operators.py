@@ -5,7 +5,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from larder.operators.filters import latest_snapshot, limit_data_in_dev, since_lookback
-from larder.operators.joins import broadcast_if_small, lookup_join
+from larder.operators.joins import lookup_join, materialize
 from larder.operators.windows import keep_first, lag_days, lag_rows, rolling_days, rolling_rows
 from larder.params import Params
 from larder.plans.intermediate import latest_inventory
@@ -50,11 +50,14 @@ def test_latest_snapshot_and_inventory_ties(spark):
 def test_lookup_join_paths_agree(spark):
     left = spark.createDataFrame([(1, "A"), (2, None), (3, "Z")], "id int, code string")
     right = spark.createDataFrame([("A", 10)], "code2 string, v int")
-    big = lookup_join(left, right, "code", "code2", salt_col="id", max_bytes=0)
-    small = lookup_join(left, right, "code", "code2", salt_col="id", max_bytes=1 << 30)
-    as_set = lambda df: sorted((r.id, r.v) for r in df.collect())
-    assert as_set(big) == as_set(small) == [(1, 10), (2, None), (3, None)]
-    assert broadcast_if_small(right, 0) is right
+    as_set = lambda: sorted((r.id, r.v) for r in lookup_join(
+        left, materialize(right, "right"), "code", "code2", salt_col="id").collect())
+    small = as_set()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert as_set() == small == [(1, 10), (2, None), (3, None)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_scale_conf_and_names():

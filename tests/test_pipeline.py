@@ -53,8 +53,20 @@ def test_run_results_documents(spark, scratch):
     root = f"{scratch}/wh"
     full = run_full(spark, m.raw, p, root, run_id="daily-1")
     inc = run_incremental(spark, m.raw, p, root, run_id="hourly-1")
-    assert full["tests_failed"] == 0 and inc["tests_failed"] == 0
+    # every declared test and expectation runs; the raw channel and loyalty
+    # tier values and the planted addresses fail on this data
+    assert full["tests"] == 97 and full["tests_failed"] == 2 and inc["tests_failed"] == 0
+    assert full["expectations"] == 28 and not full["expectations_passed"]
+    assert full["freshness"] == inc["freshness"] == {"orders": "pass", "customers": "pass", "inventory": "pass"}
+    assert len(full["stock_alerts"]) <= 15 and full["stock_alerts"][0]["alerts_listed"] > 20
     roll = {r.run_id: r for r in run_log_rollup(read_run_log(spark, f"{root}/_runs/*")).collect()}
     assert set(roll) == {"daily-1", "hourly-1"}
-    assert roll["hourly-1"].errors == 0 and roll["hourly-1"].total == 2 + 12
-    assert roll["daily-1"].success == roll["daily-1"].total
+    assert roll["hourly-1"].errors == 0 and roll["hourly-1"].total == 3 + 2 + 12
+    assert roll["daily-1"].errors == 2 + 1 and roll["daily-1"].total == 3 + 8 + 97 + 28
+
+
+def test_a_dropped_declared_test_is_an_error(spark):
+    import pytest
+    from larder.plans.pipeline import run_published_tests
+    with pytest.raises(ValueError, match="raw_orders"):
+        run_published_tests(spark, {})

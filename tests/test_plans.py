@@ -31,19 +31,18 @@ def test_topk_limits_before_shuffle(at_scale):
     assert "Exchange" in p
 
 
-def test_hourly_lines_filtered_map_side(at_scale):
-    m = Models.from_testdata(at_scale, SF001, TEST_PARAMS)
+def test_hourly_lines_filtered_map_side(spark):
+    m = Models.from_testdata(spark, SF001, TEST_PARAMS)
     p = plan(m.fact_orders_incremental)
-    # recent orders (exact count checked) broadcast into a semi join before
-    # the per-order aggregate: no shuffle of all lines
+    # the recent orders' files are small enough: broadcast into a semi join
+    # before the per-order aggregate, no shuffle of all lines
     assert re.search(r"BroadcastHashJoin \[order_id#\d+\], \[order_id#\d+\], LeftSemi", p)
     p = plan(m.fact_order_items_incremental)
     assert "SortMergeJoin" not in p
 
 
 def test_full_run_shuffles_with_null_safe_keys_when_not_small(at_scale):
-    from dataclasses import replace
-    m = Models.from_testdata(at_scale, SF001, replace(TEST_PARAMS, broadcast_max_bytes=0))
+    m = Models.from_testdata(at_scale, SF001, TEST_PARAMS)
     p = plan(m.baskets)
     assert "BroadcastHashJoin" not in p
     assert "coalesce(promo_code" in p  # null promo codes get stand-in keys
