@@ -71,6 +71,14 @@ def prepare_python(spark: SparkSession, rows: int = 1000) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+def publish_file(store, own: str, final: str) -> None:
+    """Put a finished file in its place; a repeated task replaces its own."""
+    from pyarrow import fs
+    if store.get_file_info(final).type != fs.FileType.NotFound:
+        store.delete_file(final)
+    store.move(own, final)
+
+
 def with_rank(df: DataFrame, keys: list[str], bucket: Column, order: list[Column],
               name: str = "rank", weight: Column | None = None) -> DataFrame:
     """Exact 0-based rank of every row within ``keys`` (or the sum of

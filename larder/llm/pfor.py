@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm.common import shared_path, prepare_python, table
+from larder.llm.common import prepare_python, publish_file, shared_path, table
 from larder.llm.tokens import encoder, tokenizer_path
 
 BLOCK = 128
@@ -238,7 +238,7 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_
                 out.add([None if x != x or x is None else int(x) for x in batch["id"].tolist()], ids, lengths)
                 batch = next(batches, None)
             out.close()
-        store.move(own, f"{path}/part-{part:06d}.pfor")
+        publish_file(store, own, f"{path}/part-{part:06d}.pfor")
         yield pd.DataFrame({"part": [part], "file": [f"{folder}/part-{part:06d}.pfor"],
                             "n_docs": [len(out.docs)], "n_ids": [out.ids]})
 

@@ -234,6 +234,20 @@ class Tree:
 _TREES: dict[str, Tree] = {}
 
 
+def frequent(words: DataFrame) -> DataFrame:
+    """The most frequent words (key, n), at most HEAD: whole classes of counts
+    (eighths of a power of two), from the top."""
+    size_class = F.floor(F.log2("n") * 8)
+    classes = words.groupBy(size_class.alias("c")).agg(F.count(F.lit(1)).alias("k")).collect()  # a few hundred rows
+    least, total = None, 0
+    for r in sorted(classes, key=lambda r: -r["c"]):
+        total += r["k"]
+        if total > HEAD:
+            break
+        least = r["c"]
+    return words.filter(F.lit(False) if least is None else size_class >= least)
+
+
 def score_documents(docs: DataFrame, train: DataFrame) -> DataFrame:
     """``docs`` (doc_id, held_out, text) scored by a model of ``train`` (text):
     doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
@@ -246,13 +260,13 @@ def score_documents(docs: DataFrame, train: DataFrame) -> DataFrame:
     log_all = float(np.log10(n_train + 0.5 * (n_kinds + 1)))
     symbols = runs.agg(F.sum("n")).first()[0] or 0
     entries = tree_entries(runs, symbols)
-    head = words.orderBy(F.desc("n"), "key").limit(HEAD).toPandas()  # at most HEAD rows of two numbers
+    head = frequent(words).toPandas()  # at most HEAD rows of two numbers
     keys = head["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
     name = uuid.uuid4().hex
     model = spark.sparkContext.broadcast((entries, keys[order], head["n"].to_numpy(np.int64)[order]))
     # Without a word beyond the head none is looked up.
-    whole = n_kinds <= HEAD
+    whole = len(keys) == n_kinds
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         entries, head_keys, head_counts = model.value

@@ -115,7 +115,7 @@ def bucket_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         yield pd.DataFrame({"chunk": range(seen.shape[1] // chunk), "pos": list(seen[1].reshape(-1, chunk)),
                             "neg": list(seen[0].reshape(-1, chunk))})
 
-    def total(key, parts: pd.DataFrame) -> pd.DataFrame:
+    def total(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"chunk": [key[0]], "pos": [np.sum(parts["pos"].tolist(), axis=0)],
                              "neg": [np.sum(parts["neg"].tolist(), axis=0)]})
 

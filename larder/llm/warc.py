@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm.common import prepare_python, saved, shared_path, table
+from larder.llm.common import prepare_python, publish_file, saved, shared_path, table
 
 MAGIC = b"WARC/1.1\r\n"
 END = b"\r\n\r\n"
@@ -129,7 +129,7 @@ def write_archives(pages: DataFrame, folder: str) -> list[dict]:
                 size, n = size + len(raw), n + 1
         if sink is not None:
             sink.close()
-            store.move(own, f"{path}/part-{part:06d}.warc")
+            publish_file(store, own, f"{path}/part-{part:06d}.warc")
             yield pd.DataFrame({"file": [f"{folder}/part-{part:06d}.warc"], "size": [size], "records": [n]})
 
     files = with_responses(pages).mapInPandas(write, "file string, size long, records long")
