@@ -45,10 +45,10 @@ from larder.llm.labelled import held_out
 
 #: Production parameters.
 DEPTH = 5
-MIN_SHARE = 5e-8
-MAX_ENTRIES = 4_000_000
+MIN_SHARE = 1e-7
+MAX_ENTRIES = 1_000_000
 MIN_GAIN = 10.0
-HEAD = 1 << 20
+HEAD = 1 << 18
 FOLDS, OUT = 5, 1
 TABLE_BITS = 22
 
@@ -137,7 +137,8 @@ def tree_entries(runs: DataFrame, total: int) -> pd.DataFrame:
         least *= 2
     kept = sums.filter(F.col("n") >= least).withColumn("context", F.shiftright("run", 8))
     return (kept.join(whole.filter(F.col("all") >= least), ["depth", "context"])
-            .select("depth", "run", "n", "all", "kinds").toPandas())
+            .select(F.col("depth").cast("byte").alias("depth"), "run", "n", "all",
+                    F.col("kinds").cast("int").alias("kinds")).toPandas())
 
 
 def find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -252,7 +253,7 @@ def score_documents(docs: DataFrame, train: DataFrame) -> DataFrame:
     """``docs`` (doc_id, held_out, text) scored by a model of ``train`` (text):
     doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
-    prepare_python(spark, 500)
+    prepare_python(spark)
     counts = saved(corpus_counts(train), "lm-counts")
     words, runs = counts.filter("kind = 0").select("key", "n"), counts.filter("kind = 1")
     size = words.agg(F.sum("n"), F.count(F.lit(1))).first()
@@ -265,6 +266,7 @@ def score_documents(docs: DataFrame, train: DataFrame) -> DataFrame:
     order = np.argsort(keys)
     name = uuid.uuid4().hex
     model = spark.sparkContext.broadcast((entries, keys[order], head["n"].to_numpy(np.int64)[order]))
+    del entries, head
     # Without a word beyond the head none is looked up.
     whole = len(keys) == n_kinds
 
