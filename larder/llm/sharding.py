@@ -114,19 +114,21 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id
     shares = [total // shards + (s < total % shards) for s in range(shards)]
     buckets = max(256, min(65_536, total // BUCKET_ROWS))
     seen = nodes.groupBy("g", F.col("start").alias("shard")).agg(F.count(F.lit(1)).alias("n"))
-    groups = seen.groupBy("g").agg(F.sum("n").alias("_m"))
+    # Written, so that joins on g have plain scans on both sides: AQE can then
+    # split the partition of a huge group.
+    groups = saved(seen.groupBy("g").agg(F.sum("n").alias("_m")), "shard-groups")
     linked = groups.filter("_m > 1").select("g")
     cells = propagate(saved(seen.join(linked, "g").select("g", "shard", "n"), "shard-cells"), shares)
 
     # Documents of linked groups: cell by cell, by rank where a group is cut.
     by_group = Window.partitionBy("g").orderBy("shard")
-    spans = cells.withColumns({
+    spans = saved(cells.withColumns({
         "_from": F.sum("n").over(by_group) - F.col("n"),
-        "_cells": F.count(F.lit(1)).over(Window.partitionBy("g"))})
+        "_cells": F.count(F.lit(1)).over(Window.partitionBy("g"))}), "shard-spans")
     own = [F.col("doc_id"), F.col("size"), F.col("text_crc32")]
     whole = nodes.join(spans.filter("_cells = 1").select("g", "shard"), "g")
     cut = spans.filter("_cells > 1")
-    cut_nodes = nodes.join(cut.select("g").distinct(), "g", "left_semi")
+    cut_nodes = nodes.join(cut.select("g"), "g", "left_semi")
     ranked = with_rank(cut_nodes, ["g"], hash_bucket(["doc_id"], buckets), own, "_rank")
     parts = (ranked.join(cut.withColumnRenamed("g", "_g"), (F.col("g") == F.col("_g"))
                          & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_from") + F.col("n"))))
