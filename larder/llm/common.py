@@ -50,7 +50,7 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")
 
 
-def prepare_python(spark: SparkSession, rows: int = 1000) -> None:
+def prepare_python(spark: SparkSession, rows: int = 250) -> None:
     """Make the package importable in Python workers and keep Arrow batches at
     ``rows`` rows: with whole texts in a column a task then holds a few MB of
     them at a time. The package goes out once per application, as a zip file

@@ -16,8 +16,8 @@ import numpy as np
 import regex
 
 #: Entries kept per worker (words with their punctuation; bare pieces of words).
-MAX_WORDS = 700_000
-MAX_PIECES = 400_000
+MAX_WORDS = 400_000
+MAX_PIECES = 300_000
 
 #: Words of printable ASCII and Latin-1 letters: lower-casing maps one letter to
 #: one, and canonical composition leaves them alone.
@@ -52,11 +52,11 @@ class WordEncoder:
         self.pattern = regex.compile(pattern)
         self.special = regex.compile("|".join(regex.escape(t["content"]) for t in spec["added_tokens"]) or r"(?!)")
         self.letters = _byte_letters()
+        self.pieces: dict[str, tuple[int, ...]] = {}
         self._clear()
 
     def _clear(self) -> None:
         self.at: dict[str, int] = {"": 0}
-        self.pieces: dict[str, tuple[int, ...]] = {}
         self.start = np.zeros(1024, np.int64)
         self.size = np.zeros(1024, np.int64)
         self.ids = np.zeros(1 << 14, np.uint32)
