@@ -2,7 +2,8 @@
 
 Each query is executed to completion with the no-op sink (all rows
 computed, nothing collected); the time per query is the best of
-$BENCH_PASSES passes (default 2, the first one warming the JVM). Then the
+$BENCH_PASSES passes (default 2, the first one warming the JVM), each pass with
+a fresh model graph. The value includes landing the raw tables. Then the
 full daily pipeline and two hourly incremental runs are timed. Prints one
 JSON line.
 """
@@ -69,6 +70,7 @@ def main() -> None:
     passes = max(1, int(os.environ.get("BENCH_PASSES", "2")))
     runs = {name: [] for name in names}
     for _ in range(passes):
+        registry._GRAPHS.clear()
         for name in names:
             runs[name].append(run(name))
     times = {name: round(min(r), 3) for name, r in runs.items()}
@@ -77,7 +79,7 @@ def main() -> None:
     headline = [n for n in HEADLINE if n in times]
     out = {
         "metric": "total_query_seconds",
-        "value": round(sum(times.values()), 3),
+        "value": round(sum(times.values()) + land_seconds, 3),
         "unit": "sec",
         "headline_seconds": round(sum(times[n] for n in headline), 3),
         "queries": times,

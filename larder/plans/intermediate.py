@@ -35,7 +35,7 @@ def basket_metrics(orders: DataFrame, items: DataFrame, promotions: DataFrame, p
     aggregating, semi-joins the lines to those orders, so an hourly run only
     aggregates the lines of recent orders (same rows as filtering afterwards).
     ``restrict=True`` does the same for an already small set of orders
-    (e.g. one streaming micro-batch)."""
+    (e.g. one landed file)."""
     if incremental or restrict:
         # The recent orders are materialized once; the planner sees their
         # real size and broadcasts the ids if they are small enough, else a

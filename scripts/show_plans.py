@@ -1,6 +1,5 @@
 """Summarise the physical plans of the registered queries as they would run
-at scale: automatic broadcasting off (only size-proven hints remain),
-raw tables landed bucketed. Prints a Markdown table.
+at scale: automatic broadcasting off, raw tables landed bucketed. Prints a Markdown table.
 
 usage: python scripts/show_plans.py [sf_dir] > PLANS.md"""
 
@@ -41,8 +40,7 @@ def main():
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # show the static plan
     cols = None
     print("# Physical plans at scale settings\n")
-    print("Generated by `scripts/show_plans.py`: automatic broadcast off (only the size-proven")
-    print("hints of `broadcast_if_small` / `materialize_bounded` remain), AQE off to show the")
+    print("Generated by `scripts/show_plans.py`: automatic broadcast off, AQE off to show the")
     print("static plan, raw tables landed bucketed by key (8 buckets).\n")
     for q in KEYS:
         plan = QUERIES[q](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
