@@ -53,9 +53,11 @@ def words_of(text: Column) -> Column:
 def prepare_python(spark: SparkSession, rows: int = 250) -> None:
     """Make the package importable in Python workers and keep Arrow batches at
     ``rows`` rows: with whole texts in a column a task then holds a few MB of
-    them at a time. The package goes out once per application, as a zip file
+    them at a time; bounded results reach the driver as Arrow columns, not as
+    row objects. The package goes out once per application, as a zip file
     that the driver hands to the executors (like ``--py-files``)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm.common import let, saved, table, words_of
+from larder.llm.common import let, prepare_python, saved, table, words_of
 from larder.llm.labelled import held_out, training_rows
 
 #: Production parameters.
@@ -160,6 +160,7 @@ def fit_lasso(z: np.ndarray, y: np.ndarray, penalty: float = LASSO) -> tuple[np.
 
 def train(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[Rule, float]], float]:
     """Kept rules with their weights, and the intercept."""
+    prepare_python(docs.sparkSession)
     rows = saved(training_rows(docs, labels, "quality", TRAIN_ROWS)
                  .select("label", statistics(F.col("text")).alias("s")).select("label", "s.*"), "quality-train")
     data = rows.orderBy(*rows.columns).toPandas()  # at most TRAIN_ROWS rows of a dozen numbers
