@@ -91,6 +91,24 @@ def test_tree_is_a_distribution_and_its_table_agrees(spark):
     assert np.allclose(tree.score(runs), tree._walk(runs, suffix_tree.DEPTH))
 
 
+def test_language_model_keeps_rare_contexts_of_a_large_corpus(spark, monkeypatch):
+    rare = spark.createDataFrame([(i, False, "xqzjv kwxyz") for i in range(2)], "doc_id long, held_out boolean, text string")
+    much = spark.range(30).selectExpr("repeat('ab cd ', 200000) AS text")  # 36 million symbols
+    other = spark.createDataFrame([(9, True, "xqzjw ab cq \u6f22")], rare.schema)
+    got = suffix_tree.score_documents(rare.union(other), much.union(rare.select("text"))).toPandas().set_index("doc_id")
+    # Two occurrences tell what follows: far from the 12 * log10(1 / 18,000,000) of single symbols.
+    assert got.loc[0, "score"] == got.loc[1, "score"] > -25
+    train = spark.createDataFrame([("ab cd " * 500,), *[("xqzjv kwxyz",)] * 2], "text string")
+    counts = suffix_tree.corpus_counts(train)
+    tree = suffix_tree.Tree(suffix_tree.tree_entries(counts.filter("kind = 1")))
+    for head in (1 << 19, 8, 0):
+        monkeypatch.setattr(suffix_tree, "RUN_HEAD", head)
+        got = suffix_tree.score_documents(rare.union(other), train).toPandas().set_index("doc_id")
+        for r in rare.union(other).collect():
+            runs = suffix_tree.symbol_runs([suffix_tree.split_words(r["text"])])[0]
+            assert abs(got.loc[r["doc_id"], "score"] - tree.score(runs).sum()) < 1e-9
+
+
 def test_language_model_on_odd_rows(spark, odd_docs, no_docs):
     out = odd_docs.selectExpr("doc_id", "false AS held_out", "text")
     got = suffix_tree.score_documents(out, odd_docs.select("text")).toPandas()
