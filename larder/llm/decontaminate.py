@@ -3,7 +3,10 @@
 A seed mask looks at some of the token positions under it and ignores the
 others, so two texts share a seed hash although tokens at ignored positions
 were substituted. Four masks of weight seven find every overlap of thirteen
-tokens with up to two substitutions anywhere.
+tokens with up to two substitutions anywhere. Items of seven to twelve tokens,
+where the rule admits one or two, also have masks of weight six on their first
+seven or ten tokens that leave out each token or each two of five token pairs;
+documents are hashed under them only if the benchmark has such items.
 
 1. Benchmark items (equal ones once) give (hash, item, position) rows for every
    mask and position, and a bit table of fixed size that holds their hashes.
@@ -26,7 +29,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, combinations
 
 import numpy as np
 import pandas as pd
@@ -39,6 +42,12 @@ from larder.llm.common import prepare_python, saved, table
 #: The positions each mask looks at.
 MASKS = ("1111111", "11011111", "1100111011", "1110100111")
 
+#: Also fixed: masks at the start of items with (from, to) tokens.
+SHORT_MASKS = {
+    (7, 9): tuple("".join("0" if i == gap else "1" for i in range(7)) for gap in range(7)),
+    (10, 12): tuple("".join("00" if i in gaps else "11" for i in range(5)) for gaps in combinations(range(5), 2)),
+}
+
 #: Production parameters.
 MIN_TOKENS = 13
 MIN_IDENTITY = 80
@@ -46,7 +55,7 @@ MIN_IDENTITY = 80
 CONTEXT = 48
 FILTER_BITS = 24
 
-OFFSETS = [tuple(i for i, c in enumerate(m) if c == "1") for m in MASKS]
+OFFSETS = [tuple(i for i, c in enumerate(m) if c == "1") for m in chain(MASKS, *SHORT_MASKS.values())]
 WORD = re.compile(r"\w+")
 
 
@@ -72,6 +81,16 @@ def seed_hashes(tokens: np.ndarray, mask: int) -> np.ndarray:
     return h
 
 
+def masks_for(lengths) -> list[int]:
+    """The masks that items of these numbers of tokens have."""
+    out, first = list(range(len(MASKS))), len(MASKS)
+    for (least, most), masks in SHORT_MASKS.items():
+        if any(least <= n <= most for n in lengths):
+            out += range(first, first + len(masks))
+        first += len(masks)
+    return out
+
+
 def _slots(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two bit numbers of the filter for every hash."""
     top = np.uint64(64 - FILTER_BITS)
@@ -88,8 +107,9 @@ def item_seeds(items: DataFrame) -> DataFrame:
         for batch in batches:
             for item, tokens in zip(batch["item_id"], batch["tokens"]):
                 tokens = np.asarray(tokens, np.int64).view(np.uint64)
-                for m in range(len(MASKS)):
+                for m in masks_for([len(tokens)]):
                     h = seed_hashes(tokens, m)
+                    h = h if m < len(MASKS) else h[:1]
                     a, b = _slots(h)
                     yield pd.DataFrame({"hash": _signed(h), "item_id": item, "pos": np.arange(len(h)),
                                         "slot1": a, "slot2": b})
@@ -122,9 +142,9 @@ def _filter_words(seeds: DataFrame) -> np.ndarray:
     return np.unpackbits(out.astype("<u4").view(np.uint8), bitorder="little").view(bool)
 
 
-def segments(docs: DataFrame, words: np.ndarray) -> DataFrame:
+def segments(docs: DataFrame, words: np.ndarray, masks: list[int]) -> DataFrame:
     """(doc_id, seg, start, tokens, pos, hash): stretches of a document around
-    its possible hits, with the hits' positions and hashes."""
+    its possible hits under ``masks``, with the hits' positions and hashes."""
     sent = docs.sparkSession.sparkContext.broadcast(np.packbits(words))
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -132,7 +152,7 @@ def segments(docs: DataFrame, words: np.ndarray) -> DataFrame:
         for batch in batches:
             tokens, bounds = token_hashes(batch["text"].tolist())
             at, hashes, width = [], [], []
-            for m in range(len(MASKS)):
+            for m in masks:
                 h = seed_hashes(tokens, m)
                 a, b = _slots(h)
                 hit = np.flatnonzero(bits[a])
@@ -193,8 +213,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     prepare_python(spark)
     items = saved(benchmark_items(benchmark), "bench-items")
     seeds = saved(item_seeds(items), "bench-seeds")
-    segs = saved(segments(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), _filter_words(seeds))
-                 .dropDuplicates(["seg"]), "bench-segments")
+    short = items.select(F.size("tokens").alias("n")).filter(F.col("n") < MIN_TOKENS).distinct().collect()  # a few rows
+    segs = saved(segments(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), _filter_words(seeds),
+                          masks_for([r["n"] for r in short])).dropDuplicates(["seg"]), "bench-segments")
     hits = segs.select("seg", F.explode(F.arrays_zip("pos", "hash")).alias("h")).select(
         "seg", F.col("h.pos").alias("at"), F.col("h.hash").alias("hash"))
     pairs = (hits.join(seeds.select("hash", "item_id", "pos"), "hash")

@@ -1,5 +1,6 @@
 """Quality rules, fingerprints, decontamination."""
 
+import itertools
 import re
 
 import duckdb
@@ -142,6 +143,19 @@ def test_decontamination_finds_planted_overlaps(spark):
     assert got["doc_id"].isna().sum() == 1
 
 
+def test_decontamination_finds_every_admitted_substitution_in_short_items(spark):
+    items = [(n, " ".join(f"i{n}x{j}" for j in range(n))) for n in range(7, 13)]
+    docs, want = [], set()
+    for n, text in items:
+        for gaps in itertools.combinations(range(n), 1 if n < 10 else 2):
+            part = ["changed" if j in gaps else w for j, w in enumerate(text.split())]
+            want.add((len(docs), n))
+            docs.append((len(docs), " ".join(part if len(docs) % 2 else ["a", "b", *part, "c"])))
+    got = decontaminate.overlaps(spark.createDataFrame(docs, "doc_id long, text string"),
+                                 spark.createDataFrame(items, "item_id long, text string")).toPandas()
+    assert set(zip(got["doc_id"], got["item_id"])) == want
+
+
 def test_decontamination_matches_brute_force_on_documents(spark):
     docs = spark.read.parquet(f"{SF01}/documents.parquet").toPandas()
     bench = spark.read.parquet(f"{SF01}/benchmark.parquet").toPandas()
