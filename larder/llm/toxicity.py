@@ -7,8 +7,9 @@ text, blanks included, so word starts count). Training, on at most
 
 1. documents with the n-gram are counted per class in a fixed table of hash
    buckets, and buckets whose log-count ratio is far from zero are kept;
-2. the n-grams behind those buckets are counted exactly and tested again; at
-   most ``MAX_FEATURES`` remain, each with its log-count ratio r;
+2. the n-grams behind those buckets are counted exactly and tested again; all
+   that pass remain, each with its log-count ratio r (the bounded training rows
+   bound them);
 3. a logistic regression is fitted on features of value r (present) or 0.
 
 Scoring is one pass over whole texts: a bit table discards almost all n-grams,
@@ -39,7 +40,6 @@ BUCKET_BITS = 20
 MIN_DOCUMENTS = 4
 MIN_Z = 2.5
 MIN_RATIO = 1.0
-MAX_FEATURES = 4096
 PRIOR = 0.5
 L2 = 1e-4
 STEPS = 400
@@ -192,7 +192,7 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
     z = F.log(p / q) / F.sqrt(1 / (F.col("pos") + PRIOR) + 1 / (F.col("neg") + PRIOR))
     best = (counts.withColumns({"r": F.log(p / q), "z": F.abs(z)})
             .filter((F.col("z") >= MIN_Z) & (F.abs("r") >= MIN_RATIO))
-            .orderBy(F.desc("z"), "hash").limit(MAX_FEATURES).select("hash", "r").toPandas())
+            .select("hash", "r").toPandas())
     if not len(best):
         return empty
     hashes = best["hash"].to_numpy(np.int64).view(np.uint64)
@@ -209,7 +209,7 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
             cuts = np.searchsorted(doc[hit], np.arange(1, len(batch)))
             yield pd.DataFrame({"label": batch["label"], "features": np.split(i[hit].astype(np.int32), cuts)})
 
-    # At most TRAIN_ROWS rows of at most MAX_FEATURES small integers.
+    # At most TRAIN_ROWS rows of small integers.
     matrix = rows.mapInPandas(design, "label int, features array<int>").toPandas()
     sizes = matrix["features"].map(len).to_numpy()
     weight, bias = fit_logistic(np.repeat(np.arange(len(matrix)), sizes),

@@ -48,6 +48,25 @@ def test_classifiers_on_odd_rows(spark, odd_docs, no_docs, module, label):
     assert [r["score"] for r in flat] == [0.5]
 
 
+def test_toxicity_keeps_every_passing_ngram(spark):
+    rng = np.random.default_rng(0)
+    words = ["".join(w) for w in rng.choice(list("abcdefghijklmnopqrstuvwxyz"), (2400, 7))]
+    rows = [(i, " ".join(rng.choice(words[i % 2::2], 220)), i % 2) for i in range(400)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([r[::2] for r in rows], "doc_id long, toxic int"))
+    learned = [r for r in rows if FOLD(r[0], 4) != 2]
+    count = {1: Counter(), 0: Counter()}
+    for _, text, label in learned:
+        count[label].update({int(h) for _, hs in toxicity.gram_hashes(toxicity.code_points([text])[0]) for h in hs})
+    n = Counter(r[2] for r in learned)
+    grams = sorted(count[0] | count[1])
+    pos, neg = (np.array([count[k][g] for g in grams]) for k in (1, 0))
+    want = [g for g, ok in zip(grams, toxicity._kept(pos, neg, n[1], n[0])) if ok]
+    assert len(want) > 4096
+    # Several n-grams can share a bucket that does not pass.
+    assert set(model["hash"].tolist()) <= set(want) and len(model["hash"]) > 0.95 * len(want)
+
+
 def test_lasso_keeps_few_rules():
     rng = np.random.default_rng(0)
     x = rng.random((3000, 12))
