@@ -1,7 +1,8 @@
 """Full and incremental runs: build the models in dependency order and
 publish them as Parquet tables under one root folder.
 
-Layout: <root>/<layer>/<table>. Facts are partitioned by order_date and
+Layout: <root>/larder_<target>_<layer>/<table>, so dev and prod runs share a root
+without touching each other's tables. Facts are partitioned by order_date and
 upserted; dimensions and reports are fully refreshed. Reports read the
 published fact/dimension tables back (as the reference's reports read its
 tables), so each layer's lineage stops at the previous layer's files."""
@@ -23,10 +24,11 @@ from larder.plans import intermediate as I
 from larder.plans import reporting as R
 from larder.plans.checks import STAGING_SUITES
 from larder.plans.staging import STAGING
+from larder.sources.raw import table_name
 
 
-def _path(root: str, layer: str, name: str) -> str:
-    return f"{root.rstrip('/')}/{layer}/{name}"
+def _path(root: str, target: str, layer: str, name: str) -> str:
+    return f"{root.rstrip('/')}/{table_name(layer, target, name).replace('.', '/')}"
 
 
 def run_published_tests(spark: SparkSession, relations: dict, only: tuple | None = None) -> list:
@@ -60,10 +62,10 @@ def run_suites(staged: dict) -> list:
 
 
 def write_run_results(spark: SparkSession, root: str, run_id: str, elapsed: float,
-                      results: list) -> str:
+                      results: list, target: str = "prod") -> str:
     """One run-results document (run_id, elapsed_time, results[status,
     unique_id]) under <root>/_runs/, readable by ``read_run_log``."""
-    path = f"{root.rstrip('/')}/_runs/{run_id}"
+    path = f"{root.rstrip('/')}/_runs/{target}-{run_id}"
     doc = spark.createDataFrame(
         [(run_id, float(elapsed), [(status, uid) for uid, status in results])],
         "run_id string, elapsed_time double, results array<struct<status:string,unique_id:string>>")
@@ -101,14 +103,14 @@ def run_full(spark: SparkSession, raw: dict, p, root: str, with_tests: bool = Tr
     s = stage_views(raw, p)
     baskets = I.basket_metrics(s["orders"], s["order_items"], s["promotions"], p)
     # Read by the order fact, the customer metrics and the tests: written once.
-    ib_path, ic_path, ip_path = (_path(root, "intermediate", n) for n in (
+    ib_path, ic_path, ip_path = (_path(root, p.target, "intermediate", n) for n in (
         "int_orders_basket", "int_customers_orders", "int_products_performance"))
     sources = check_sources(raw, p)
     write_table(baskets, ib_path)
     baskets = read_table(spark, ib_path)
-    fo_path = _path(root, "analytics", "fact_orders")
-    foi_path = _path(root, "analytics", "fact_order_items")
-    dc_path, dp_path = _path(root, "analytics", "dim_customers"), _path(root, "analytics", "dim_products")
+    fo_path = _path(root, p.target, "analytics", "fact_orders")
+    foi_path = _path(root, p.target, "analytics", "fact_order_items")
+    dc_path, dp_path = _path(root, p.target, "analytics", "dim_customers"), _path(root, p.target, "analytics", "dim_products")
     _in_parallel({
         "int_customers_orders": lambda: write_table(I.customer_metrics(baskets, s["customers"], p), ic_path),
         "int_products_performance": lambda: write_table(
@@ -125,25 +127,25 @@ def run_full(spark: SparkSession, raw: dict, p, root: str, with_tests: bool = Tr
                                              cluster_by=D.DIM_CUSTOMERS_CLUSTER, tiebreak=["customer_id"]),
         "dim_products": lambda: write_table(D.dim_products(pm, p), dp_path,
                                             cluster_by=D.DIM_PRODUCTS_CLUSTER, tiebreak=["product_id"]),
-        "dim_date": lambda: write_table(D.dim_date(spark, p), _path(root, "analytics", "dim_date")),
+        "dim_date": lambda: write_table(D.dim_date(spark, p), _path(root, p.target, "analytics", "dim_date")),
     }, p.threads)
     # Reports read the published tables back.
     # daily_sales has days x channels rows only: one date-ordered file set
     # (min/max skipping on date filters) instead of a directory per day.
     more, _ = _in_parallel({
         "reporting_daily_sales": lambda: write_table(
-            R.daily_sales(read_table(spark, fo_path)), _path(root, "reporting", "daily_sales"),
+            R.daily_sales(read_table(spark, fo_path)), _path(root, p.target, "reporting", "daily_sales"),
             cluster_by=["order_date", "order_channel"]),
         "reporting_inventory_alerts": lambda: write_table(
             R.inventory_alerts(s["inventory"], read_table(spark, dp_path), p),
-            _path(root, "reporting", "inventory_alerts")),
+            _path(root, p.target, "reporting", "inventory_alerts")),
         "reporting_customer_ltv": lambda: write_table(
-            R.customer_ltv(read_table(spark, dc_path)), _path(root, "reporting", "customer_ltv")),
+            R.customer_ltv(read_table(spark, dc_path)), _path(root, p.target, "reporting", "customer_ltv")),
     }, p.threads)
     timings.update(more)
     out = {"mode": "full", "freshness": dict(sources), "seconds": round(time.perf_counter() - t0, 3), "models": timings}
     if with_tests:
-        published = {name: read_published(spark, root, layer, table) for name, layer, table in PUBLISHED}
+        published = {name: read_published(spark, root, layer, table, p.target) for name, layer, table in PUBLISHED}
         published.update({f"stg_{k}": v for k, v in s.items()})
         published.update({f"raw_{k}": raw[k] for k in STAGING})
         published.update({"int_orders_basket": baskets, "int_customers_orders": cm, "int_products_performance": pm})
@@ -158,7 +160,7 @@ def run_full(spark: SparkSession, raw: dict, p, root: str, with_tests: bool = Tr
         results += [(f"test.larder.{t}", st) for t, st in tests]
         results += [(f"expectation.larder.{c}", "pass" if ok else "fail") for c, ok in suites]
         out["run_results"] = write_run_results(spark, root, run_id or f"full-{uuid.uuid4().hex[:8]}",
-                                               time.perf_counter() - t0, results)
+                                               time.perf_counter() - t0, results, p.target)
     return out
 
 
@@ -182,16 +184,16 @@ def run_incremental(spark: SparkSession, raw: dict, p, root: str, with_tests: bo
     baskets = I.basket_metrics(s["orders"], s["order_items"], s["promotions"], p, incremental=True)
     _, stats = _in_parallel({
         "fact_orders": lambda: write_incremental(
-            spark, FA.fact_orders(baskets, p, incremental=True), _path(root, "analytics", "fact_orders"),
+            spark, FA.fact_orders(baskets, p, incremental=True), _path(root, p.target, "analytics", "fact_orders"),
             cluster_by=FA.FACT_ORDERS_CLUSTER),
         "fact_order_items": lambda: write_incremental(
             spark, FA.fact_order_items(s["order_items"], s["orders"], s["products"], p, incremental=True),
-            _path(root, "analytics", "fact_order_items"), cluster_by=FA.FACT_ORDER_ITEMS_CLUSTER),
+            _path(root, p.target, "analytics", "fact_order_items"), cluster_by=FA.FACT_ORDER_ITEMS_CLUSTER),
     }, p.threads)
     out = {"mode": "incremental", "freshness": dict(sources), "seconds": round(time.perf_counter() - t0, 3), "models": stats}
     if with_tests:
         facts = ("fact_orders", "fact_order_items")
-        published = {name: read_published(spark, root, layer, table) for name, layer, table in PUBLISHED}
+        published = {name: read_published(spark, root, layer, table, p.target) for name, layer, table in PUBLISHED}
         published.update({f"stg_{k}": v for k, v in s.items()})
         tests = run_published_tests(spark, published, facts)
         out["tests_failed"] = sum(1 for _, st in tests if st == "fail")
@@ -199,9 +201,9 @@ def run_incremental(spark: SparkSession, raw: dict, p, root: str, with_tests: bo
         results += [(f"model.larder.{m}", "success") for m in stats]
         results += [(f"test.larder.{t}", st) for t, st in tests]
         out["run_results"] = write_run_results(spark, root, run_id or f"hourly-{uuid.uuid4().hex[:8]}",
-                                               time.perf_counter() - t0, results)
+                                               time.perf_counter() - t0, results, p.target)
     return out
 
 
-def read_published(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
-    return read_table(spark, _path(root, layer, name))
+def read_published(spark: SparkSession, root: str, layer: str, name: str, target: str = "prod") -> DataFrame:
+    return read_table(spark, _path(root, target, layer, name))

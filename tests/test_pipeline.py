@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from larder.params import TEST_PARAMS
 from larder.plans.models import Models
-from larder.plans.pipeline import read_published, run_full, run_incremental
+from larder.plans.pipeline import read_published, run_full, run_incremental, write_run_results
 
 from conftest import SF001
 
@@ -45,6 +45,20 @@ def test_full_then_incremental(spark, scratch):
     assert read_published(spark, root, "reporting", "customer_ltv").where(F.col("cohort_month").isNull()).count() == 0
 
 
+def test_dev_and_prod_runs_share_a_root(spark, scratch):
+    p = TEST_PARAMS
+    m = Models.from_testdata(spark, SF001, p)
+    root = f"{scratch}/wh"
+    run_full(spark, m.raw, p, root, with_tests=False)
+    rows = read_published(spark, root, "analytics", "fact_orders").count()
+    half = {**m.raw, "orders": m.raw["orders"].where(F.crc32(F.col("order_id").cast("string")) % 2 == 0)}
+    run_full(spark, half, replace(p, target="dev"), root, with_tests=False)
+    assert read_published(spark, root, "analytics", "fact_orders").count() == rows
+    assert 0 < read_published(spark, root, "analytics", "fact_orders", "dev").count() < rows
+    paths = {write_run_results(spark, root, "same", 1.0, [("pass", "x")], target) for target in ("dev", "prod")}
+    assert len(paths) == 2
+
+
 def test_run_results_documents(spark, scratch):
     from larder.plans.alerts import run_log_rollup
     from larder.sources.raw import read_run_log
