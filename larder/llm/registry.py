@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from larder.llm import (decontaminate, packing, pfor, quality_rules, rule_ensemble, sharding, simhash,
-                        suffix_tree, toxicity, warc)
+from larder.llm import (cover_tree, decontaminate, laesa, packing, pfor, quality_rules, rule_ensemble, sharding,
+                        simhash, suffix_tree, systematic, toxicity, warc)
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
@@ -16,8 +16,14 @@ QUERIES = {
     "op8_suffix_tree": suffix_tree.query,
     "op9_rule_ensemble": rule_ensemble.query,
     "op10_best_fit_packing": packing.query,
+    "op11_cover_tree": cover_tree.query,
+    "op12_systematic_sampling": systematic.query,
+    "op13_laesa_clustering": laesa.query,
 }
 
 SQL = {
     "op1_quality_rules": quality_rules.SQL,
+    "op11_cover_tree": cover_tree.SQL,
+    "op12_systematic_sampling": systematic.SQL,
+    "op13_laesa_clustering": laesa.SQL,
 }
