@@ -6,12 +6,13 @@ rewriting only the day partitions that change:
 
 1. the updates are staged in the shared checkpoint folder (lineage cut; the
    staged copy is deleted at the end);
-2. touched days = days of the updates + days of target rows whose key is
-   in the updates (a key whose day moved leaves its old partition). This reads
-   the key and day columns of the whole target;
-3. the merged rows of the touched days are written once, to a new data folder,
-   and a new version of the table (its untouched day folders plus the new ones)
-   is switched in by one rename. A crash before it changes nothing; a day left
+2. touched days = days of the updates + days that hold (or held, since the last
+   full refresh) one of their keys, by the table's key-to-day index (a key
+   whose day moved leaves its old partition). The target is not read for this,
+   and new places are added to the index before anything is published;
+3. the rows of the touched days, read from their folders alone, are merged and
+   written once to a new data folder, and a new version of the table (its
+   untouched day folders plus the new ones) is switched in by one rename. A crash before it changes nothing; a day left
    without rows is simply not in the version. A null day is a day like others.
 """
 
@@ -22,7 +23,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.operators.sinks import commit_version, current_version, delete_paths, read_table, write_version
+from larder.operators.key_index import KeyIndex, data_folders, entry_of, pairs
+from larder.operators.sinks import (commit_version, current_version, delete_paths, read_folders, read_table,
+                                    write_version)
 from larder.session import scratch_path
 
 
@@ -56,12 +59,15 @@ def write_incremental(spark: SparkSession, updates: DataFrame, path: str,
     ``replace``: a full refresh), else upsert. Returns what was written.
     Duplicate keys in merge updates raise ``DuplicateKeyError``."""
     cluster_by = cluster_by or []
+    data = f"{path.rstrip('/')}/data"
     now = current_version(spark, path)
     if replace or now is None:
         # Full build: key uniqueness is checked by the table's declared
         # unique test after publishing, not by a second pass here.
         folders = write_version(updates, path, partition_col, cluster_by)
-        commit_version(spark, path, folders, None if now is None else now[0])
+        written = read_folders(spark, path, folders, updates.schema)
+        index = KeyIndex.build(written, data, key, partition_col)
+        commit_version(spark, path, [index.entry, *folders], None if now is None else now[0])
         return {"mode": "create", "touched_partitions": None}
 
     scratch = scratch_path(spark, f"merge-updates-{uuid.uuid4().hex}")
@@ -70,22 +76,24 @@ def write_incremental(spark: SparkSession, updates: DataFrame, path: str,
         updates.write.parquet(scratch)
         staged = spark.read.schema(updates.schema).parquet(scratch)
         assert_unique_keys(staged, key)
-        target = read_table(spark, path)
-        upd_keys = staged.select(key).where(F.col(key).isNotNull())
-        moved_from = target.select(key, partition_col).join(upd_keys, key, "left_semi").select(partition_col)
+        entry, folders = entry_of(now[1]), data_folders(now[1])
+        if entry is None:  # published without an index
+            index = KeyIndex.build(read_table(spark, path), data, key, partition_col)
+        else:
+            index = KeyIndex(spark, data, entry, updates.schema[partition_col].dataType.simpleString())
         # Days only (bounded by the number of days touched); null is a day too.
-        touched = [r[0] for r in staged.select(partition_col).unionByName(moved_from).distinct().collect()]
+        touched = {r[0] for r in staged.select(partition_col).distinct().collect()}
         if not touched:
             return {"mode": "merge", "touched_partitions": 0}
-        day = F.col(partition_col)
-        in_touched = day.isin([d for d in touched if d is not None])
-        if None in touched:
-            in_touched = F.coalesce(in_touched, F.lit(False)) | day.isNull()
-        merged = merge_upsert(target.where(in_touched), staged, key)
-        new = write_version(merged, path, partition_col, cluster_by)
+        touched |= set(index.record(pairs(staged, key, partition_col)))
         names = {f"{partition_col}={NULL_DAY if d is None else d}" for d in touched}
-        kept = [f for f in now[1] if f.rsplit("/", 1)[-1] not in names]
-        commit_version(spark, path, kept + new, now[0])
+        held = [f for f in folders if f.rsplit("/", 1)[-1] in names]
+        kept = [f for f in folders if f.rsplit("/", 1)[-1] not in names]
+        old = read_folders(spark, path, held, updates.schema)
+        new = write_version(merge_upsert(old, staged, key), path, partition_col, cluster_by)
+        commit_version(spark, path, [index.entry, *kept, *new], now[0])
     finally:
         delete_paths(spark, [scratch])
-    return {"mode": "merge", "touched_partitions": len(touched), "emptied_partitions": len(touched) - len(new)}
+    # Days that the table held or gets; a stale pair of the index is neither.
+    before, after = {f.rsplit("/", 1)[-1] for f in held}, {f.rsplit("/", 1)[-1] for f in new}
+    return {"mode": "merge", "touched_partitions": len(before | after), "emptied_partitions": len(before - after)}

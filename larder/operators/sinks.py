@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from larder.operators.key_index import data_folders
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:
@@ -125,8 +128,17 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     found = current_version(spark, path)
     if found is None:
         raise FileNotFoundError(f"no table at {path}")
+    return read_folders(spark, path, data_folders(found[1]))
+
+
+def read_folders(spark: SparkSession, path: str, folders: list[str], schema: StructType | None = None) -> DataFrame:
+    """Rows of some data folders of a table; no folders need a ``schema``."""
     data = f"{path.rstrip('/')}/data"
-    return spark.read.option("basePath", data).parquet(*[f"{data}/{f}" for f in found[1]]).drop("table_version")
+    if not folders and schema is not None:
+        return spark.createDataFrame([], schema)
+    # With a schema no footer is read for it; folder names give the partition column's values.
+    reader = spark.read.option("basePath", data) if schema is None else spark.read.schema(schema).option("basePath", data)
+    return reader.parquet(*[f"{data}/{f}" for f in folders]).drop("table_version")
 
 
 def load_table(df: DataFrame, path: str) -> int:
