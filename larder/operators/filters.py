@@ -32,6 +32,8 @@ def latest_snapshot(df: DataFrame, date_col: str) -> DataFrame:
     """Rows of the most recent snapshot: ``date = (select max(date))``.
 
     The max runs once as an uncorrelated scalar subquery (a global aggregate
-    with map-side partial results), then filters the scan."""
+    with map-side partial results), then filters the scan. On a table landed by
+    snapshot day the max reads the days alone, no column of the files, and
+    the filter is one on partitions: only the last day's files are opened."""
     latest = df.select(F.max(date_col)).scalar()
     return df.where(F.col(date_col) == latest)

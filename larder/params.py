@@ -8,14 +8,15 @@ reproducible and comparable with an independent SQL oracle.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 
 @dataclass(frozen=True)
 class Params:
     # Date of the run; the day it starts on (UTC) unless given.
     as_of: dt.date = field(default_factory=lambda: dt.datetime.now(dt.timezone.utc).date())
-    # Pinned "current_timestamp()"; defaults to midnight UTC of as_of.
+    # Pinned "current_timestamp()"; unset: the time the run started if as_of is
+    # that day, else (a run for another day) midnight UTC of as_of.
     as_of_ts: dt.datetime | None = None
     # First day of the date dimension (project variable in the reference).
     start_date: dt.date = dt.date(2023, 1, 1)
@@ -38,13 +39,22 @@ class Params:
     freshness_warn_hours: int = 25
     freshness_error_hours: int = 48
     extra: dict = field(default_factory=dict)
+    # When the run started (UTC), captured once and used by all its models.
+    started_at: dt.datetime = field(default_factory=lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
+                                    repr=False, compare=False)
 
     @property
     def now_ts(self) -> dt.datetime:
         if self.as_of_ts is not None:
             return self.as_of_ts
+        if self.started_at.date() == self.as_of:
+            return self.started_at
         return dt.datetime.combine(self.as_of, dt.time(0, 0))
 
+    def starting_now(self) -> Params:
+        """The same parameters for a run that starts at this moment."""
+        return replace(self, started_at=dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+
 
 # Parameters used by the registered queries on the TPC-H-shaped test data:
 # money there is ~100x the reference's, so the bands are scaled to keep every

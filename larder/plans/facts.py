@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from larder.functions import now_utc, surrogate_key
 from larder.operators.filters import since_lookback
-from larder.operators.joins import lookup_join, materialize
+from larder.operators.joins import lookup_join
 
 FACT_ORDERS_CLUSTER = ["order_status", "order_channel"]
 FACT_ORDER_ITEMS_CLUSTER = ["product_id", "category"]
@@ -15,8 +15,7 @@ FACT_ORDER_ITEMS_CLUSTER = ["product_id", "category"]
 
 def fact_orders(baskets: DataFrame, p, incremental: bool = False) -> DataFrame:
     """One row per order. ``incremental`` keeps the lookback window only
-    (pass baskets built with ``incremental=True`` to also bound the line
-    aggregation)."""
+    (pass baskets of ``recent_orders`` to also bound the line aggregation)."""
     b = since_lookback(baskets, "order_date", p) if incremental else baskets
     return b.select(
         surrogate_key("order_id").alias("surrogate_key"),
@@ -46,12 +45,9 @@ def fact_order_items(items: DataFrame, orders: DataFrame, products: DataFrame, p
                      incremental: bool = False) -> DataFrame:
     """One row per order line with order and product context.
 
-    Incremental runs materialize the recent orders once, so the planner
-    knows their size; full runs shuffle both sides on order_id."""
-    o = order_context(orders, p, incremental)
-    if incremental:
-        o = materialize(o, "recent-order-context")
-    o = o.alias("o")
+    Incremental runs pass ``recent_orders``: broadcast if small, else their
+    ids thin the scan of the lines; full runs shuffle both sides on order_id."""
+    o = order_context(orders, p, incremental).alias("o")
     prod = products.select(F.col("product_id").alias("p_product_id"), "category", "subcategory", "brand")
     i = items.alias("i")
     lines = i.join(o, F.col("i.order_id") == F.col("o.order_id"), "inner")

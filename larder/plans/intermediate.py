@@ -1,7 +1,7 @@
 """Intermediate models: basket, customer and product metrics.
 
-These are lazy DataFrames (the reference inlines them as CTEs); the pipeline
-persists the basket metrics once because four models read it."""
+These are lazy DataFrames; the full run publishes the basket metrics and reads
+them back, since several models use them."""
 
 from __future__ import annotations
 
@@ -27,23 +27,32 @@ def basket_aggregate(items: DataFrame) -> DataFrame:
     )
 
 
+def recent_orders(orders: DataFrame, p) -> DataFrame:
+    """Staged orders inside the lookback window, written once for all that an
+    hourly run builds on them: joins see their real size.
+
+    The window is applied to the copy again. It is true for every row, but tells
+    the planner that the order ids are selective: beyond the broadcast size, it
+    then thins the lines by a runtime Bloom filter of those ids
+    (``session.RUNTIME_FILTER_CONF``) in their scan, before any shuffle."""
+    day = F.to_date("order_created_at")
+    return since_lookback(materialize(since_lookback(orders, day, p), "recent-orders"), day, p)
+
+
+def lines_of(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """The lines of some orders: ids broadcast if small, else as above."""
+    return items.join(orders.select("order_id"), "order_id", "left_semi")
+
+
 def basket_metrics(orders: DataFrame, items: DataFrame, promotions: DataFrame, p,
-                   incremental: bool = False, restrict: bool = False) -> DataFrame:
+                   restrict: bool = False) -> DataFrame:
     """Orders left-joined to their basket aggregate and to promotions.
 
-    ``incremental=True`` keeps orders inside the lookback window and, before
-    aggregating, semi-joins the lines to those orders, so an hourly run only
-    aggregates the lines of recent orders (same rows as filtering afterwards).
-    ``restrict=True`` does the same for an already small set of orders
-    (e.g. one landed file)."""
-    if incremental or restrict:
-        # The recent orders are materialized once; the planner sees their
-        # real size and broadcasts the ids if they are small enough, else a
-        # runtime bloom filter thins the lines before their shuffle.
-        if incremental:
-            orders = since_lookback(orders, F.to_date("order_created_at"), p)
-        orders = materialize(orders, "recent-orders")
-        items = items.join(orders.select("order_id"), "order_id", "left_semi")
+    ``restrict=True`` is for a small part of the orders (``recent_orders``): the
+    lines are semi-joined to them before they are aggregated, so an hourly run
+    only aggregates the lines of recent orders."""
+    if restrict:
+        items = lines_of(items, orders)
     agg = basket_aggregate(items)
     promos = promotions.select(F.col("promo_code").alias("_promo_code"), "promo_id", "promo_type",
                                F.col("discount_value").alias("promo_discount_value"))

@@ -1,8 +1,8 @@
 """Lazy model graph over one set of raw tables.
 
 ``Models`` builds every model on first access from the six raw DataFrames;
-nothing runs until an action. The full pipeline persists the basket metrics
-(read by four models) — the registered queries stay purely lazy."""
+nothing runs until an action, but for the recent orders of the incremental
+models: they are written once, so that both facts share them."""
 
 from __future__ import annotations
 
@@ -61,10 +61,14 @@ class Models:
         s = self.stg
         return I.basket_metrics(s["orders"], s["order_items"], s["promotions"], self.p)
 
+    @cached_property
+    def recent_orders(self) -> DataFrame:
+        return I.recent_orders(self.stg["orders"], self.p)
+
     @cached_property
     def baskets_incremental(self) -> DataFrame:
         s = self.stg
-        return I.basket_metrics(s["orders"], s["order_items"], s["promotions"], self.p, incremental=True)
+        return I.basket_metrics(self.recent_orders, s["order_items"], s["promotions"], self.p, restrict=True)
 
     @cached_property
     def customer_metrics(self) -> DataFrame:
@@ -91,7 +95,7 @@ class Models:
     @cached_property
     def fact_order_items_incremental(self) -> DataFrame:
         s = self.stg
-        return FA.fact_order_items(s["order_items"], s["orders"], s["products"], self.p, incremental=True)
+        return FA.fact_order_items(s["order_items"], self.recent_orders, s["products"], self.p, incremental=True)
 
     @cached_property
     def dim_customers(self) -> DataFrame:
@@ -111,11 +115,11 @@ class Models:
 
     @cached_property
     def inventory_alerts(self) -> DataFrame:
-        return R.inventory_alerts(self.stg["inventory"], self.dim_products, self.p)
+        return R.inventory_alerts(self.stg["inventory"], self.stg["products"], self.p)
 
     @cached_property
     def inventory_alert_rows(self) -> DataFrame:
-        return R.inventory_alert_rows(self.stg["inventory"], self.dim_products, self.p)
+        return R.inventory_alert_rows(self.stg["inventory"], self.stg["products"], self.p)
 
     @cached_property
     def customer_ltv(self) -> DataFrame:

@@ -48,7 +48,10 @@ def daily_sales(fact_orders: DataFrame, calendar_frames: bool = False) -> DataFr
 
 def inventory_alert_rows(inventory: DataFrame, dim_products: DataFrame, p) -> DataFrame:
     """Latest-snapshot stock rows at or below their reorder point (unordered;
-    the alert list and top-k queries order what they need)."""
+    the alert list and top-k queries order what they need).
+
+    Of the products only attributes are used: the published dimension gives
+    them, and so do the staged products, without the sales behind the former."""
     inv = latest_snapshot(inventory, "snapshot_date").where(F.col("is_below_reorder_point")).alias("i")
     prod = dim_products.select("product_id", "product_name", "category", "brand", "sku").alias("p")
     return (inv.join(prod, F.col("i.product_id") == F.col("p.product_id"), "inner")

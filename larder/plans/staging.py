@@ -130,6 +130,3 @@ STAGING = {
     "promotions": stg_promotions,
 }
 
-
-def stage_all(raw: dict, p) -> dict:
-    return {name: STAGING[name](raw[name], p) for name in STAGING}

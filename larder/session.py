@@ -21,6 +21,18 @@ CORE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# Runtime Bloom filters for joins whose selective side is too large to broadcast:
+# up to 512 MB of keys (estimated), 8 MB of filter, good for some 8 million keys.
+# They are built only for scans above Spark's own threshold of 10 GB.
+RUNTIME_FILTER_CONF = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": str(512 << 20),
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "8000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "8000000",
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": str(1 << 26),
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": str(1 << 26),
+}
+
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "larder", extra: dict | None = None) -> SparkSession:
@@ -57,6 +69,8 @@ def apply_core_conf(spark: SparkSession) -> None:
     for k in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled",
               "spark.sql.sources.partitionOverwriteMode"):
         spark.conf.set(k, CORE_CONF[k])
+    for k, v in RUNTIME_FILTER_CONF.items():
+        spark.conf.set(k, v)
 
 
 def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict:

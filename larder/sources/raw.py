@@ -19,6 +19,10 @@ RAW_BUCKET_KEYS = {
     "promotions": None,
 }
 
+# Day column that splits a landed table into partitions: queries of one snapshot
+# open only that day's files.
+RAW_PARTITIONS = {"inventory": "snapshot_date"}
+
 
 def read_raw(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Scan one raw table from ``<root>/<name>`` (Parquet) with its fixed
@@ -52,6 +56,8 @@ def land_raw_tables(spark: SparkSession, raw: dict, db: str, buckets: int,
             # exactly one bucket file, all buckets in parallel.
             df = df.repartition(buckets, key)
         w = df.write.mode("overwrite").format("parquet")
+        if name in RAW_PARTITIONS:
+            w = w.partitionBy(RAW_PARTITIONS[name])
         if key:
             w = w.bucketBy(buckets, key).sortBy(key)
         if location:
