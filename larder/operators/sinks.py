@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -18,6 +18,54 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+#: Bits of each column in an interleaved key, and rows sampled for its cuts.
+Z_BITS = 6
+Z_SAMPLE = 10_000
+
+
+def _interval(c: Column, cuts: list) -> Column:
+    """How many of the ascending ``cuts`` are at most the value, by bisection."""
+    def bisect(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(c < F.lit(cuts[mid]), bisect(lo, mid)).otherwise(bisect(mid + 1, hi))
+    return F.when(c.isNull(), F.lit(0)).otherwise(bisect(0, len(cuts)))
+
+
+def z_order_key(df: DataFrame, columns: list[str], bits: int = Z_BITS) -> Column:
+    """Interleaved key: each column's interval among quantiles of a bounded
+    sample (``Z_SAMPLE`` rows at most, by a hash of the row), its bits taken in turn with
+    the others'. Files sorted by it are narrow in every column at once. The
+    sample places the cuts only; nulls come first."""
+    # The rows of the smallest hashes: a top-k by map-side partial results.
+    rows = df.select(F.xxhash64(*df.columns).alias("_h"), *columns).orderBy("_h").limit(Z_SAMPLE).collect()
+    key = F.lit(0).cast("long")
+    for j, name in enumerate(columns):
+        values = sorted(r[name] for r in rows if r[name] is not None)
+        cuts = sorted({values[len(values) * q // (1 << bits)] for q in range(1, 1 << bits)}) if values else []
+        at = _interval(F.col(name), cuts).cast("long")
+        for b in range(bits):
+            key = key.bitwiseOR(F.shiftleft(F.shiftright(at, b).bitwiseAND(F.lit(1).cast("long")), b * len(columns) + j))
+    return key
+
+
+def cluster_by_z_order(df: DataFrame, columns: list[str], files: int | None = None,
+                       tiebreak: list | None = None) -> DataFrame:
+    """Range-partitioned and sorted by the interleaved key of ``columns``."""
+    keyed = df.withColumn("_z", z_order_key(df, columns))
+    order = ["_z", *(tiebreak or [])]
+    parts = keyed.repartitionByRange(files, *order) if files else keyed.repartitionByRange(*order)
+    return parts.sortWithinPartitions(*order).drop("_z")
+
+
+def file_ranges(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Least and largest value of each column in every file of a Parquet table
+    (read through the hidden ``_metadata`` column): what a scan can skip by."""
+    bounds = [f(c).alias(f"{n}_{c}") for c in columns for f, n in ((F.min, "min"), (F.max, "max"))]
+    return df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("rows"), *bounds)
+
+
 def cluster_for_write(df: DataFrame, partition_col: str | None, cluster_by: list,
                       tiebreak: list | None = None) -> DataFrame:
     """Lay out rows for pruning: rebalance on the partition column (AQE

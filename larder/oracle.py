@@ -547,6 +547,12 @@ UNION ALL SELECT 'TOTAL', sum(n) FROM (
 }
 
 
+FINALS["clustered_file_skipping"] = " UNION ALL ".join(
+    f"SELECT {n} AS filter, count(*) AS rows, sum(line_total_gbp) AS line_total_gbp, true AS few_files "
+    f"FROM fact_order_items WHERE product_id BETWEEN 'PRD-{p}100' AND 'PRD-{p}140' "
+    f"AND order_date >= DATE '{d}-01' AND order_date < DATE '{d}-01' + INTERVAL 2 MONTH"
+    for n, (d, p) in enumerate((("1996-03", "0000"), ("1997-09", "0001"), ("1998-01", "0000"))))
+
 FINALS["dq_declared_tests"] = _declared_sql()
 
 

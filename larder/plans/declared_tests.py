@@ -7,8 +7,12 @@ outside the set (accepted_values), orphan child rows (relationships)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from larder.operators.joins import relationships
 from larder.plans.checks import (CUSTOMER_SEGMENTS, LOYALTY_TIERS, ORDER_CHANNELS, ORDER_STATUSES,
                                  PRODUCT_TIERS, PROMO_TYPES, STOCK_STATUSES, VALUE_BANDS)
 
@@ -76,67 +80,54 @@ def test_name(rel, col, name):
     return f"{name}_{rel}_{col}"
 
 
-def _lit(v) -> str:
-    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+def findings(df: DataFrame, tests: list) -> DataFrame:
+    """(test_order, value) of one relation in one pass: a null row's mark
+    (not_null), a value outside the set (accepted_values), every value of a
+    column that must be unique. Rows without a finding give none."""
+    cells = []
+    for i, (_, col, name, arg) in tests:
+        c = F.col(col)
+        value = F.lit("") if name == "not_null" else c.cast("string")
+        hit = {"not_null": c.isNull, "unique": c.isNotNull}.get(name, lambda c=c, arg=arg: ~c.isin(list(arg)))()
+        cells.append(F.when(hit, F.struct(F.lit(i).alias("test_order"), value.alias("value"))))
+    return df.select(F.explode(F.array_compact(F.array(*cells))).alias("f")).select("f.test_order", "f.value")
+
 
+def run_declared_tests(relations: dict, declared=None) -> DataFrame:
+    """test_order, relation, column, test, failures, status: one row per
+    declared test.
 
-def declared_tests_sql(declared=None, view=lambda rel: rel) -> str:
-    """One Spark SQL statement computing every declared test: per relation a
-    single scan for the null / accepted-value tests (stacked into rows), one
-    grouped aggregate per unique test and one anti join per relationship."""
-    tests = declared_list(declared)
+    All relations' findings meet in one grouped count by (test, value), counted
+    map-side first, so a hot value or a column of nulls is one row a task. Each
+    relation is scanned once, and once more for each relationship it takes part in."""
+    tests = declared_list(declared or DECLARED)
+    spark = next(iter(relations.values())).sparkSession
     by_rel: dict[str, list] = {}
     for i, t in enumerate(tests):
-        by_rel.setdefault(t[0], []).append((i, t))
-    selects = []
-    for rel, items in by_rel.items():
-        src = view(rel)
-        row_level = [(i, t) for i, t in items if t[2] in ("not_null", "accepted_values")]
-        if row_level:
-            aggs, stack = [], []
-            for i, (_, col, name, arg) in row_level:
-                if name == "not_null":
-                    aggs.append(f"count_if(`{col}` IS NULL) AS t{i}")
-                else:
-                    vals = ", ".join(_lit(v) for v in arg)
-                    aggs.append(f"count(DISTINCT CASE WHEN `{col}` NOT IN ({vals}) THEN `{col}` END) AS t{i}")
-                stack += [str(i), _lit(rel), _lit(col), _lit(test_name(rel, col, name)), f"t{i}"]
-            selects.append(
-                f"SELECT stack({len(row_level)}, {', '.join(stack)}) "
-                f"AS (test_order, relation, column, test, failures) FROM (SELECT {', '.join(aggs)} FROM {src})")
-        for i, (_, col, name, arg) in items:
-            head_sql = (f"SELECT {i} AS test_order, {_lit(rel)} AS relation, {_lit(col)} AS column, "
-                        f"{_lit(test_name(rel, col, name))} AS test, ")
-            if name == "unique":
-                selects.append(head_sql + f"count_if(n > 1) AS failures FROM (SELECT count(*) AS n FROM {src} "
-                                          f"WHERE `{col}` IS NOT NULL GROUP BY `{col}`)")
-            elif name == "relationships":
-                to, field = arg
-                selects.append(head_sql + f"count(*) AS failures FROM {src} c LEFT ANTI JOIN "
-                                          f"(SELECT `{field}` AS _pk FROM {view(to)} WHERE `{field}` IS NOT NULL) p "
-                                          f"ON c.`{col}` = p._pk WHERE c.`{col}` IS NOT NULL")
-    body = "\nUNION ALL\n".join(selects)
-    return (f"SELECT CAST(test_order AS INT) AS test_order, relation, column, test, "
-            f"CAST(failures AS BIGINT) AS failures, "
-            f"CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM ({body})")
-
-
-def run_declared_tests(relations: dict, declared=None, prefix: str = "larder_dt_") -> DataFrame:
-    """relation, column, test, failures, status — one row per declared test.
-
-    The relations are exposed as temporary views and all tests run as one
-    SQL statement (resolved immediately, so the views may be replaced later)."""
-    declared = declared or DECLARED
-    spark = next(iter(relations.values())).sparkSession
-    for name, df in relations.items():
-        df.createOrReplaceTempView(prefix + name)
-    return spark.sql(declared_tests_sql(declared, view=lambda rel: prefix + rel))
+        if t[2] != "relationships":
+            by_rel.setdefault(t[0], []).append((i, t))
+    parts = [findings(relations[rel], items) for rel, items in by_rel.items()]
+    for i, (rel, col, name, arg) in enumerate(tests):
+        if name == "relationships":
+            orphans = relationships(relations[rel], col, relations[arg[0]], arg[1])
+            parts.append(orphans.select(F.lit(i).alias("test_order"), F.lit("").alias("value")))
+    counted = reduce(DataFrame.union, parts).groupBy("test_order", "value").agg(F.count(F.lit(1)).alias("n"))
+    per_test = counted.groupBy("test_order").agg(
+        F.sum("n").alias("rows"), F.count(F.lit(1)).alias("values"), F.count_if(F.col("n") > 1).alias("repeated"))
+    names = spark.createDataFrame(
+        [(i, rel, col, test_name(rel, col, name), name) for i, (rel, col, name, _) in enumerate(tests)],
+        "test_order int, relation string, column string, test string, kind string")
+    failures = F.coalesce(F.when(F.col("kind") == "unique", F.col("repeated"))
+                          .when(F.col("kind") == "accepted_values", F.col("values"))
+                          .otherwise(F.col("rows")), F.lit(0).cast("long"))
+    # One row for each declared test on both sides.
+    return (names.join(F.broadcast(per_test), "test_order", "left").withColumn("failures", failures)
+            .select("test_order", "relation", "column", "test", "failures",
+                    F.when(F.col("failures") == 0, "pass").otherwise("fail").alias("status")))
 
 
 def test_relations(m) -> dict:
-    """Every relation named in the declarations, from a Models graph.
-    (Caching them all costs more than Spark's exchange reuse plus
-    recomputation at the measured scales, so they stay lazy.)"""
+    """Every relation named in the declarations, from a Models graph."""
     rel = {f"raw_{k}": m.raw[k] for k in m.raw.keys()}
     rel.update({f"stg_{k}": m.stg[k] for k in m.stg.keys()})
     rel.update({

@@ -65,7 +65,7 @@ def landed_raw(spark: SparkSession, sf_dir: str) -> dict:
 def _landed_locked(spark, sf_dir, key):
     import hashlib
     from larder.session import scratch_path
-    from larder.sources.raw import RAW_BUCKET_KEYS, land_raw_tables
+    from larder.sources.raw import RAW_BUCKET_KEYS, land_raw_tables, read_raw
     from larder.sources.testdata import raw_tables
     if key not in _LANDED:
         tag = hashlib.sha1(repr(key).encode()).hexdigest()[:10]
@@ -74,7 +74,7 @@ def _landed_locked(spark, sf_dir, key):
         buckets = max(8, -(-input_bytes(spark, _sources(sf_dir)) // BUCKET_BYTES))
         land_raw_tables(spark, raw_tables(spark, sf_dir), db, buckets,
                         location=scratch_path(spark, f"landed/{db}"))
-        _LANDED[key] = {t: spark.table(f"{db}.{t}") for t in RAW_BUCKET_KEYS}
+        _LANDED[key] = {t: read_raw(spark, f"table:{db}", t) for t in RAW_BUCKET_KEYS}
     return _LANDED[key]
 
 
@@ -147,6 +147,30 @@ def q_published_daily_sales(spark, sf_dir):
     return read_table(spark, path)
 
 
+def q_clustered_file_skipping(spark, sf_dir):
+    """Order lines published in 64 files by an interleaved key of product and
+    order day; for each of three filters on both columns, the rows it selects
+    and whether the files whose ranges it meets are at most a quarter of all."""
+    from larder.operators.sinks import cluster_by_z_order, file_ranges
+    m, path = _m(spark, sf_dir), _scratch(spark, "clustered-lines")
+    lines = m.fact_order_items.select("order_item_id", "product_id", "order_date", "line_total_gbp")
+    cluster_by_z_order(lines, ["product_id", "order_date"], 64, ["order_item_id"]).write.parquet(path)
+    published = spark.read.schema(lines.schema).parquet(path)
+    ranges = file_ranges(published, ["product_id", "order_date"])  # one row a file
+    out = []
+    for n, (day, products) in enumerate((("1996-03", "0000"), ("1997-09", "0001"), ("1998-01", "0000"))):
+        low, high = F.lit(f"{day}-01").cast("date"), F.add_months(F.lit(f"{day}-01").cast("date"), 2)
+        first, last = F.lit(f"PRD-{products}100"), F.lit(f"PRD-{products}140")
+        rows = published.where(F.col("product_id").between(first, last) & (F.col("order_date") >= low)
+                               & (F.col("order_date") < high)).agg(
+            F.count(F.lit(1)).alias("rows"), F.sum("line_total_gbp").alias("line_total_gbp"))
+        met = (F.col("min_product_id") <= last) & (F.col("max_product_id") >= first) & (
+            F.col("min_order_date") < high) & (F.col("max_order_date") >= low)
+        files = ranges.agg((F.count_if(met) * 4 <= F.count(F.lit(1))).alias("few_files"))
+        out.append(rows.select(F.lit(n).alias("filter"), "rows", "line_total_gbp", files.scalar().alias("few_files")))
+    return out[0].union(out[1]).union(out[2])
+
+
 def q_view_delivered_orders(spark, sf_dir):
     """A staged view read through the catalog by name."""
     from larder.operators.sinks import register_view
@@ -403,6 +427,7 @@ QUERIES = {
     "merge_upsert_orders": q_merge_upsert_orders,
     "merge_published_orders": q_merge_published_orders,
     "published_daily_sales": q_published_daily_sales,
+    "clustered_file_skipping": q_clustered_file_skipping,
     "view_delivered_orders": q_view_delivered_orders,
     "fact_orders_incremental": _model("fact_orders_incremental"),
     "fact_order_items_incremental": _model("fact_order_items_incremental"),

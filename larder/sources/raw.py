@@ -24,12 +24,28 @@ RAW_BUCKET_KEYS = {
 RAW_PARTITIONS = {"inventory": "snapshot_date"}
 
 
+#: Keys looked at for hot ones, and items the frequency sketch tracks.
+TOP_KEYS = 256
+SKETCH_ITEMS = 10_000
+#: Table property: files of hot keys beside the one of each bucket.
+HOT_FILES = "larder.hot_files"
+
+
 def read_raw(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Scan one raw table from ``<root>/<name>`` (Parquet) with its fixed
     schema, or from the catalog when ``root`` is a database name prefixed
-    with ``table:``."""
+    with ``table:``.
+
+    A bucketed scan reads a bucket in one task, whatever its size. Where
+    landing found hot keys, the table's files are read without the buckets
+    instead: even splits, and a shuffle where the key is needed."""
     if root.startswith("table:"):
-        return spark.table(f"{root[len('table:'):]}.{name}")
+        full = f"{root[len('table:'):]}.{name}"
+        found = spark.sql(f"SHOW TBLPROPERTIES {full} ('{HOT_FILES}')").first()
+        if found is None or not found[1].isdigit() or found[1] == "0":
+            return spark.table(full)
+        where = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {full}").collect()}["Location"]
+        return spark.read.schema(RAW_SCHEMAS[name]).parquet(where)
     return spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{root.rstrip('/')}/{name}")
 
 
@@ -38,23 +54,60 @@ def ensure_db(spark: SparkSession, db: str, location: str | None = None) -> None
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`{loc}")
 
 
+def hot_keys(df: DataFrame, key: str, buckets: int) -> list[tuple]:
+    """[(key, files)] of the keys (null too) that hold more rows than an average
+    bucket, by a frequency sketch over the key column: how many files of about
+    the size of the other buckets their rows need. At most ``TOP_KEYS`` + 1 items reach the driver;
+    every key beyond them is smaller than an average bucket if there are fewer
+    buckets than that, else smaller than the smallest one listed."""
+    total, nulls, top = df.agg(
+        F.count(F.lit(1)), F.count_if(F.col(key).isNull()),
+        F.expr(f"approx_top_k({key}, {TOP_KEYS}, {SKETCH_ITEMS})")).first()
+    share = max(1, -(-total // buckets))
+    counts = [(None, nulls)] + [(t["item"], t["count"]) for t in top or [] if t["item"] is not None]
+    hot = [(k, n) for k, n in counts if n > share]
+    # Files as large as the other keys' buckets, but no more than four times as many.
+    size = max(-(-(total - sum(n for _, n in hot)) // buckets), -(-total // (4 * buckets)), 1)
+    return [(k, -(-n // size)) for k, n in hot]
+
+
+def spread(df: DataFrame, key: str, buckets: int, hot: list[tuple]) -> DataFrame:
+    """One partition for each bucket, and for each hot key as many of its own as
+    it needs: every task writes files of about one size. Rows of a hot key are
+    dealt by a hash of the row and its input split, the same in a repeated task."""
+    if not hot:
+        return df.repartition(buckets, key)
+    at = F.pmod(F.hash(key), F.lit(buckets))
+    salt = F.xxhash64(*df.columns, F.spark_partition_id())
+    n = buckets
+    for value, files in hot:
+        is_hot = F.col(key).isNull() if value is None else F.col(key).eqNullSafe(F.lit(value))
+        at = F.when(is_hot, F.lit(n) + F.pmod(salt, F.lit(files)).cast("int")).otherwise(at)
+        n += files
+    return df.repartitionById(n, at)
+
+
 def land_raw_tables(spark: SparkSession, raw: dict, db: str, buckets: int,
                     location: str | None = None) -> dict:
     """Truncate-and-load the raw tables into catalog tables of ``db``,
     bucketed (and sorted) on their keys; returns the rows loaded per table,
     counted while writing. With ``location`` the data files live under that
-    folder (e.g. the shared checkpoint folder)."""
+    folder (e.g. the shared checkpoint folder).
+
+    A key (or null) with more rows than an average bucket gets files of its own
+    within its bucket, so no task writes much more than another."""
     from pyspark.sql import Observation
     ensure_db(spark, db, location)
     counts = {}
     for name, df in raw.items():
         obs = Observation(f"land_{db}_{name}")
         key = RAW_BUCKET_KEYS.get(name)
+        hot = hot_keys(df, key, buckets) if key else []
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         if key:
-            # Hash-partition on the bucket key first: each task then writes
-            # exactly one bucket file, all buckets in parallel.
-            df = df.repartition(buckets, key)
+            # Partitioned on the bucket first: each task then writes exactly
+            # one bucket file, all buckets in parallel.
+            df = spread(df, key, buckets, hot)
         w = df.write.mode("overwrite").format("parquet")
         if name in RAW_PARTITIONS:
             w = w.partitionBy(RAW_PARTITIONS[name])
@@ -63,6 +116,7 @@ def land_raw_tables(spark: SparkSession, raw: dict, db: str, buckets: int,
         if location:
             w = w.option("path", f"{location.rstrip('/')}/{name}")
         w.saveAsTable(f"{db}.{name}")
+        spark.sql(f"ALTER TABLE {db}.{name} SET TBLPROPERTIES ('{HOT_FILES}' = '{sum(n for _, n in hot)}')")
         counts[name] = int(obs.get["rows"])
     return counts
 
