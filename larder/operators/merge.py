@@ -24,15 +24,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.operators.key_index import KeyIndex, data_folders, entry_of, pairs
-from larder.operators.sinks import (commit_version, current_version, delete_paths, read_folders, read_table,
-                                    write_version)
+from larder.operators.sinks import (NULL_PARTITION, commit_version, current_version, delete_paths, read_folders,
+                                    read_table, write_version)
 from larder.session import scratch_path
 
 
-#: Folder name of the null partition value (fixed by the file layout).
-NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
-
-
 class DuplicateKeyError(ValueError):
     pass
 
@@ -86,7 +82,7 @@ def write_incremental(spark: SparkSession, updates: DataFrame, path: str,
         if not touched:
             return {"mode": "merge", "touched_partitions": 0}
         touched |= set(index.record(pairs(staged, key, partition_col)))
-        names = {f"{partition_col}={NULL_DAY if d is None else d}" for d in touched}
+        names = {f"{partition_col}={NULL_PARTITION if d is None else d}" for d in touched}
         held = [f for f in folders if f.rsplit("/", 1)[-1] in names]
         kept = [f for f in folders if f.rsplit("/", 1)[-1] not in names]
         old = read_folders(spark, path, held, updates.schema)

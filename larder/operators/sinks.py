@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,10 @@ from pyspark.sql.types import StructType
 from larder.operators.key_index import data_folders
 
 
+#: Folder name of the null partition value (fixed by the file layout).
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 def register_view(df: DataFrame, name: str) -> DataFrame:
     """View materialisation: a named, lazily evaluated query."""
     df.createOrReplaceTempView(name)
@@ -105,6 +110,9 @@ def write_version(df: DataFrame, path: str, partition_by: str | None, cluster_by
     folder = f"table_version=r{uuid.uuid4().hex}"
     full = f"{path.rstrip('/')}/data/{folder}"
     w = cluster_for_write(df, partition_by, cluster_by or [], tiebreak).write
+    # Nothing in a new folder is read before it is complete, so tasks may put
+    # their files in place themselves instead of leaving all renames to the driver.
+    w = w.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
     (w.partitionBy(partition_by) if partition_by else w).parquet(full)
     if not partition_by:
         return [folder]
@@ -179,14 +187,37 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return read_folders(spark, path, data_folders(found[1]))
 
 
+#: Day folders up to this number are handed to the reader one by one.
+FEW_FOLDERS = 100
+
+
 def read_folders(spark: SparkSession, path: str, folders: list[str], schema: StructType | None = None) -> DataFrame:
-    """Rows of some data folders of a table; no folders need a ``schema``."""
+    """Rows of some data folders of a table; no folders need a ``schema``.
+
+    Many day folders are read through the few folders above them, which Spark
+    lists in parallel; the days that do not belong are left out by a filter on
+    the partition columns, so none of their files is opened."""
     data = f"{path.rstrip('/')}/data"
     if not folders and schema is not None:
         return spark.createDataFrame([], schema)
     # With a schema no footer is read for it; folder names give the partition column's values.
     reader = spark.read.option("basePath", data) if schema is None else spark.read.schema(schema).option("basePath", data)
-    return reader.parquet(*[f"{data}/{f}" for f in folders]).drop("table_version")
+    if len(folders) <= FEW_FOLDERS:
+        return reader.parquet(*[f"{data}/{f}" for f in folders]).drop("table_version")
+    days: dict[str, set] = {}
+    for f in folders:
+        days.setdefault(f.split("/")[0], set()).add(f.split("/")[1])
+    keep = F.lit(False)
+    for parent, wanted in days.items():
+        fs, p = _fs(spark, f"{data}/{parent}")
+        absent = {s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()} - wanted
+        here = F.col("table_version") == parent.split("=", 1)[1]
+        if absent:
+            column = next(iter(absent)).split("=", 1)[0]
+            name = F.coalesce(F.col(column).cast("string"), F.lit(NULL_PARTITION))
+            here = here & ~name.isin([unquote(a.split("=", 1)[1]) for a in absent])
+        keep = keep | here
+    return reader.parquet(*[f"{data}/{parent}" for parent in days]).where(keep).drop("table_version")
 
 
 def load_table(df: DataFrame, path: str) -> int:

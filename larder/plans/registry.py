@@ -377,8 +377,14 @@ def _suite_results(spark, sf_dir):
 
 
 def q_dq_declared_tests(spark, sf_dir):
+    from larder.operators.joins import materialize
     from larder.plans.declared_tests import run_declared_tests, test_relations
-    return run_declared_tests(test_relations(_m(spark, sf_dir)))
+    m = Models(spark, _m(spark, sf_dir).raw, P)
+    # The intermediate layer is written first, as in a run: the relations above it
+    # read it back instead of computing it once each.
+    for attr in ("baskets", "customer_metrics", "product_metrics"):
+        m.__dict__[attr] = materialize(getattr(m, attr), f"tested-{attr}")
+    return run_declared_tests(test_relations(m))
 
 
 def q_dq_suite_results(spark, sf_dir):

@@ -33,6 +33,11 @@ RUNTIME_FILTER_CONF = {
     "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": str(1 << 26),
 }
 
+# Adaptive execution merges shuffle partitions down to this size, not the default
+# 1 MB: a write into thousands of day folders costs by the file, and with
+# all of a small table in one task it would create them one after another.
+WRITE_CONF = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}
+
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "larder", extra: dict | None = None) -> SparkSession:
@@ -69,7 +74,7 @@ def apply_core_conf(spark: SparkSession) -> None:
     for k in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled",
               "spark.sql.sources.partitionOverwriteMode"):
         spark.conf.set(k, CORE_CONF[k])
-    for k, v in RUNTIME_FILTER_CONF.items():
+    for k, v in (RUNTIME_FILTER_CONF | WRITE_CONF).items():
         spark.conf.set(k, v)
 
 
