@@ -46,17 +46,23 @@ MASKS = ("1111111", "11011111", "1100111011", "1110100111")
 SHORT_MASKS = {
     (7, 9): tuple("".join("0" if i == gap else "1" for i in range(7)) for gap in range(7)),
     (10, 12): tuple("".join("00" if i in gaps else "11" for i in range(5)) for gaps in combinations(range(5), 2)),
+    **{(n, n): ("1" * n,) for n in range(1, 7)},  # a shorter item is looked up whole
 }
 
 #: Production parameters.
 MIN_TOKENS = 13
 MIN_IDENTITY = 80
+#: Items of fewer tokens count only where all their tokens stand in order.
+WHOLE = 7
 #: Tokens kept on either side of a segment's hits.
 CONTEXT = 48
 FILTER_BITS = 24
 
 OFFSETS = [tuple(i for i, c in enumerate(m) if c == "1") for m in chain(MASKS, *SHORT_MASKS.values())]
-WORD = re.compile(r"\w+")
+#: Also fixed: letters of scripts without blanks between words (Thai to Lao,
+#: Burmese, Khmer, kana, Chinese characters); each of them is a token.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+WORD = re.compile(rf"[^\W{UNSPACED}]+|[{UNSPACED}]")
 
 
 def token_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -117,15 +123,16 @@ def item_seeds(items: DataFrame) -> DataFrame:
 
 
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
-    """(item_id, tokens): distinct token sequences of at least seven tokens."""
+    """(item_id, tokens): distinct token sequences of at least one token."""
     def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             h, bounds = token_hashes(batch["text"].tolist())
-            yield pd.DataFrame({"item_id": batch["item_id"].astype("Int64"),
+            yield pd.DataFrame({"item_id": batch["item_id"],
                                 "tokens": [_signed(h[a:b]) for a, b in zip(bounds, bounds[1:])]})
-    return (benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
-            .mapInPandas(tokens, "item_id long, tokens array<long>")
-            .filter((F.size("tokens") >= len(OFFSETS[0])) & F.col("item_id").isNotNull())
+    # Ids travel as text: pandas makes doubles of longs beside a null.
+    return (benchmark.filter(F.col("item_id").isNotNull()).select(F.col("item_id").cast("string").alias("item_id"), "text")
+            .mapInPandas(tokens, "item_id string, tokens array<long>")
+            .filter(F.size("tokens") > 0).withColumn("item_id", F.col("item_id").cast("long"))
             .groupBy("tokens").agg(F.min("item_id").alias("item_id")).select("item_id", "tokens"))
 
 
@@ -178,14 +185,13 @@ def segments(docs: DataFrame, words: np.ndarray, masks: list[int]) -> DataFrame:
                 hi = min(bounds[d + 1], int((at[a:b] + width[a:b]).max()) + CONTEXT)
                 some = tokens[lo:hi]
                 key = batch["doc_id"].iloc[d]
-                key = None if pd.isna(key) else int(key)
+                key = None if pd.isna(key) else key
                 seg = xxhash.xxh64_intdigest(f"{key} {lo - bounds[d]} ".encode() + some.tobytes())
                 rows.append((key, int(np.uint64(seg).astype(np.int64)), int(lo - bounds[d]), _signed(some),
                              at[a:b] - lo, _signed(hashes[a:b])))
-            yield pd.DataFrame(rows, columns=["doc_id", "seg", "start", "tokens", "pos", "hash"]).astype(
-                {"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["doc_id", "seg", "start", "tokens", "pos", "hash"])
 
-    return docs.mapInPandas(find, "doc_id long, seg long, start long, tokens array<long>, pos array<long>, "
+    return docs.mapInPandas(find, "doc_id string, seg long, start long, tokens array<long>, pos array<long>, "
                                   "hash array<long>")
 
 
@@ -197,6 +203,8 @@ def best_overlap(a: np.ndarray, b: np.ndarray, diagonal: int) -> tuple[int, int,
     lo, hi = max(0, diagonal), min(len(a), diagonal + len(b))
     same = a[lo:hi] == b[lo - diagonal:hi - diagonal]
     window = min(MIN_TOKENS, len(b))
+    if window < WHOLE and not (len(same) == window and same.all()):
+        return None
     equal = np.concatenate([[0], np.cumsum(same)])
     if len(same) < window or 100 * int((equal[window:] - equal[:-window]).max()) < MIN_IDENTITY * window:
         return None
@@ -214,7 +222,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = saved(benchmark_items(benchmark), "bench-items")
     seeds = saved(item_seeds(items), "bench-seeds")
     short = items.select(F.size("tokens").alias("n")).filter(F.col("n") < MIN_TOKENS).distinct().collect()  # a few rows
-    segs = saved(segments(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), _filter_words(seeds),
+    segs = saved(segments(docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text"), _filter_words(seeds),
                           masks_for([r["n"] for r in short])).dropDuplicates(["seg"]), "bench-segments")
     hits = segs.select("seg", F.explode(F.arrays_zip("pos", "hash")).alias("h")).select(
         "seg", F.col("h.pos").alias("at"), F.col("h.hash").alias("hash"))
@@ -232,17 +240,17 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 found = best_overlap(a, b, d)
                 if found:
                     lo, hi, equal = found
-                    rows.append((None if pd.isna(doc) else int(doc), item, start + lo, start + hi, lo - d, hi - lo,
+                    rows.append((None if pd.isna(doc) else doc, item, start + lo, start + hi, lo - d, hi - lo,
                                  equal))
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "doc_start", "doc_end", "item_start", "n_tokens",
-                                              "n_equal"]).astype({"doc_id": "Int64"})
+                                              "n_equal"])
 
-    schema = ("doc_id long, item_id long, doc_start long, doc_end long, item_start long, n_tokens long, "
+    schema = ("doc_id string, item_id long, doc_start long, doc_end long, item_start long, n_tokens long, "
               "n_equal long")
     found = both.select("doc_id", "item_id", "start", "diagonal", "a", "b").mapInPandas(verify, schema)
     best = F.max(F.struct("n_equal", "n_tokens", -F.col("doc_start"), "doc_start", "doc_end", "item_start"))
     return (found.groupBy("doc_id", "item_id").agg(best.alias("m"))
-            .select("doc_id", "item_id", "m.doc_start", "m.doc_end", "m.item_start", "m.n_tokens", "m.n_equal"))
+            .select(F.col("doc_id").cast("long").alias("doc_id"), "item_id", "m.doc_start", "m.doc_end", "m.item_start", "m.n_tokens", "m.n_equal"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,8 +17,12 @@ def held_out(doc_id: str = "doc_id", folds: int = 4, out: int = 2) -> Column:
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> DataFrame:
     """(text, label) of at most ``bound`` labelled ids outside the held-out
-    fold, chosen by a hash of the id. The bound makes the broadcast safe."""
+    fold, chosen by a hash of the id; of rows that repeat an id, one (with the
+    smallest hash of its text). The bound holds for the rows returned and makes
+    the broadcast safe."""
     some = (labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out())
             .groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label"))
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound))
-    return docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("text", "label")
+    rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")
+    return rows.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"),
+                                      F.max("label").alias("label")).select("text", "label")

@@ -58,13 +58,13 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity:
                 first = end - n
                 for piece, at in enumerate(range(0, n, capacity)):
                     raw = ids[first + at:min(first + at + capacity, end)].astype("<u4").tobytes()
-                    rows.append((None if doc is None or doc != doc else int(doc), piece, at, len(raw) // 4,
-                                 zlib.crc32(raw), raw))
-            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-                               ).astype({"doc_id": "Int64"})
+                    rows.append((doc, piece, at, len(raw) // 4, zlib.crc32(raw), raw))
+            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).mapInPandas(
-        cut, "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary")
+    # Ids travel as text: pandas makes doubles of longs beside a null.
+    pieces = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text).alias("text")).mapInPandas(
+        cut, "doc_id string, piece int, start long, length long, ids_crc32 long, ids binary")
+    return pieces.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def configurations(sizes: list[int], demand: list[int], capacity: int) -> list[tuple[list[int], float]]:

@@ -44,6 +44,9 @@ TRAILER = struct.Struct("<QQQQ4s")
 #: Production parameters.
 PERCENTILE = 90
 END_ID = 2
+#: Texts encoded at a time, and words kept by an encoder.
+ROWS = 1000
+WORDS = 700_000
 #: Blocks decoded at a time.
 CHUNK = 4096
 
@@ -217,7 +220,7 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_
     """Encode ``docs`` into files of ``folder``; the files in id order with
     their numbers of documents and ids (one small row per file)."""
     spark = docs.sparkSession
-    prepare_python(spark)
+    prepare_python(spark, ROWS)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -230,12 +233,12 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_
         store.create_dir(path, recursive=True)
         part = TaskContext.get().partitionId()
         own = f"{path}/_part-{part:06d}-{TaskContext.get().taskAttemptId()}"
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, WORDS)
         with store.open_output_stream(own) as sink:
             out = FileWriter(sink, percentile)
             while batch is not None:
                 ids, lengths = enc.encode(batch["text"].tolist(), end_id)
-                out.add([None if x != x or x is None else int(x) for x in batch["id"].tolist()], ids, lengths)
+                out.add([None if x is None else int(x) for x in batch["id"].tolist()], ids, lengths)
                 batch = next(batches, None)
             out.close()
         publish_file(store, own, f"{path}/part-{part:06d}.pfor")
@@ -243,7 +246,8 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_
                             "n_docs": [len(out.docs)], "n_ids": [out.ids]})
 
     ordered = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
-               .repartitionByRange(parts, "id").sortWithinPartitions("id", "text"))
+               .repartitionByRange(parts, "id").sortWithinPartitions("id", "text")
+               .select(F.col("id").cast("string"), "text"))  # pandas makes doubles of longs beside a null
     files = ordered.mapInPandas(write, "part long, file string, n_docs long, n_ids long")
     return sorted((r.asDict() for r in files.collect()), key=lambda r: r["part"])
 
@@ -264,17 +268,18 @@ def read_files(spark: SparkSession, files: list[dict], with_ids: bool = False) -
                     f = FileReader(source)
                     rows = []
                     for i, ids in f.documents():
-                        rows.append((None if f.nulls[i] else int(f.docs[i]), base[k] + int(f.first[i]), len(ids),
+                        rows.append((None if f.nulls[i] else str(f.docs[i]), base[k] + int(f.first[i]), len(ids),
                                      zlib.crc32(ids.astype("<u4").tobytes())) + ((ids,) if with_ids else ()))
                         if len(rows) == 1000:
-                            yield pd.DataFrame(rows, columns=cols).astype({"doc_id": "Int64"})
+                            yield pd.DataFrame(rows, columns=cols)
                             rows = []
                     if rows:
-                        yield pd.DataFrame(rows, columns=cols).astype({"doc_id": "Int64"})
+                        yield pd.DataFrame(rows, columns=cols)
 
     cols = ["doc_id", "start", "n_tokens", "ids_crc32"] + ["ids"] * with_ids
-    schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids
-    return spark.range(0, len(files), 1, max(1, len(files))).mapInPandas(read, schema)
+    schema = "doc_id string, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids
+    found = spark.range(0, len(files), 1, max(1, len(files))).mapInPandas(read, schema)
+    return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

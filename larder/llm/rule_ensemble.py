@@ -192,9 +192,11 @@ def compiled(model: tuple[list[tuple[Rule, float]], float], stats: Column) -> Co
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` with ``score`` and ``predicted``."""
     model = train(docs, labels)
-    return (docs.withColumn("_stats", statistics(F.col("text")))
-            .withColumn("score", compiled(model, F.col("_stats"))).drop("_stats")
-            .withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int")))
+    # The row travels as one struct, so its columns may have any names.
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"), statistics(F.col("text")).alias("_stats"))
+    return (rows.select("_doc", compiled(model, F.col("_stats")).alias("score"))
+            .select(*[F.col("_doc").getField(c).alias(c) for c in docs.columns if c not in ("score", "predicted")],
+                    "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

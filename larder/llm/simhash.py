@@ -256,8 +256,11 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "t
              .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("first")))
     keep = first.select(F.col("first.key").alias("_keep")).distinct()
     one = Window.partitionBy("_keep").orderBy(F.lit(0))
-    return (docs.withColumn("_key", row_key(id_col, text)).join(keep, F.col("_key") == F.col("_keep"))
-            .withColumn("_n", F.row_number().over(one)).filter("_n = 1").select(*docs.columns))
+    # The row travels as one struct, so its columns may have any names.
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"), row_key(id_col, text).alias("_key"))
+    return (rows.join(keep, F.col("_key") == F.col("_keep"))
+            .withColumn("_n", F.row_number().over(one)).filter("_n = 1")
+            .select(*[F.col("_doc").getField(c).alias(c) for c in docs.columns]))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

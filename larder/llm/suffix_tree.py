@@ -368,15 +368,15 @@ def score_counted(docs: DataFrame, texts: DataFrame) -> DataFrame:
                                  if len(of) else np.zeros(0, bool))
             cuts = np.searchsorted(of[new], np.arange(1, len(split)))
             yield pd.DataFrame({
-                "rid": np.arange(rid, rid + len(split)), "doc_id": batch["doc_id"].astype("Int64"),
+                "rid": np.arange(rid, rid + len(split)), "doc_id": batch["doc_id"],
                 "held_out": batch["held_out"], "n_tokens": lengths + 1, "known": n_known, "base": base,
                 "score": total[ends] - total[ends - sizes], "tail": tails,
                 "run": np.split(rare[new].view(np.int64), cuts),
                 "times": np.split(np.diff(np.append(new, len(of))), cuts)})
             rid += len(split)
 
-    rows = saved(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", "text").mapInPandas(
-        score, "rid long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, "
+    rows = saved(docs.select(F.col("doc_id").cast("string").alias("doc_id"), "held_out", "text").mapInPandas(
+        score, "rid long, doc_id string, held_out boolean, n_tokens long, known long, base double, score double, "
                "tail array<long>, run array<long>, times array<long>"), "lm-rows")
     # Words beyond the head: one row per document and word, joined by hash.
     pairs = F.transform(F.sequence(F.lit(0), F.size("tail") - 2, F.lit(2)), lambda i: F.struct(
@@ -391,7 +391,7 @@ def score_counted(docs: DataFrame, texts: DataFrame) -> DataFrame:
             .select("rid", "r.run", "r.times").join(scores.select("run", "p"), "run")
             .groupBy("rid").agg(F.sum(F.col("times") * F.col("p")).alias("_score")))
     return rows.drop("tail", "run", "times").join(looked, "rid", "left").join(rare, "rid", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
+        F.col("doc_id").cast("long").alias("doc_id"), "held_out", "n_tokens", (F.col("known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
         F.lit(n_train).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("_base", F.lit(0.0)) - F.col("n_tokens") * log_all).alias("base_score"),
         (F.col("score") + F.coalesce("_score", F.lit(0.0))).alias("score"))

@@ -43,7 +43,8 @@ class WordEncoder:
     ids the file's BPE model gives; any other word (other scripts, combining
     marks, special tokens) goes through the whole tokenizer."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, max_words: int = MAX_WORDS):
+        self.max_words = max_words
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -107,7 +108,7 @@ class WordEncoder:
     def encode(self, texts: list[str | None], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order (uint32) and the number of ids of each text; ``end``
         is appended to every text. A null text counts as empty."""
-        if len(self.at) > MAX_WORDS:
+        if len(self.at) > self.max_words:
             self._clear()
         split = [(t or "").replace("\n", " ").split(" ") for t in texts]
         words = list(chain.from_iterable(split))
@@ -132,11 +133,11 @@ class WordEncoder:
         return out, lengths
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[tuple[str, int], WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, max_words: int = MAX_WORDS) -> WordEncoder:
     """This worker's encoder for a tokenizer file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    if (path, max_words) not in _ENCODERS:
+        _ENCODERS[path, max_words] = WordEncoder(path, max_words)
+    return _ENCODERS[path, max_words]

@@ -58,7 +58,7 @@ def record_id(page) -> str:
 
 def page_of(uri: str | None) -> int | None:
     m = re.fullmatch(r"<urn:x-page:(-?\d+)>", uri or "")
-    return int(m[1]) if m else None
+    return m[1] if m else None
 
 
 def record(page, url: str | None, payload: bytes, refers_to) -> bytes:
@@ -123,8 +123,7 @@ def write_archives(pages: DataFrame, folder: str) -> list[dict]:
                     store.create_dir(path, recursive=True)
                     own = f"{path}/_part-{part:06d}-{TaskContext.get().taskAttemptId()}"
                     sink = store.open_output_stream(own)
-                raw = record(None if page is None else int(page), url, html.encode("utf-8", "replace"),
-                             None if to is None else int(to))
+                raw = record(page, url, html.encode("utf-8", "replace"), to)
                 sink.write(raw)
                 size, n = size + len(raw), n + 1
         if sink is not None:
@@ -132,7 +131,9 @@ def write_archives(pages: DataFrame, folder: str) -> list[dict]:
             publish_file(store, own, f"{path}/part-{part:06d}.warc")
             yield pd.DataFrame({"file": [f"{folder}/part-{part:06d}.warc"], "size": [size], "records": [n]})
 
-    files = with_responses(pages).mapInPandas(write, "file string, size long, records long")
+    # Ids travel as text: pandas makes doubles of longs beside a null.
+    rows = with_responses(pages).withColumns({c: F.col(c).cast("string") for c in ("page_id", "_to")})
+    files = rows.mapInPandas(write, "file string, size long, records long")
     return sorted((r.asDict() for r in files.collect()), key=lambda r: r["file"])
 
 
@@ -259,13 +260,13 @@ def read_archives(spark: SparkSession, files: list[dict], size: int = RANGE, wit
     cols = ["page_id", "record_type", "payload_bytes", "payload_digest", "refers_to"] + ["payload"] * with_payload
 
     def frame(rows: list) -> pd.DataFrame:
-        return pd.DataFrame(rows, columns=cols).astype(
-            {"page_id": "Int64", "payload_bytes": "Int64", "refers_to": "Int64"})
+        return pd.DataFrame(rows, columns=cols).astype({"payload_bytes": "Int64"})
 
-    schema = ("page_id long, record_type string, payload_bytes long, payload_digest string, refers_to long"
+    schema = ("page_id string, record_type string, payload_bytes long, payload_digest string, refers_to string"
               + ", payload binary" * with_payload)
     n = max(1, len(ranges_of(files, size)))
-    return starts.repartition(n, "file", "at").mapInPandas(read, schema)
+    found = starts.repartition(n, "file", "at").mapInPandas(read, schema)
+    return found.withColumns({c: F.col(c).cast("long") for c in ("page_id", "refers_to")})
 
 
 def resolved(records: DataFrame) -> DataFrame:
