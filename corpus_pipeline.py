@@ -46,7 +46,9 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     key = simhash.row_key()
     found = decontaminate.overlaps(docs.select(key.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
     bad = found.select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.withColumn("_key", key).join(bad, F.col("_key") == F.col("_bad"), "left_anti").select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"), key.alias("_key"))
+    return (rows.join(bad, F.col("_key") == F.col("_bad"), "left_anti")
+            .select(*[F.col("_doc").getField(c).alias(c) for c in docs.columns]))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
