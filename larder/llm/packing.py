@@ -31,35 +31,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.llm.common import hash_bucket, prepare_python, saved, table, with_rank
-from larder.llm.tokens import encoder, tokenizer_path
+from larder.llm.tokens import MAX_WORDS, encoder, tokenizer_path
 
 #: Production parameters.
 CAPACITY = 4096
 END_ID = 1
 GROUPS = 64
 LARGE = 3
+#: Texts encoded at a time and words kept by an encoder when nothing else shares
+#: the executor (the pipeline takes the smaller defaults).
+ROWS = 1000
+WORDS = 700_000
 #: Rows of one length that a rank bucket holds on average.
 RANK_ROWS = 200_000
 
 
 def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: int = CAPACITY,
-               id_col: str = "doc_id", text: str = "text") -> DataFrame:
+               id_col: str = "doc_id", text: str = "text", rows: int = 250, words: int = MAX_WORDS) -> DataFrame:
     """Token pieces of every document: doc_id, piece, start, length, ids_crc32
-    and ids (little-endian unsigned 32-bit integers)."""
-    prepare_python(docs.sparkSession)
+    and ids (little-endian unsigned 32-bit integers). ``rows`` texts are encoded
+    at a time, with ``words`` words kept by an encoder."""
+    prepare_python(docs.sparkSession, rows)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, words)
         for batch in batches:
             ids, lengths = enc.encode(batch["text"].tolist(), end_id)
             ends = np.cumsum(lengths)
-            rows = []
+            found = []
             for doc, end, n in zip(batch["id"].tolist(), ends.tolist(), lengths.tolist()):
                 first = end - n
                 for piece, at in enumerate(range(0, n, capacity)):
                     raw = ids[first + at:min(first + at + capacity, end)].astype("<u4").tobytes()
-                    rows.append((doc, piece, at, len(raw) // 4, zlib.crc32(raw), raw))
-            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
+                    found.append((doc, piece, at, len(raw) // 4, zlib.crc32(raw), raw))
+            yield pd.DataFrame(found, columns=["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
 
     # Ids travel as text: pandas makes doubles of longs beside a null.
     pieces = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text).alias("text")).mapInPandas(
@@ -236,13 +241,13 @@ def assign(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID,
-                   capacity: int = CAPACITY) -> DataFrame:
+                   capacity: int = CAPACITY, rows: int = 250, words: int = MAX_WORDS) -> DataFrame:
     """Pieces of ``docs`` with their ids and places; the pieces are written to
     the shared folder once, so texts are encoded a single time."""
-    return assign(saved(cut_pieces(docs, tokenizer, end_id, capacity), "pieces"), capacity)
+    return assign(saved(cut_pieces(docs, tokenizer, end_id, capacity, rows=rows, words=words), "pieces"), capacity)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op10: place of every piece of every document."""
-    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path()).select(
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), rows=ROWS, words=WORDS).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
