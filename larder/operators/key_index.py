@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from larder.operators.joins import materialize
 
-#: Name prefix of an index folder in a table's list of folders.
+#: Name prefix of an index folder, beside the rows of its table.
 PREFIX = "keys="
 #: Rows of a bucket of a new index.
 BUCKET_ROWS = 8_000_000
@@ -79,10 +79,10 @@ class KeyIndex:
         return days
 
 
-def entry_of(folders: list[str]) -> str | None:
-    """The index folder among a version's folders."""
-    return next((f for f in folders if f.startswith(PREFIX)), None)
-
-
-def data_folders(folders: list[str]) -> list[str]:
-    return [f for f in folders if not f.startswith(PREFIX)]
+def index_entry(spark: SparkSession, folder: str) -> str | None:
+    """The complete index beside a table's rows."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    at = hadoop.Path(folder)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = sorted(s.getPath().getName() for s in fs.listStatus(at))
+    return next((n for n in names if n.startswith(PREFIX) and fs.exists(hadoop.Path(f"{folder}/{n}/_SUCCESS"))), None)

@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-import json
 import uuid
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-from larder.operators.key_index import data_folders
 
 
 #: Folder name of the null partition value (fixed by the file layout).
@@ -91,133 +86,87 @@ def cluster_for_write(df: DataFrame, partition_col: str | None, cluster_by: list
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None,
                 cluster_by: list | None = None, tiebreak: list | None = None) -> None:
-    """Full refresh (SCD type 1): a new version replaces the whole table.
-    Readers see the old version until the new one is complete."""
-    new = write_version(df, path, partition_by, cluster_by, tiebreak)
-    commit_version(df.sparkSession, path, new)
-
-
-# ---- versioned tables -----------------------------------------------------------
-# <path>/data/table_version=r<id>/[<day>=...]/files and <path>/_versions/<n>.json, a list of the
-# folders that make version n. A version becomes visible by renaming its list into
-# place, after all its files are written.
-
-def write_version(df: DataFrame, path: str, partition_by: str | None, cluster_by: list | None = None,
-                  tiebreak: list | None = None) -> list[str]:
-    """Write ``df`` to a new data folder; returns its folders, relative to
-    <path>/data. Nothing is visible to readers yet."""
-    spark = df.sparkSession
-    folder = f"table_version=r{uuid.uuid4().hex}"
-    full = f"{path.rstrip('/')}/data/{folder}"
-    w = cluster_for_write(df, partition_by, cluster_by or [], tiebreak).write
-    # Nothing in a new folder is read before it is complete, so tasks may put
-    # their files in place themselves instead of leaving all renames to the driver.
-    w = w.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
-    (w.partitionBy(partition_by) if partition_by else w).parquet(full)
-    if not partition_by:
-        return [folder]
-    fs, p = _fs(spark, full)
-    return sorted(f"{folder}/{s.getPath().getName()}" for s in fs.listStatus(p) if s.isDirectory())
-
+    """Full refresh (SCD type 1): a fresh folder replaces the whole table.
+    Readers see the old rows until the new ones are complete."""
+    folder = new_folder(path)
+    write_rows(df, folder, partition_by, cluster_by, tiebreak)
+    switch(df.sparkSession, path, folder)
 
-def _version_numbers(spark: SparkSession, path: str) -> list[int]:
-    fs, p = _fs(spark, f"{path.rstrip('/')}/_versions")
-    if not fs.exists(p):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(p)]
-    return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
 
+# ---- published tables -----------------------------------------------------------
+# <path>/rows-<id>/rows holds the table's files as Spark writes them, <path>/current
+# names the folder that readers use. One writer a table at a time.
 
-def _folders_of(spark: SparkSession, path: str, version: int) -> list[str]:
-    fs, p = _fs(spark, f"{path.rstrip('/')}/_versions/{version}.json")
-    stream = fs.open(p)
-    try:
-        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    return json.loads(text)
+def new_folder(path: str) -> str:
+    return f"{path.rstrip('/')}/rows-{uuid.uuid4().hex}"
 
 
-def current_version(spark: SparkSession, path: str) -> tuple[int, list[str]] | None:
-    """Number and folders of the newest version, or None without a table."""
-    numbers = _version_numbers(spark, path)
-    return (numbers[-1], _folders_of(spark, path, numbers[-1])) if numbers else None
+def write_rows(df: DataFrame, folder: str, partition_by: str | None, cluster_by: list | None = None,
+               tiebreak: list | None = None) -> None:
+    """``df`` as the rows of a folder that no reader knows yet."""
+    w = cluster_for_write(df, partition_by, cluster_by or [], tiebreak).write
+    # Nothing in a new folder is read before it is complete, so tasks may put
+    # their files in place themselves instead of leaving all renames to the driver.
+    w = w.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    (w.partitionBy(partition_by) if partition_by else w).parquet(f"{folder}/rows")
 
 
-class ConcurrentWriteError(RuntimeError):
-    pass
+def current_folder(spark: SparkSession, path: str) -> str | None:
+    """The folder that readers use, or None without a table."""
+    pointer = f"{path.rstrip('/')}/current"
+    if not path_exists(spark, pointer):
+        return None
+    return f"{path.rstrip('/')}/{spark.read.text(pointer).first()[0]}"
 
 
-def commit_version(spark: SparkSession, path: str, folders: list[str], after: int | None = None,
-                   keep: int = 2) -> int:
-    """Make ``folders`` the table's next version. With ``after``, fails if
-    another writer has committed since that version. Data that none of the
-    newest ``keep`` versions uses is deleted."""
-    numbers = _version_numbers(spark, path)
-    newest = numbers[-1] if numbers else 0
-    if after is not None and newest != after:
-        raise ConcurrentWriteError(f"{path}: version {newest} was written after {after}")
-    root = f"{path.rstrip('/')}/_versions"
-    fs, own = _fs(spark, f"{root}/_{uuid.uuid4().hex}")
+def switch(spark: SparkSession, path: str, folder: str) -> None:
+    """Make ``folder`` the table, in one rename. The folder it replaces stays for
+    open readers; older ones, and those of crashed refreshes, are deleted."""
+    root, before = path.rstrip("/"), current_folder(spark, path)
+    fs, own = _fs(spark, f"{root}/_next-{uuid.uuid4().hex}")
     out = fs.create(own)
     try:
-        out.write(bytearray(json.dumps(folders).encode()))
+        out.write(bytearray(folder.rsplit("/", 1)[1].encode()))
     finally:
         out.close()
-    _, final = _fs(spark, f"{root}/{newest + 1}.json")
-    if fs.exists(final) or not fs.rename(own, final):
-        raise ConcurrentWriteError(f"{path}: version {newest + 1} exists")
-    _drop_old(spark, path, keep)
-    return newest + 1
+    _replace(spark, own, f"{root}/current")
+    _, at = _fs(spark, root)
+    names = [s.getPath().getName() for s in fs.listStatus(at)]
+    keep = {f.rsplit("/", 1)[1] for f in (folder, before) if f}
+    delete_paths(spark, [f"{root}/{n}" for n in names if n.startswith(("rows-", "_next-")) and n not in keep])
 
 
-def _drop_old(spark: SparkSession, path: str, keep: int) -> None:
-    numbers = _version_numbers(spark, path)
-    used = {f for n in numbers[-keep:] for f in _folders_of(spark, path, n)}
-    old = {f for n in numbers[:-keep] for f in _folders_of(spark, path, n)} - used
-    delete_paths(spark, [f"{path.rstrip('/')}/data/{f}" for f in sorted(old)])
-    delete_paths(spark, [f"{path.rstrip('/')}/_versions/{n}.json" for n in numbers[:-keep]])
+def _replace(spark: SparkSession, source, target: str) -> None:
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    hadoop = jvm.org.apache.hadoop.fs
+    option = getattr(hadoop, "Options$Rename")
+    options = gateway.new_array(option, 1)
+    options[0] = option.OVERWRITE
+    to = hadoop.Path(target)
+    hadoop.FileContext.getFileContext(to.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(source, to, options)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """The newest version of a published table."""
-    found = current_version(spark, path)
-    if found is None:
+    """The rows of a published table."""
+    folder = current_folder(spark, path)
+    if folder is None:
         raise FileNotFoundError(f"no table at {path}")
-    return read_folders(spark, path, data_folders(found[1]))
-
-
-#: Day folders up to this number are handed to the reader one by one.
-FEW_FOLDERS = 100
-
-
-def read_folders(spark: SparkSession, path: str, folders: list[str], schema: StructType | None = None) -> DataFrame:
-    """Rows of some data folders of a table; no folders need a ``schema``.
-
-    Many day folders are read through the few folders above them, which Spark
-    lists in parallel; the days that do not belong are left out by a filter on
-    the partition columns, so none of their files is opened."""
-    data = f"{path.rstrip('/')}/data"
-    if not folders and schema is not None:
-        return spark.createDataFrame([], schema)
-    # With a schema no footer is read for it; folder names give the partition column's values.
-    reader = spark.read.option("basePath", data) if schema is None else spark.read.schema(schema).option("basePath", data)
-    if len(folders) <= FEW_FOLDERS:
-        return reader.parquet(*[f"{data}/{f}" for f in folders]).drop("table_version")
-    days: dict[str, set] = {}
-    for f in folders:
-        days.setdefault(f.split("/")[0], set()).add(f.split("/")[1])
-    keep = F.lit(False)
-    for parent, wanted in days.items():
-        fs, p = _fs(spark, f"{data}/{parent}")
-        absent = {s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()} - wanted
-        here = F.col("table_version") == parent.split("=", 1)[1]
-        if absent:
-            column = next(iter(absent)).split("=", 1)[0]
-            name = F.coalesce(F.col(column).cast("string"), F.lit(NULL_PARTITION))
-            here = here & ~name.isin([unquote(a.split("=", 1)[1]) for a in absent])
-        keep = keep | here
-    return reader.parquet(*[f"{data}/{parent}" for parent in days]).where(keep).drop("table_version")
+    return spark.read.parquet(f"{folder}/rows")
+
+
+def replace_partitions(df: DataFrame, folder: str, partition_by: str, cluster_by: list | None = None) -> None:
+    """The partitions that ``df`` has rows of take these rows (Spark's dynamic
+    partition overwrite); the folder's other partitions are left alone."""
+    w = cluster_for_write(df, partition_by, cluster_by or []).write.mode("overwrite")
+    w.option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(f"{folder}/rows")
+
+
+def drop_partitions(spark: SparkSession, folder: str, partition_by: str, values: list) -> int:
+    """Delete partitions; returns how many there were."""
+    paths = [f"{folder}/rows/{partition_by}={NULL_PARTITION if v is None else v}" for v in values]
+    held = [p for p in paths if path_exists(spark, p)]
+    delete_paths(spark, held)
+    return len(held)
 
 
 def load_table(df: DataFrame, path: str) -> int:

@@ -6,9 +6,9 @@ import re
 import pytest
 
 from larder.operators import merge as M
-from larder.operators.key_index import KeyIndex, data_folders, entry_of, pairs
+from larder.operators.key_index import KeyIndex, index_entry, pairs
 from larder.operators.merge import write_incremental
-from larder.operators.sinks import commit_version, current_version, read_table
+from larder.operators.sinks import current_folder, delete_paths, read_table
 
 SCHEMA = "surrogate_key string, order_date date, v int, category string"
 
@@ -26,7 +26,14 @@ def table(spark, path):
 
 
 def index_of(spark, path):
-    return KeyIndex(spark, f"{path}/data", entry_of(current_version(spark, path)[1]), "date")
+    folder = current_folder(spark, path)
+    return KeyIndex(spark, folder, index_entry(spark, folder), "date")
+
+
+def day_files(spark, path):
+    """The files of each day."""
+    found = read_table(spark, path).select("order_date", "_metadata.file_path").distinct().collect()
+    return {r[0]: {f for d, f in found if d == r[0]} for r in found}
 
 
 @pytest.fixture()
@@ -63,11 +70,11 @@ def test_lookup_reads_the_index_alone_and_never_shuffles_it(spark, published):
 
 
 def test_other_days_are_left_alone(spark, published):
-    before = {f.rsplit("/", 1)[-1]: f for f in data_folders(current_version(spark, published)[1])}
+    before = day_files(spark, published)
     stats = write_incremental(spark, frame(spark, [("k7", 9, 70), ("new", 11, 1)]), published)
-    after = {f.rsplit("/", 1)[-1]: f for f in data_folders(current_version(spark, published)[1])}
+    after = day_files(spark, published)
     changed = {name for name in after if after[name] != before.get(name)}
-    assert changed == {f"order_date={day(d)}" for d in (7, 9, 11)} and stats["touched_partitions"] == 3
+    assert changed == {day(d) for d in (7, 9, 11)} and stats["touched_partitions"] == 3
     got = {r[0]: r for r in table(spark, published)}
     assert got["k7"] == ("k7", day(9), 70) and got["new"] == ("new", day(11), 1) and len(got) == 202
 
@@ -87,7 +94,7 @@ def test_the_index_covers_every_row_after_any_upserts(spark, published):
 def test_a_crash_between_index_and_switch_loses_nothing(spark, published, monkeypatch):
     before = table(spark, published)
     with monkeypatch.context() as m:
-        m.setattr(M, "commit_version", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        m.setattr(M, "stage_pending", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
         with pytest.raises(RuntimeError):
             write_incremental(spark, frame(spark, [("k1", 15, 9)]), published)
     assert table(spark, published) == before
@@ -97,10 +104,10 @@ def test_a_crash_between_index_and_switch_loses_nothing(spark, published, monkey
 
 
 def test_a_table_without_an_index_gets_one(spark, published):
-    number, folders = current_version(spark, published)
-    commit_version(spark, published, data_folders(folders), number)
+    folder = current_folder(spark, published)
+    delete_paths(spark, [f"{folder}/{index_entry(spark, folder)}"])
     write_incremental(spark, frame(spark, [("k3", 19, 5)]), published)
-    assert entry_of(current_version(spark, published)[1])
+    assert index_entry(spark, folder)
     assert [r for r in table(spark, published) if r[0] == "k3"] == [("k3", day(19), 5)]
 
 

@@ -4,7 +4,7 @@ import pytest
 
 from larder.operators import merge as M
 from larder.operators.merge import DuplicateKeyError, merge_upsert, write_incremental
-from larder.operators.sinks import ConcurrentWriteError, commit_version, current_version, read_table, write_table
+from larder.operators.sinks import current_folder, new_folder, path_exists, read_table, write_rows, write_table
 
 SCHEMA = "surrogate_key string, order_date date, v int, category string"
 D1, D2, D3 = dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3)
@@ -84,7 +84,7 @@ def test_crash_before_the_switch_changes_nothing(spark, scratch, monkeypatch):
     def crash(*_):
         raise RuntimeError("lost")
     with monkeypatch.context() as m:
-        m.setattr(M, "commit_version", crash)
+        m.setattr(M, "stage_pending", crash)
         with pytest.raises(RuntimeError):
             write_incremental(spark, spark.createDataFrame([("a", D2, 9, "x")], SCHEMA), path)
     assert table(spark, path) == before
@@ -92,11 +92,46 @@ def test_crash_before_the_switch_changes_nothing(spark, scratch, monkeypatch):
     assert table(spark, path) == [("a", D2, 9), ("b", D2, 2)]
 
 
-def test_two_writers_do_not_lose_each_other(spark, scratch):
+@pytest.mark.parametrize("step", ["replace_partitions", "drop_partitions", "delete_paths"])
+def test_a_crash_while_days_are_put_in_place_is_repaired(spark, scratch, monkeypatch, step):
+    path = f"{scratch}/fact"
+    write_incremental(spark, spark.createDataFrame([("a", D1, 1, "x"), ("b", D2, 2, "x"), ("c", D3, 3, "x")], SCHEMA), path)
+    real = getattr(M, step)
+
+    def crash(*args):
+        if step == "delete_paths" and "/pending" not in args[1][0]:
+            return real(*args)
+        raise RuntimeError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(M, step, crash)
+        with pytest.raises(RuntimeError):
+            write_incremental(spark, spark.createDataFrame([("a", D2, 9, "x")], SCHEMA), path)
+    # The next write, of another day, first completes the one that was cut off.
+    write_incremental(spark, spark.createDataFrame([("c", D3, 30, "x")], SCHEMA), path)
+    assert table(spark, path) == [("a", D2, 9), ("b", D2, 2), ("c", D3, 30)]
+    assert not path_exists(spark, f"{current_folder(spark, path)}/pending")
+
+
+def test_refresh_keeps_open_readers_and_clears_crashed_ones(spark, scratch):
     path = f"{scratch}/t"
-    write_table(spark.createDataFrame([(1,)], "v2 int"), path)
-    number, folders = current_version(spark, path)
-    commit_version(spark, path, folders, number)
-    with pytest.raises(ConcurrentWriteError):
-        commit_version(spark, path, folders, number)
+    frame = lambda n: spark.range(n).toDF("v2")
+    write_table(frame(1), path)
+    first, reader = current_folder(spark, path), read_table(spark, path)
+    crashed = new_folder(path)
+    write_rows(frame(7), crashed, None)  # a refresh that never came to its switch
     assert read_table(spark, path).count() == 1
+    write_table(frame(2), path)
+    assert reader.count() == 1 and read_table(spark, path).count() == 2
+    assert not path_exists(spark, crashed)
+    write_table(frame(3), path)
+    assert not path_exists(spark, first) and read_table(spark, path).count() == 3
+
+
+def test_updates_replace_whole_days_by_spark_and_leave_the_others(spark, scratch):
+    path = f"{scratch}/fact"
+    write_incremental(spark, spark.createDataFrame([("a", D1, 1, "x"), ("b", D2, 2, "x")], SCHEMA), path)
+    files = lambda: {r[0]: r[1] for r in read_table(spark, path).select("order_date", "_metadata.file_path").distinct().collect()}
+    before = files()
+    write_incremental(spark, spark.createDataFrame([("b", D2, 20, "x")], SCHEMA), path)
+    after = files()
+    assert after[D1] == before[D1] and after[D2] != before[D2]
