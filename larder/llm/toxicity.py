@@ -5,11 +5,10 @@ Features are distinct character n-grams (3 to 5 code points of the lower-cased
 text, blanks included, so word starts count). Training, on at most
 ``TRAIN_ROWS`` labelled documents:
 
-1. documents with the n-gram are counted per class in a fixed table of hash
-   buckets, and buckets whose log-count ratio is far from zero are kept;
-2. the n-grams behind those buckets are counted exactly and tested again; all
-   that pass remain, each with its log-count ratio r (the bounded training rows
-   bound them);
+1. the documents with each n-gram are counted exactly per class (a task merges its
+   counts and sends them on when it holds ``GRAMS_HELD`` of them);
+2. every n-gram whose log-count ratio r passes the tests is a feature (the bounded
+   training rows bound them);
 3. a logistic regression is fitted on features of value r (present) or 0.
 
 Scoring is one pass over whole texts: a bit table discards almost all n-grams,
@@ -36,7 +35,9 @@ from larder.llm.labelled import held_out, training_rows
 #: Production parameters.
 TRAIN_ROWS = 20_000
 SIZES = (3, 4, 5)
+#: Size of the bit table that the scoring pass looks n-grams up in first.
 BUCKET_BITS = 20
+GRAMS_HELD = 1_000_000
 MIN_DOCUMENTS = 4
 MIN_Z = 2.5
 MIN_RATIO = 1.0
@@ -100,31 +101,38 @@ def _kept(pos, neg, n_pos: int, n_neg: int) -> np.ndarray:
     return (pos + neg >= MIN_DOCUMENTS) & (np.abs(z) >= MIN_Z) & (np.abs(r) >= MIN_RATIO)
 
 
-def bucket_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Toxic and other documents per hash bucket (two fixed-size arrays)."""
-    chunk = 4096
-
+def gram_counts(rows: DataFrame) -> DataFrame:
+    """(hash, pos, neg): toxic and other documents with each n-gram."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen = np.zeros((2, 1 << BUCKET_BITS), np.int64)
-        for batch in batches:
-            for text, label in zip(batch["text"], batch["label"]):
-                points, _ = code_points([text])
-                found = [np.unique(_bucket(h)) for _, h in gram_hashes(points)]
-                if found:
-                    seen[int(label), np.unique(np.concatenate(found))] += 1
-        yield pd.DataFrame({"chunk": range(seen.shape[1] // chunk), "pos": list(seen[1].reshape(-1, chunk)),
-                            "neg": list(seen[0].reshape(-1, chunk))})
+        held, fresh, waiting = [np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)], [], 0
+
+        def merged() -> list[np.ndarray]:
+            grams = np.concatenate([held[0], *(g for g, _ in fresh)])
+            toxic = np.concatenate([held[1], *(np.full(len(g), float(y)) for g, y in fresh)])
+            other = np.concatenate([held[2], *(np.full(len(g), float(1 - y)) for g, y in fresh)])
+            keys, of = np.unique(grams, return_inverse=True)
+            return [keys, np.bincount(of, toxic, len(keys)), np.bincount(of, other, len(keys))]
 
-    def total(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"chunk": [key[0]], "pos": [np.sum(parts["pos"].tolist(), axis=0)],
-                             "neg": [np.sum(parts["neg"].tolist(), axis=0)]})
+        def frame() -> pd.DataFrame:
+            return pd.DataFrame({"hash": held[0].view(np.int64), "pos": held[1].astype(np.int64),
+                                 "neg": held[2].astype(np.int64)})
 
-    schema = "chunk int, pos array<long>, neg array<long>"
-    sums = (rows.mapInPandas(count, schema).groupBy("chunk").applyInPandas(total, schema)
-            .toPandas().sort_values("chunk"))
-    if not len(sums):
-        return np.zeros(1 << BUCKET_BITS, np.int64), np.zeros(1 << BUCKET_BITS, np.int64)
-    return np.concatenate(sums["pos"].tolist()), np.concatenate(sums["neg"].tolist())
+        for batch in batches:
+            for text, label in zip(batch["text"], batch["label"]):
+                found = [h for _, h in gram_hashes(code_points([text])[0])]
+                grams = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]))
+                fresh.append((grams, int(label)))
+                waiting += len(grams)
+                if waiting >= GRAMS_HELD:
+                    held, fresh, waiting = merged(), [], 0
+                    if len(held[0]) >= GRAMS_HELD:
+                        yield frame()
+                        held = [a[:0] for a in held]
+        held, fresh = merged(), []
+        yield frame()
+
+    return (rows.mapInPandas(count, "hash long, pos long, neg long").groupBy("hash")
+            .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
 
 
 def find_grams(texts: list[str | None], table_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -172,20 +180,7 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
     empty = {"hash": np.zeros(0, np.uint64), "weight": np.zeros(0), "bias": float(np.log(prior / (1 - prior)))}
     if not n_pos or not n_neg:
         return empty
-    marked = _kept(*bucket_counts(rows), n_pos, n_neg)
-
-    def exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            doc, h = find_grams(batch["text"].tolist(), marked)
-            toxic = batch["label"].to_numpy()[doc].astype(np.int64)
-            grams, of = np.unique(h, return_inverse=True)
-            pos = np.bincount(of, toxic, len(grams)).astype(np.int64)
-            yield pd.DataFrame({"hash": grams.view(np.int64), "pos": pos,
-                                "neg": np.bincount(of, minlength=len(grams)) - pos})
-
-    counts = (rows.mapInPandas(exact, "hash long, pos long, neg long").groupBy("hash")
-              .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-              .filter(F.col("pos") + F.col("neg") >= MIN_DOCUMENTS))
+    counts = gram_counts(rows).filter(F.col("pos") + F.col("neg") >= MIN_DOCUMENTS)
     # As in _kept, but in Spark: only features far from zero come back.
     p = (F.col("pos") + PRIOR) / (n_pos + 2 * PRIOR)
     q = (F.col("neg") + PRIOR) / (n_neg + 2 * PRIOR)

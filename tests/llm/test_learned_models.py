@@ -48,7 +48,9 @@ def test_classifiers_on_odd_rows(spark, odd_docs, no_docs, module, label):
     assert [r["score"] for r in flat] == [0.5]
 
 
-def test_toxicity_keeps_every_passing_ngram(spark):
+@pytest.mark.parametrize("held", [toxicity.GRAMS_HELD, 3000])
+def test_toxicity_keeps_every_passing_ngram(spark, monkeypatch, held):
+    monkeypatch.setattr(toxicity, "GRAMS_HELD", held)
     rng = np.random.default_rng(0)
     words = ["".join(w) for w in rng.choice(list("abcdefghijklmnopqrstuvwxyz"), (2400, 7))]
     rows = [(i, " ".join(rng.choice(words[i % 2::2], 220)), i % 2) for i in range(400)]
@@ -63,8 +65,16 @@ def test_toxicity_keeps_every_passing_ngram(spark):
     pos, neg = (np.array([count[k][g] for g in grams]) for k in (1, 0))
     want = [g for g, ok in zip(grams, toxicity._kept(pos, neg, n[1], n[0])) if ok]
     assert len(want) > 4096
-    # Several n-grams can share a bucket that does not pass.
-    assert set(model["hash"].tolist()) <= set(want) and len(model["hash"]) > 0.95 * len(want)
+    assert model["hash"].tolist() == want
+    # Scores from the definition: distinct n-grams of the whole text, looked up one by one.
+    weight = dict(zip(model["hash"].tolist(), model["weight"].tolist()))
+    texts = [rows[2][1], rows[3][1] + " " + rows[4][1], rows[2][1] * 2, "", None, "ab", words[0]]
+    probe = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r[0]: r[1] for r in probe.select("doc_id", toxicity.score_column(model, "text")).collect()}
+    for i, text in enumerate(texts):
+        found = {int(h) for _, hs in toxicity.gram_hashes(toxicity.code_points([text])[0]) for h in hs}
+        total = model["bias"] + sum(weight.get(h, 0.0) for h in found)
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-total)), rel=1e-9)
 
 
 def test_lasso_keeps_few_rules():
