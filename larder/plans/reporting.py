@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from larder.functions import exact_avg, money_avg, now_utc, pct_change, stock_status
+from larder.functions.money import AVG_MONEY
 from larder.operators.filters import latest_snapshot
 from larder.operators.windows import lag_days, lag_rows, rolling_days, rolling_rows
 
@@ -14,19 +16,42 @@ def daily_aggregate(fact_orders: DataFrame) -> DataFrame:
     """Delivered orders per day x channel.
 
     Orders and customers are distinct counts, as in the source project: an
-    order that is there twice counts once (but its money twice)."""
-    d = fact_orders.where(F.col("is_delivered"))
-    return d.groupBy("order_date", "order_channel").agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        F.sum("basket_value_gbp").alias("gross_revenue_gbp"),
-        F.sum("total_discount_gbp").alias("total_discount_gbp"),
-        (F.sum("basket_value_gbp") - F.sum("total_discount_gbp")).alias("net_revenue_gbp"),
-        money_avg("basket_value_gbp").alias("avg_basket_value_gbp"),
-        F.sum("total_units").alias("total_units_sold"),
-        F.count_if("has_promo").alias("promo_orders"),
-        (F.count_if("has_promo") / F.count(F.lit(1))).alias("promo_attach_rate"),
-        F.sum("substituted_line_count").alias("total_substitutions"),
+    order that is there twice counts once (but its money twice). Rows are added
+    up per order and customer, then per customer, then per day; an order counts
+    at the first of its customers and a customer once, so neither count needs
+    copies of the rows. Orders kept by ``order_id`` move only from the second
+    step on."""
+    day = ["order_date", "order_channel"]
+    by_order = fact_orders.where(F.col("is_delivered")).groupBy("order_id", *day, "customer_id").agg(
+        F.sum("basket_value_gbp").alias("gross"),
+        F.count("basket_value_gbp").alias("baskets"),
+        F.sum("total_discount_gbp").alias("discount"),
+        F.sum("total_units").alias("units"),
+        F.count_if("has_promo").alias("promo"),
+        F.sum("substituted_line_count").alias("substituted"),
+        F.count(F.lit(1)).alias("rows"),
+    )
+    added = {f.name: f.dataType for f in by_order.schema if f.name not in ("order_id", *day, "customer_id")}
+    first = F.row_number().over(Window.partitionBy("order_id", *day).orderBy("customer_id")) == 1
+    by_order = by_order.withColumn("orders", (first & F.col("order_id").isNotNull()).cast("long"))
+
+    def total(c: str) -> Column:  # a sum of sums keeps the type of the first sum
+        return F.sum(c).cast(added.get(c, "long")).alias(c)
+
+    by_customer = by_order.groupBy(*day, "customer_id").agg(total("orders"), *map(total, added))
+    d = by_customer.groupBy(*day).agg(total("orders"), F.count("customer_id").alias("customers"), *map(total, added))
+    return d.select(
+        *day,
+        F.col("orders").alias("total_orders"),
+        F.col("customers").alias("unique_customers"),
+        F.col("gross").alias("gross_revenue_gbp"),
+        F.col("discount").alias("total_discount_gbp"),
+        (F.col("gross") - F.col("discount")).alias("net_revenue_gbp"),
+        F.try_divide(F.col("gross").cast(AVG_MONEY), F.col("baskets")).alias("avg_basket_value_gbp"),
+        F.col("units").alias("total_units_sold"),
+        F.col("promo").alias("promo_orders"),
+        (F.col("promo") / F.col("rows")).alias("promo_attach_rate"),
+        F.col("substituted").alias("total_substitutions"),
     )
 
 

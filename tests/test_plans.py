@@ -46,3 +46,19 @@ def test_full_run_shuffles_with_null_safe_keys_when_not_small(at_scale):
     p = plan(m.baskets)
     assert "BroadcastHashJoin" not in p
     assert "coalesce(promo_code" in p  # null promo codes get stand-in keys
+
+
+def test_daily_sales_counts_distinct_without_copies(at_scale):
+    from larder.plans.reporting import daily_aggregate
+    m = Models.from_testdata(at_scale, SF001, TEST_PARAMS)
+    assert "Expand" not in plan(m.daily_sales)
+    rows = [(o, c, v) for o, c, v in [
+        ("a", "x", 1), ("a", "x", 1), ("a", "y", 2), ("b", "x", 4), ("c", None, 8), (None, "z", 16), (None, None, 32),
+        ("d", "x", None)]]
+    facts = at_scale.createDataFrame(rows, "order_id string, customer_id string, v int").selectExpr(
+        "order_id", "customer_id", "date'2024-01-01' AS order_date", "'web' AS order_channel", "true AS is_delivered",
+        "CAST(v AS decimal(18,4)) AS basket_value_gbp", "CAST(0 AS decimal(18,4)) AS total_discount_gbp",
+        "1 AS total_units", "true AS has_promo", "0 AS substituted_line_count")
+    r = daily_aggregate(facts).collect()[0]
+    assert (r["total_orders"], r["unique_customers"], r["gross_revenue_gbp"], r["promo_orders"]) == (4, 3, 64, 8)
+    assert float(r["avg_basket_value_gbp"]) == 9.142857 and r["total_units_sold"] == 8
