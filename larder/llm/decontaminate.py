@@ -9,20 +9,27 @@ seven or ten tokens that leave out each token or each two of five token pairs;
 documents are hashed under them only if the benchmark has such items.
 
 1. Benchmark items (equal ones once) give (hash, item, position) rows for every
-   mask and position, and a bit table of fixed size that holds their hashes.
+   mask and position, and a bit table that holds their hashes, sized by their
+   number up to ``FILTER_BITS`` (beyond that it lets more through, loses nothing).
 2. One pass over the documents hashes every position under every mask; the
-   broadcast bit table (2 MiB, whatever the benchmark's size) lets through what
-   can be a hit. Neighbouring hits form a segment of the document, which leaves
-   the task with the tokens around it.
-3. Segment seeds join benchmark seeds by hash; each (segment, item, diagonal)
-   is verified once, token by token: somewhere ``MIN_TOKENS`` neighbouring
-   positions (or the whole of a shorter item) must have at least
-   ``MIN_IDENTITY`` percent equal tokens. The best stretch around is reported.
+   broadcast bit table lets through what can be a hit. Neighbouring hits form a
+   segment of the document, which leaves the task with the tokens around it.
+3. Segment seeds join benchmark seeds by hash. A seed of more than ``COMMON``
+   item positions (an opening that many items share) would pair all its items
+   with all its documents; there the windows around the seed decide instead:
+   each distinct window of an item or a segment is hashed once with every
+   choice of admitted substitutions left out, so two windows meet only if they
+   are equal enough.
+4. Each (segment, item, diagonal) is verified once, token by token: somewhere
+   ``MIN_TOKENS`` neighbouring positions (or the whole of a shorter item) must
+   have at least ``MIN_IDENTITY`` percent equal tokens. The best stretch around
+   is reported.
 
 Defined results: null and empty texts and items match nothing; items of fewer
-than seven tokens are no evidence and are not looked up; null document ids are
-reported as null; repeated rows give one result per id and item; of equal
-items the smallest id is reported; empty tables give an empty result.
+than seven tokens count where all their tokens stand in order; null document
+ids are reported as null; repeated rows give one result per id and item; of
+equal items the smallest id is reported; empty tables give an empty result;
+long texts are read whole; other columns, whatever their names, are not used.
 """
 
 from __future__ import annotations
@@ -56,7 +63,10 @@ MIN_IDENTITY = 80
 WHOLE = 7
 #: Tokens kept on either side of a segment's hits.
 CONTEXT = 48
-FILTER_BITS = 24
+#: The bit table has 16 bits a seed and at most 2**FILTER_BITS (32 MiB).
+FILTER_BITS = 28
+#: Seeds at more item positions than this meet documents by whole windows.
+COMMON = 16
 
 OFFSETS = [tuple(i for i, c in enumerate(m) if c == "1") for m in chain(MASKS, *SHORT_MASKS.values())]
 #: Also fixed: letters of scripts without blanks between words (Thai to Lao,
@@ -97,10 +107,18 @@ def masks_for(lengths) -> list[int]:
     return out
 
 
-def _slots(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two bit numbers of the filter for every hash."""
-    top = np.uint64(64 - FILTER_BITS)
-    return (h >> top).astype(np.int64), ((h * np.uint64(0x9E3779B97F4A7C15)) >> top).astype(np.int64)
+def filter_bits(seeds: int) -> int:
+    """Width of the bit table's addresses for a number of seeds."""
+    return min(FILTER_BITS, max(16, (16 * seeds).bit_length()))
+
+
+def _in_filter(table: np.ndarray, bits: int, h: np.ndarray) -> np.ndarray:
+    """Positions of the hashes whose two bits are both set: the first ``bits``
+    bits of a hash address one of them, the next ``bits`` the other."""
+    a = h >> np.uint64(64 - bits)
+    hit = np.flatnonzero(table[a >> np.uint64(3)] >> (a & np.uint64(7)).astype(np.uint8) & 1)
+    b = (h[hit] >> np.uint64(64 - 2 * bits)) & np.uint64((1 << bits) - 1)
+    return hit[(table[b >> np.uint64(3)] >> (b & np.uint64(7)).astype(np.uint8) & 1).astype(bool)]
 
 
 def _signed(h: np.ndarray) -> np.ndarray:
@@ -108,7 +126,8 @@ def _signed(h: np.ndarray) -> np.ndarray:
 
 
 def item_seeds(items: DataFrame) -> DataFrame:
-    """(hash, item_id, pos, slot1, slot2) of items (item_id, tokens)."""
+    """(hash, item_id, pos, span, width) of items (item_id, tokens): a seed's
+    number of positions and the window that decides on its item."""
     def seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for item, tokens in zip(batch["item_id"], batch["tokens"]):
@@ -116,10 +135,9 @@ def item_seeds(items: DataFrame) -> DataFrame:
                 for m in masks_for([len(tokens)]):
                     h = seed_hashes(tokens, m)
                     h = h if m < len(MASKS) else h[:1]
-                    a, b = _slots(h)
                     yield pd.DataFrame({"hash": _signed(h), "item_id": item, "pos": np.arange(len(h)),
-                                        "slot1": a, "slot2": b})
-    return items.mapInPandas(seeds, "hash long, item_id long, pos long, slot1 long, slot2 long")
+                                        "span": OFFSETS[m][-1] + 1, "width": min(MIN_TOKENS, len(tokens))})
+    return items.mapInPandas(seeds, "hash long, item_id long, pos long, span int, width int")
 
 
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
@@ -136,34 +154,32 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
             .groupBy("tokens").agg(F.min("item_id").alias("item_id")).select("item_id", "tokens"))
 
 
-def _filter_words(seeds: DataFrame) -> np.ndarray:
-    """The bit table: at most 2**FILTER_BITS / 32 words reach the driver."""
-    slot = F.explode(F.array("slot1", "slot2"))
-    words = (seeds.select(slot.alias("slot"))
+def _filter_table(seeds: DataFrame, bits: int) -> np.ndarray:
+    """The bit table as bytes: at most 2**bits / 32 words reach the driver."""
+    first = F.shiftrightunsigned("hash", 64 - bits)
+    second = F.shiftrightunsigned("hash", 64 - 2 * bits).bitwiseAND((1 << bits) - 1)
+    words = (seeds.select(F.explode(F.array(first, second)).alias("slot"))
              .groupBy(F.shiftright("slot", 5).alias("word"))
              .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"),
                                          F.col("slot").bitwiseAND(31).cast("int"))).alias("bits"))
              .toPandas())
-    out = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
+    out = np.zeros(1 << (bits - 5), np.uint32)
     out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
-    return np.unpackbits(out.astype("<u4").view(np.uint8), bitorder="little").view(bool)
+    return out.astype("<u4").view(np.uint8)
 
 
-def segments(docs: DataFrame, words: np.ndarray, masks: list[int]) -> DataFrame:
+def segments(docs: DataFrame, table: np.ndarray, bits: int, masks: list[int]) -> DataFrame:
     """(doc_id, seg, start, tokens, pos, hash): stretches of a document around
     its possible hits under ``masks``, with the hits' positions and hashes."""
-    sent = docs.sparkSession.sparkContext.broadcast(np.packbits(words))
+    sent = docs.sparkSession.sparkContext.broadcast(table)
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = np.unpackbits(sent.value).view(bool)
         for batch in batches:
             tokens, bounds = token_hashes(batch["text"].tolist())
             at, hashes, width = [], [], []
             for m in masks:
                 h = seed_hashes(tokens, m)
-                a, b = _slots(h)
-                hit = np.flatnonzero(bits[a])
-                hit = hit[bits[b[hit]]]
+                hit = _in_filter(sent.value, bits, h)
                 span = OFFSETS[m][-1] + 1
                 doc = np.searchsorted(bounds, hit, "right") - 1
                 hit = hit[hit + span <= bounds[doc + 1]]  # not across two texts
@@ -214,6 +230,72 @@ def best_overlap(a: np.ndarray, b: np.ndarray, diagonal: int) -> tuple[int, int,
     return lo + start, lo + end, int(same[start:end].sum())
 
 
+def _gaps(width: int) -> np.ndarray:
+    """Every choice of the positions that may differ in a window."""
+    unequal = width * (100 - MIN_IDENTITY) // 100 if width >= WHOLE else 0
+    return np.array(list(combinations(range(width), unequal)), np.int64)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9FB21C651E98DF25)
+    return h ^ (h >> np.uint64(28))
+
+
+def window_keys(window: np.ndarray) -> np.ndarray:
+    """A hash of the window for every choice of positions left out: two windows
+    share one if and only if (but for collisions) they are equal enough."""
+    gaps = _gaps(len(window))
+    part = _mixed(window + np.arange(1, len(window) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    salt = _mixed(np.arange(len(gaps), dtype=np.uint64) + np.uint64(len(window) << 32))
+    return _mixed(part.sum() - part[gaps].sum(axis=1, dtype=np.uint64) + salt)
+
+
+def windows_at(seeds: DataFrame) -> DataFrame:
+    """(id, at, win, window) from (id, tokens, seeds: array of (pos, span,
+    widths)): the windows of those widths around the seeds, each once."""
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for key, tokens, at in zip(batch["id"], batch["tokens"], batch["seeds"]):
+                tokens = np.asarray(tokens, np.int64)
+                todo = {(w, i) for s in at for w in s["widths"]
+                        for i in range(max(0, s["pos"] + s["span"] - w), min(s["pos"], len(tokens) - w) + 1)}
+                for w, i in sorted(todo):
+                    part = tokens[i:i + w]
+                    rows.append((key, i, int(np.uint64(xxhash.xxh64_intdigest(part.tobytes())).astype(np.int64)), part))
+            yield pd.DataFrame(rows, columns=["id", "at", "win", "window"])
+    return seeds.mapInPandas(cut, "id long, at long, win long, window array<long>")
+
+
+def common_seed_pairs(segs: DataFrame, hits: DataFrame, items: DataFrame, seeds: DataFrame,
+                      common: DataFrame) -> DataFrame:
+    """(seg, item_id, diagonal) under the common seeds (hash, span, widths):
+    only of windows that are equal enough."""
+    def around(sites: DataFrame, owner: str, tokens: DataFrame, widths) -> DataFrame:
+        at = (sites.join(common.select("hash", F.col("span").alias("long"), "widths"), "hash")
+              .groupBy(owner).agg(F.collect_set(F.struct("pos", F.col("long").alias("span"),
+                                                         widths.alias("widths"))).alias("seeds")))
+        cut = at.join(tokens, owner).select(F.col(owner).alias("id"), "tokens", "seeds")
+        return saved(windows_at(cut), "bench-windows")
+
+    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [window_keys(np.asarray(w, np.int64).view(np.uint64)) for w in batch["window"]]
+            yield pd.DataFrame({"key": _signed(np.concatenate(found)) if found else [],
+                                "win": np.repeat(batch["win"].to_numpy(np.int64), [len(k) for k in found])})
+
+    theirs = around(seeds.select("hash", "item_id", "pos", "width"), "item_id", items, F.array("width"))
+    ours = around(hits.select("hash", "seg", F.col("at").alias("pos")), "seg", segs.select("seg", "tokens"),
+                  F.col("widths"))
+    a, b = (w.select("win", "window").dropDuplicates(["win"]).mapInPandas(keys, "key long, win long")
+            for w in (ours, theirs))
+    near = a.join(b.withColumnRenamed("win", "their_win"), "key").select("win", "their_win").distinct()
+    return (ours.select(F.col("id").alias("seg"), "at", "win").join(near, "win")
+            .join(theirs.select(F.col("id").alias("item_id"), F.col("at").alias("pos"), F.col("win").alias("their_win")),
+                  "their_win")
+            .select("seg", "item_id", (F.col("at") - F.col("pos")).alias("diagonal")))
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, doc_start, doc_end, item_start, n_tokens, n_equal of the
     longest verified overlap of every contaminated document and item."""
@@ -222,12 +304,21 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = saved(benchmark_items(benchmark), "bench-items")
     seeds = saved(item_seeds(items), "bench-seeds")
     short = items.select(F.size("tokens").alias("n")).filter(F.col("n") < MIN_TOKENS).distinct().collect()  # a few rows
-    segs = saved(segments(docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text"), _filter_words(seeds),
-                          masks_for([r["n"] for r in short])).dropDuplicates(["seg"]), "bench-segments")
+    bits = filter_bits(seeds.count())
+    segs = saved(segments(docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text"),
+                          _filter_table(seeds, bits), bits, masks_for([r["n"] for r in short]))
+                 .dropDuplicates(["seg"]), "bench-segments")
     hits = segs.select("seg", F.explode(F.arrays_zip("pos", "hash")).alias("h")).select(
         "seg", F.col("h.pos").alias("at"), F.col("h.hash").alias("hash"))
-    pairs = (hits.join(seeds.select("hash", "item_id", "pos"), "hash")
-             .select("seg", "item_id", (F.col("at") - F.col("pos")).alias("diagonal")).distinct())
+    common = saved(seeds.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.max("span").alias("span"),
+                                             F.collect_set("width").alias("widths"))
+                   .filter(F.col("n") > COMMON).select("hash", "span", "widths"), "bench-common")
+    rare = seeds.join(common.select("hash"), "hash", "left_anti")
+    pairs = (hits.join(rare.select("hash", "item_id", "pos"), "hash")
+             .select("seg", "item_id", (F.col("at") - F.col("pos")).alias("diagonal")))
+    if not common.isEmpty():
+        pairs = pairs.unionByName(common_seed_pairs(segs, hits, items, seeds, common))
+    pairs = pairs.distinct()
     both = (pairs.join(segs.select("doc_id", "seg", "start", F.col("tokens").alias("a")), "seg")
             .join(items.select("item_id", F.col("tokens").alias("b")), "item_id"))
 

@@ -178,6 +178,51 @@ def test_decontamination_matches_brute_force_on_documents(spark):
     assert (got["n_equal"] * 100 >= 80 * got["n_tokens"]).all()
 
 
+def test_window_keys_are_shared_by_equal_enough_windows_only():
+    rng = np.random.default_rng(5)
+    for width in (*range(1, 14),):
+        admitted = width * 20 // 100 if width >= 7 else 0
+        for k in range(min(width, 4) + 1):
+            w = rng.integers(0, 1 << 62, width).astype(np.uint64)
+            v = w.copy()
+            v[rng.choice(width, k, replace=False)] += np.uint64(1)
+            shared = np.intersect1d(decontaminate.window_keys(w), decontaminate.window_keys(v))
+            assert (len(shared) > 0) == (k <= admitted)
+
+
+def test_decontamination_with_common_openings_verifies_few_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    opening = "which of the following statements is true of the old"
+    vocabulary = [f"w{i}" for i in range(20000)]
+    words = lambda n: " ".join(rng.choice(vocabulary, n))
+    items = [(i, f"{opening} {words(20)}") for i in range(400)]
+    items += [(400 + i, f"{opening.split(' ', 3)[3]} {words(n)}") for i, n in enumerate([2, 3, 5] * 30)]
+    docs = [(i, f"{opening} {words(30)}") for i in range(400)]
+    for i in range(0, 490, 7):  # copies, some with two tokens changed
+        part = items[i][1].split()
+        if i % 2 and len(part) >= 13:
+            part[2] = part[11] = "changed"
+        docs.append((1000 + i, f"{words(9)} {' '.join(part)} {words(9)}"))
+    verified = spark.sparkContext.accumulator(0)
+    real = decontaminate.best_overlap
+
+    def counted(a, b, diagonal):
+        verified.add(1)
+        return real(a, b, diagonal)
+
+    def pairs():
+        got = decontaminate.overlaps(spark.createDataFrame(docs, "doc_id long, text string"),
+                                     spark.createDataFrame(items, "item_id long, text string")).collect()
+        return {tuple(r) for r in got}
+
+    monkeypatch.setattr(decontaminate, "COMMON", 1 << 40)  # every seed pairs all its items and documents
+    every = pairs()
+    monkeypatch.setattr(decontaminate, "COMMON", 16)
+    monkeypatch.setattr(decontaminate, "best_overlap", counted)
+    assert pairs() == every and {(1000 + i, i) for i in range(0, 490, 7)} <= {r[:2] for r in every}
+    assert 70 <= verified.value < 2000  # of 480 x 470 that share the opening
+
+
 def test_decontamination_of_nothing(spark, odd_docs, no_docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.overlaps(odd_docs, none).count() == 0
