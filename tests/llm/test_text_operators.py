@@ -178,6 +178,28 @@ def test_decontamination_matches_brute_force_on_documents(spark):
     assert (got["n_equal"] * 100 >= 80 * got["n_tokens"]).all()
 
 
+def test_decontamination_is_the_80_percent_rule_both_ways(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").toPandas()
+    bench = spark.read.parquet(f"{SF01}/benchmark.parquet").toPandas()
+    code: dict[str, int] = {}
+    split = lambda x: [code.setdefault(w, len(code)) for w in decontaminate.WORD.findall((x or "").lower())]
+    parts = [split(x) for x in docs["text"]]
+    apart = [-1] * 13  # no window reaches into the next document
+    at = np.array([t for x in parts for t in x + apart])
+    owner = np.repeat(docs["doc_id"].to_numpy(), [len(x) + 13 for x in parts])
+    items, want = {}, set()
+    for i, x in sorted(zip(bench["item_id"], bench["text"])):
+        items.setdefault(tuple(split(x)), i)
+    for tokens, i in items.items():
+        k = min(13, len(tokens))
+        for q in range(len(tokens) - k + 1):
+            n = len(at) - k + 1
+            equal = sum((at[t:t + n] == tokens[q + t]).astype(np.int32) for t in range(k))
+            want |= {(d, i) for d in owner[:n][equal * 100 >= (80 if k >= 7 else 100) * k]} if k else set()
+    got = decontaminate.query(spark, SF01).toPandas()
+    assert set(zip(got["doc_id"], got["item_id"])) == want and len(want) > 0
+
+
 def test_window_keys_are_shared_by_equal_enough_windows_only():
     rng = np.random.default_rng(5)
     for width in (*range(1, 14),):
