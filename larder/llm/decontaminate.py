@@ -63,7 +63,8 @@ MIN_IDENTITY = 80
 WHOLE = 7
 #: Tokens kept on either side of a segment's hits.
 CONTEXT = 48
-#: The bit table has 16 bits a seed and at most 2**FILTER_BITS (32 MiB).
+#: The bit table has 256 bits a seed (one in 16,000 other positions passes), at
+#: least 2**24 (2 MiB) and at most 2**FILTER_BITS (32 MiB).
 FILTER_BITS = 28
 #: Seeds at more item positions than this meet documents by whole windows.
 COMMON = 16
@@ -109,7 +110,7 @@ def masks_for(lengths) -> list[int]:
 
 def filter_bits(seeds: int) -> int:
     """Width of the bit table's addresses for a number of seeds."""
-    return min(FILTER_BITS, max(16, (16 * seeds).bit_length()))
+    return min(FILTER_BITS, max(24, (256 * seeds).bit_length()))
 
 
 def _in_filter(table: np.ndarray, bits: int, h: np.ndarray) -> np.ndarray:
