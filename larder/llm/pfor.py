@@ -245,8 +245,11 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_
         yield pd.DataFrame({"part": [part], "file": [f"{folder}/part-{part:06d}.pfor"],
                             "n_docs": [len(out.docs)], "n_ids": [out.ids]})
 
-    ordered = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
-               .repartitionByRange(parts, "id").sortWithinPartitions("id", "text")
+    # Rows that repeat an id (or have none) are spread over files by the start of
+    # their text, equal ones by their place in the input; no text is cut.
+    ordered = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"),
+                           F.substring(F.col(text), 1, 32).alias("head"), F.monotonically_increasing_id().alias("place"))
+               .repartitionByRange(parts, "id", "head", "place").sortWithinPartitions("id", "text")
                .select(F.col("id").cast("string"), "text"))  # pandas makes doubles of longs beside a null
     files = ordered.mapInPandas(write, "part long, file string, n_docs long, n_ids long")
     return sorted((r.asDict() for r in files.collect()), key=lambda r: r["part"])

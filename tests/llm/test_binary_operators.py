@@ -57,6 +57,19 @@ def test_token_files_round_trip(spark, odd_docs, no_docs):
     assert pfor.read_files(spark, pfor.write_files(no_docs, shared_path(spark, "t"), tokenizer_path())).count() == 0
 
 
+def test_rows_of_one_id_are_spread_over_files(spark):
+    texts = [f"{k % 7} of many" for k in range(400)]
+    docs = spark.createDataFrame([(None if k % 2 else 2 ** 60 + 1, t) for k, t in enumerate(texts)],
+                                 "doc_id long, text string")
+    files = pfor.write_files(docs, shared_path(spark, "t"), tokenizer_path())
+    assert len(files) > 3 and max(f["n_docs"] for f in files) < 200
+    got = pfor.read_files(spark, files).orderBy("start").collect()
+    assert [r["doc_id"] for r in got] == [None] * 200 + [2 ** 60 + 1] * 200
+    crc = sorted(zlib.crc32(ids.tobytes()) for ids in reference_ids(texts, 2))
+    assert sorted(r["ids_crc32"] for r in got) == crc
+    assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(got, got[1:]))
+
+
 def test_one_document_by_the_index(spark, tmp_path):
     ids = [np.arange(n, dtype=np.uint32) * 3 for n in (1, 127, 128, 129, 5000, 1)]
     with open(tmp_path / "f", "wb") as f:
