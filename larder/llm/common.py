@@ -74,11 +74,16 @@ def prepare_python(spark: SparkSession, rows: int = 250) -> None:
 
 
 def publish_file(store, own: str, final: str) -> None:
-    """Put a finished file in its place; a repeated task replaces its own."""
+    """Put a finished file in its place; a repeated task replaces its own by one
+    rename. Only stores that refuse to rename onto a file delete it before."""
     from pyarrow import fs
-    if store.get_file_info(final).type != fs.FileType.NotFound:
+    try:
+        store.move(own, final)
+    except OSError:
+        if store.get_file_info(final).type == fs.FileType.NotFound:
+            raise
         store.delete_file(final)
-    store.move(own, final)
+        store.move(own, final)
 
 
 def with_rank(df: DataFrame, keys: list[str], bucket: Column, order: list[Column],

@@ -44,8 +44,9 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RANGE = 32 << 20
 #: Bytes read at a time while a header is looked for.
 STEP = 1 << 16
-#: Bits of a digest that address the filter of repeated digests.
-FILTER_BITS = 24
+#: Bits of a digest that address the filter of repeated digests: the first if it
+#: then has 64 bits a digest, else the second (2 and 32 MiB).
+FILTER_BITS = (24, 28)
 
 
 def digest32(payload: bytes) -> str:
@@ -81,17 +82,18 @@ def with_responses(pages: DataFrame) -> DataFrame:
     """page_id, url, html and ``_to``: the page a row revisits, else null.
 
     Payloads stay where they were scanned unless an equal one may exist: a bit
-    table of fixed size (2 MiB, broadcast) over the digests that occur twice
-    tells which rows have to meet their digest's largest id in a join."""
+    table (2 or 32 MiB by their number, broadcast) over the digests that occur
+    twice tells which rows have to meet their digest's largest id in a join."""
     p = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     p = p.withColumn("_key", F.sha1(F.encode("html", "UTF-8")))
     twice = saved(p.groupBy("_key").agg(F.max("page_id").alias("_of"), F.count(F.lit(1)).alias("_n"))
                   .filter("_n > 1").select("_key", "_of"), "warc-twice")
-    slot = F.conv(F.substring("_key", 1, FILTER_BITS // 4), 16, 10).cast("long")
+    bits = FILTER_BITS[64 * twice.count() > 1 << FILTER_BITS[0]]
+    slot = F.conv(F.substring("_key", 1, bits // 4), 16, 10).cast("long")
     words = (twice.select(slot.alias("slot")).groupBy(F.shiftright("slot", 5).alias("word"))
              .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"),
                                            F.col("slot").bitwiseAND(31).cast("int"))).alias("bits")).toPandas())
-    table_ = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
+    table_ = np.zeros(1 << (bits - 5), np.uint32)
     table_[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
     sent = pages.sparkSession.sparkContext.broadcast(table_)
 
