@@ -95,30 +95,40 @@ def land_raw_tables(spark: SparkSession, raw: dict, db: str, buckets: int,
     folder (e.g. the shared checkpoint folder).
 
     A key (or null) with more rows than an average bucket gets files of its own
-    within its bucket, so no task writes much more than another."""
-    from pyspark.sql import Observation
+    within its bucket, so no task writes much more than another. The tables are
+    loaded side by side: a small one, with few input splits, leaves no core idle."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
     ensure_db(spark, db, location)
-    counts = {}
-    for name, df in raw.items():
-        obs = Observation(f"land_{db}_{name}")
-        key = RAW_BUCKET_KEYS.get(name)
-        hot = hot_keys(df, key, buckets) if key else []
-        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-        if key:
-            # Partitioned on the bucket first: each task then writes exactly
-            # one bucket file, all buckets in parallel.
-            df = spread(df, key, buckets, hot)
-        w = df.write.mode("overwrite").format("parquet")
-        if name in RAW_PARTITIONS:
-            w = w.partitionBy(RAW_PARTITIONS[name])
-        if key:
-            w = w.bucketBy(buckets, key).sortBy(key)
-        if location:
-            w = w.option("path", f"{location.rstrip('/')}/{name}")
-        w.saveAsTable(f"{db}.{name}")
-        spark.sql(f"ALTER TABLE {db}.{name} SET TBLPROPERTIES ('{HOT_FILES}' = '{sum(n for _, n in hot)}')")
-        counts[name] = int(obs.get["rows"])
-    return counts
+    load = inheritable_thread_target(spark)(
+        lambda name: _land_table(spark, name, raw[name], db, buckets, location))
+    with ThreadPoolExecutor(max_workers=len(raw) or 1) as pool:
+        loads = {name: pool.submit(load, name) for name in raw}
+    return {name: f.result() for name, f in loads.items()}
+
+
+def _land_table(spark: SparkSession, name: str, df: DataFrame, db: str, buckets: int,
+                location: str | None) -> int:
+    from pyspark.sql import Observation
+    obs = Observation(f"land_{db}_{name}")
+    key = RAW_BUCKET_KEYS.get(name)
+    hot = hot_keys(df, key, buckets) if key else []
+    df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if key:
+        # Partitioned on the bucket first: each task then writes exactly
+        # one bucket file, all buckets in parallel.
+        df = spread(df, key, buckets, hot)
+    w = df.write.mode("overwrite").format("parquet")
+    if name in RAW_PARTITIONS:
+        w = w.partitionBy(RAW_PARTITIONS[name])
+    if key:
+        w = w.bucketBy(buckets, key).sortBy(key)
+    if location:
+        w = w.option("path", f"{location.rstrip('/')}/{name}")
+    w.saveAsTable(f"{db}.{name}")
+    spark.sql(f"ALTER TABLE {db}.{name} SET TBLPROPERTIES ('{HOT_FILES}' = '{sum(n for _, n in hot)}')")
+    return int(obs.get["rows"])
 
 
 def table_name(layer: str, target: str, name: str, project: str = "larder") -> str:
