@@ -24,11 +24,16 @@ from larder.operators.joins import materialize
 
 #: Name prefix of an index folder, beside the rows of its table.
 PREFIX = "keys="
-#: Rows of a bucket of a new index.
-BUCKET_ROWS = 8_000_000
+#: Rows of a bucket of a new index. A task sorts one bucket, at some 120 bytes a row
+#: in memory.
+BUCKET_ROWS = 1_000_000
 LEAST_BUCKETS = 8
 
 
+def index_buckets(rows: int) -> int:
+    return max(LEAST_BUCKETS, -(-rows // BUCKET_ROWS))
+
+
 def _register(spark: SparkSession, folder: str, day_type: str) -> str:
     """The catalog table over an index folder; its bucket number is in the name."""
     name = "larder_keys_" + hashlib.sha1(folder.encode()).hexdigest()[:16]
@@ -55,7 +60,7 @@ class KeyIndex:
         """A new index over all of ``rows`` (key and day are read once, keys are
         shuffled into their buckets); one file a bucket."""
         p = pairs(rows, key, day)
-        buckets = max(LEAST_BUCKETS, -(-rows.count() // BUCKET_ROWS))
+        buckets = index_buckets(rows.count())
         out = cls(rows.sparkSession, data, f"{PREFIX}{uuid.uuid4().hex}-b{buckets}", p.schema["day"].dataType.simpleString())
         out.append(p)
         return out
