@@ -38,6 +38,12 @@ RUNTIME_FILTER_CONF = {
 # all of a small table in one task it would create them one after another.
 WRITE_CONF = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}
 
+# A join partition above this size and five times the median is split, not one above
+# Spark's own 256 MB: a key that many rows share (a promotion code of a seventh of the
+# orders) would be sorted by one task, its memory growing with the table until then.
+# Pieces have the advisory size.
+SKEW_CONF = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16m"}
+
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "larder", extra: dict | None = None) -> SparkSession:
@@ -74,7 +80,7 @@ def apply_core_conf(spark: SparkSession) -> None:
     for k in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled",
               "spark.sql.sources.partitionOverwriteMode"):
         spark.conf.set(k, CORE_CONF[k])
-    for k, v in (RUNTIME_FILTER_CONF | WRITE_CONF).items():
+    for k, v in (RUNTIME_FILTER_CONF | WRITE_CONF | SKEW_CONF).items():
         spark.conf.set(k, v)
 
 
@@ -84,7 +90,7 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
     Shuffles start with about one partition per 128 MB of input (at least
     two per core) and AQE coalesces them towards the advisory size at
     runtime, so each reducer's share fits in executor memory; skewed
-    partitions over 256 MB and 5x the median are split."""
+    join partitions (``SKEW_CONF``) are split."""
     parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(parts),
