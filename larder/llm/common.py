@@ -50,6 +50,16 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")
 
 
+#: Rows of a batch in which whole texts are scanned.
+SCAN_ROWS = 256
+
+
+def scan_in_small_batches(spark: SparkSession) -> None:
+    """Parquet scans decode ``SCAN_ROWS`` rows at a time, not Spark's 4,096: a task's
+    buffers then hold some hundred whole texts, however long, not thousands."""
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(SCAN_ROWS))
+
+
 def prepare_python(spark: SparkSession, rows: int = 250) -> None:
     """Make the package importable in Python workers and keep Arrow batches at
     ``rows`` rows: with whole texts in a column a task then holds a few MB of

@@ -47,6 +47,23 @@ def test_quality_rules_plan_is_native(spark):
     assert "Python" not in plan and "Pandas" not in plan and "Exchange" not in plan
 
 
+def test_quality_rules_scan_few_texts_at_a_time(spark, scratch):
+    """A batch of the scan holds hundreds of whole texts, not thousands."""
+    spark.conf.unset("spark.sql.parquet.columnarReaderBatchSize")
+    path = f"{scratch}/documents.parquet"
+    spark.range(3000).selectExpr("id AS doc_id", "repeat('some words. ', 60) AS text").coalesce(1).write.parquet(path)
+    got = quality_rules.query(spark, scratch)
+    plan = got._jdf.queryExecution().executedPlan()
+    assert got._jdf.collectAsList().size() == 3000  # runs this very plan
+    nodes, batches = [plan], []
+    while nodes:
+        node = nodes.pop()
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+        if node.metrics().contains("numInputBatches"):
+            batches.append(node.metrics().apply("numInputBatches").value())
+    assert len(batches) == 1 and batches[0] >= 10
+
+
 def brute_components(ids, fps, bits=4):
     parent = list(range(len(ids)))
 
