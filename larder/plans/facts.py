@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from larder.functions import now_utc, surrogate_key
 from larder.operators.filters import since_lookback
-from larder.operators.joins import lookup_join
+from larder.operators.joins import in_range, key_ranges, lookup_join, materialize_in_turns, turns_of
 
 FACT_ORDERS_CLUSTER = ["order_status", "order_channel"]
 FACT_ORDER_ITEMS_CLUSTER = ["product_id", "category"]
@@ -46,18 +46,29 @@ def fact_order_items(items: DataFrame, orders: DataFrame, products: DataFrame, p
     """One row per order line with order and product context.
 
     Incremental runs pass ``recent_orders``: broadcast if small, else their
-    ids thin the scan of the lines; full runs shuffle both sides on order_id."""
-    o = order_context(orders, p, incremental).alias("o")
+    ids thin the scan of the lines; full runs shuffle both sides on order_id.
+
+    Products too large to broadcast make every line move to its product. Many lines then do
+    so in turns, those of a range of order ids at a time (landed files are sorted by it);
+    the turns are written to the shared checkpoint folder."""
+    o = order_context(orders, p, incremental)
     prod = products.select(F.col("product_id").alias("p_product_id"), "category", "subcategory", "brand")
-    i = items.alias("i")
-    lines = i.join(o, F.col("i.order_id") == F.col("o.order_id"), "inner")
-    return (lookup_join(lines, prod, "i.product_id", "p_product_id", salt_col="i.order_item_id")
-             .select(
-                 surrogate_key(F.col("i.order_item_id")).alias("surrogate_key"),
-                 "i.order_item_id", "i.order_id", "o.customer_id", "i.product_id",
-                 "category", "subcategory", "brand",
-                 "o.order_date", "o.order_status", "o.order_channel", "o.is_delivered",
-                 "i.quantity", "i.unit_price_gbp", "i.discount_amount_gbp", "i.line_total_gbp",
-                 "i.is_substituted", "i.substituted_product_id",
-                 "i.refreshed_at", now_utc(p).alias("dbt_updated_at"),
-             ))
+    turns = 1 if incremental else turns_of(items, prod)
+
+    def with_context(items: DataFrame, o: DataFrame) -> DataFrame:
+        i, o = items.alias("i"), o.alias("o")
+        lines = i.join(o, F.col("i.order_id") == F.col("o.order_id"), "inner")
+        return lookup_join(lines, prod, "i.product_id", "p_product_id", salt_col="i.order_item_id").select(
+            "i.order_item_id", "i.order_id", "o.customer_id", "i.product_id",
+            "category", "subcategory", "brand",
+            "o.order_date", "o.order_status", "o.order_channel", "o.is_delivered",
+            "i.quantity", "i.unit_price_gbp", "i.discount_amount_gbp", "i.line_total_gbp",
+            "i.is_substituted", "i.substituted_product_id", "i.refreshed_at")
+
+    if turns == 1:
+        lines = with_context(items, o)
+    else:
+        lines = materialize_in_turns([with_context(in_range(items, "order_id", *r), in_range(o, "order_id", *r))
+                                      for r in key_ranges(orders, "order_id", turns)], "order-lines")
+    return lines.select(surrogate_key("order_item_id").alias("surrogate_key"), *lines.columns,
+                        now_utc(p).alias("dbt_updated_at"))

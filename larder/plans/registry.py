@@ -72,13 +72,13 @@ def _landed_locked(spark, sf_dir, key):
     import hashlib
     from larder.session import scratch_path
     from larder.sources.raw import RAW_BUCKET_KEYS, land_raw_tables, read_raw
-    from larder.sources.testdata import raw_tables
+    from larder.sources.testdata import derived_tables
     if key not in _LANDED:
         tag = hashlib.sha1(repr(key).encode()).hexdigest()[:10]
         db = f"larder_landed_{tag}"
         # One file per bucket, sized by the data: more bytes, more buckets.
         buckets = landed_buckets(input_bytes(spark, _sources(sf_dir)))
-        land_raw_tables(spark, raw_tables(spark, sf_dir), db, buckets,
+        land_raw_tables(spark, derived_tables(spark, sf_dir), db, buckets,
                         location=scratch_path(spark, f"landed/{db}"))
         _LANDED[key] = {t: read_raw(spark, f"table:{db}", t) for t in RAW_BUCKET_KEYS}
     return _LANDED[key]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -84,6 +86,37 @@ def apply_core_conf(spark: SparkSession) -> None:
         spark.conf.set(k, v)
 
 
+#: Spark's setting by which a query deletes its shuffle files when it ends.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_FREEING: dict = {}
+_FREEING_LOCK = threading.Lock()
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession):
+    """Writes started inside delete their shuffle files as soon as they are done.
+    Spark alone does so when the driver's garbage collector meets the query, which
+    on a quiet driver may be never. For writes that are read back from
+    their files only: a query run again would miss its shuffles. Threads
+    of one session may overlap; the last one out restores the setting."""
+    key = spark._jsparkSession.sessionUUID()
+    with _FREEING_LOCK:
+        users, before = _FREEING.get(key) or (0, spark.conf.get(FREE_SHUFFLES, None))
+        _FREEING[key] = (users + 1, before)
+        spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        with _FREEING_LOCK:
+            users, before = _FREEING.pop(key)
+            if users > 1:
+                _FREEING[key] = (users - 1, before)
+            elif before is None:
+                spark.conf.unset(FREE_SHUFFLES)
+            else:
+                spark.conf.set(FREE_SHUFFLES, before)
+
+
 def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict:
     """Starting settings for a cluster run over ``input_bytes`` of Parquet.
 

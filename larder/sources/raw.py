@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larder.session import shuffles_freed
 from larder.sources.schemas import RAW_SCHEMAS, RUN_LOG_SCHEMA
 
 # Join / grouping key each raw table is bucketed on when landed in the
@@ -31,6 +35,25 @@ SKETCH_ITEMS = 10_000
 HOT_FILES = "larder.hot_files"
 
 
+#: Landed files are packed tighter than Spark's default (snappy): read more often than
+#: written, they stay for the whole session.
+CODEC = "zstd"
+
+
+@dataclass(frozen=True)
+class Derived:
+    """A raw table as expressions over the rows of narrower files. Landing moves those
+    rows, not the wider ones made of them. ``fan_out`` (rows of the files to rows
+    of the table) adds columns and rows, none that the key needs."""
+    rows: DataFrame
+    columns: dict[str, Column]
+    fan_out: Callable[[DataFrame], DataFrame] | None = None
+
+    def table(self, rows: DataFrame) -> DataFrame:
+        made = self.fan_out(rows) if self.fan_out else rows
+        return made.select(*[c.alias(n) for n, c in self.columns.items()])
+
+
 def read_raw(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Scan one raw table from ``<root>/<name>`` (Parquet) with its fixed
     schema, or from the catalog when ``root`` is a database name prefixed
@@ -71,7 +94,7 @@ def hot_keys(df: DataFrame, key: str, buckets: int) -> list[tuple]:
     return [(k, -(-n // size)) for k, n in hot]
 
 
-def spread(df: DataFrame, key: str, buckets: int, hot: list[tuple]) -> DataFrame:
+def spread(df: DataFrame, key: Column, buckets: int, hot: list[tuple]) -> DataFrame:
     """One partition for each bucket, and for each hot key as many of its own as
     it needs: every task writes files of about one size. Rows of a hot key are
     dealt by a hash of the row and its input split, the same in a repeated task."""
@@ -81,7 +104,7 @@ def spread(df: DataFrame, key: str, buckets: int, hot: list[tuple]) -> DataFrame
     salt = F.xxhash64(*df.columns, F.spark_partition_id())
     n = buckets
     for value, files in hot:
-        is_hot = F.col(key).isNull() if value is None else F.col(key).eqNullSafe(F.lit(value))
+        is_hot = key.isNull() if value is None else key.eqNullSafe(F.lit(value))
         at = F.when(is_hot, F.lit(n) + F.pmod(salt, F.lit(files)).cast("int")).otherwise(at)
         n += files
     return df.repartitionById(n, at)
@@ -96,30 +119,32 @@ def land_raw_tables(spark: SparkSession, raw: dict, db: str, buckets: int,
 
     A key (or null) with more rows than an average bucket gets files of its own
     within its bucket, so no task writes much more than another. The tables are
-    loaded side by side: a small one, with few input splits, leaves no core idle."""
+    loaded side by side: a small one, with few input splits, leaves no core idle.
+    The shuffle of a table is deleted as soon as the table is loaded."""
     from concurrent.futures import ThreadPoolExecutor
 
     from pyspark import inheritable_thread_target
     ensure_db(spark, db, location)
     load = inheritable_thread_target(spark)(
         lambda name: _land_table(spark, name, raw[name], db, buckets, location))
-    with ThreadPoolExecutor(max_workers=len(raw) or 1) as pool:
+    with shuffles_freed(spark), ThreadPoolExecutor(max_workers=len(raw) or 1) as pool:
         loads = {name: pool.submit(load, name) for name in raw}
     return {name: f.result() for name, f in loads.items()}
 
 
-def _land_table(spark: SparkSession, name: str, df: DataFrame, db: str, buckets: int,
+def _land_table(spark: SparkSession, name: str, raw: DataFrame | Derived, db: str, buckets: int,
                 location: str | None) -> int:
     from pyspark.sql import Observation
     obs = Observation(f"land_{db}_{name}")
     key = RAW_BUCKET_KEYS.get(name)
-    hot = hot_keys(df, key, buckets) if key else []
-    df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    rows, table = (raw.rows, raw.table) if isinstance(raw, Derived) else (raw, lambda moved: moved)
+    hot = hot_keys(table(rows), key, buckets) if key else []
     if key:
         # Partitioned on the bucket first: each task then writes exactly
         # one bucket file, all buckets in parallel.
-        df = spread(df, key, buckets, hot)
-    w = df.write.mode("overwrite").format("parquet")
+        rows = spread(rows, raw.columns[key] if isinstance(raw, Derived) else F.col(key), buckets, hot)
+    df = table(rows).observe(obs, F.count(F.lit(1)).alias("rows"))
+    w = df.write.mode("overwrite").format("parquet").option("compression", CODEC)
     if name in RAW_PARTITIONS:
         w = w.partitionBy(RAW_PARTITIONS[name])
     if key:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larder.sources.raw import Derived
 from larder.sources.schemas import RAW_SCHEMAS
 
 _PENCE = "cast(cast(cast(floor({x}) as bigint) as decimal(18,0)) * cast(0.01 as decimal(3,2)) as decimal(18,2))"
@@ -126,23 +127,35 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return df
 
 
-def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One raw supermarket table derived from the test tables."""
+def derived_table(spark: SparkSession, sf_dir: str, name: str) -> Derived:
+    """One raw supermarket table as expressions over a test table."""
     source, where, cols = ADAPTER[name]
     df = _read(spark, sf_dir, source)
     if where:
         df = df.where(where)
-    if name == "inventory":
-        # Fixed fan-out of every part row (x4 warehouses x2 days) with a
-        # generator; no join involved.
-        wh = F.array(*[F.struct(F.lit(w).alias("wh"), F.lit(n).alias("wn")) for w, n in WAREHOUSES])
-        days = F.array(*[F.lit(d) for d in SNAPSHOT_DAYS])
-        df = (df.select(*_NEEDS["part"], F.explode(wh).alias("w"))
-                .select(*_NEEDS["part"], "w.wh", "w.wn", F.explode(days).alias("dn")))
-    out = df.selectExpr(*[f"{expr} AS {col}" for col, expr in cols])
     # Conform to the declared raw schema (types and column order).
-    schema = RAW_SCHEMAS[name]
-    return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    exprs = dict(cols)
+    columns = {f.name: F.expr(exprs[f.name]).cast(f.dataType) for f in RAW_SCHEMAS[name].fields}
+    return Derived(df, columns, _stock_rows if name == "inventory" else None)
+
+
+def _stock_rows(parts: DataFrame) -> DataFrame:
+    """Fixed fan-out of every part row (x4 warehouses x2 days) with a generator; no
+    join involved."""
+    wh = F.array(*[F.struct(F.lit(w).alias("wh"), F.lit(n).alias("wn")) for w, n in WAREHOUSES])
+    days = F.array(*[F.lit(d) for d in SNAPSHOT_DAYS])
+    return (parts.select(*_NEEDS["part"], F.explode(wh).alias("w"))
+            .select(*_NEEDS["part"], "w.wh", "w.wn", F.explode(days).alias("dn")))
+
+
+def derived_tables(spark: SparkSession, sf_dir: str) -> dict[str, Derived]:
+    return {name: derived_table(spark, sf_dir, name) for name in ADAPTER}
+
+
+def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One raw supermarket table derived from the test tables."""
+    made = derived_table(spark, sf_dir, name)
+    return made.table(made.rows)
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
